@@ -21,7 +21,7 @@ def first_filled(a: Column, b: Column) -> Column:
 
 def file_stem(name: Column) -> Column:
     """File name without its last extension; a leading dot is part of the stem."""
-    return F.regexp_replace(name, r"(?s)(?<=.)\.[^.]*$", "")
+    return F.regexp_replace(name, r"(?s)(?<=.)\.[^.]+$", "")
 
 
 def video_of(name: Column) -> Column:
