@@ -160,7 +160,7 @@ def per_image_documents(
     ``members`` itself, by video_name.
     """
     total = members.groupBy("video_name").agg(
-        F.sum("n_members").alias("video_frame_count"), F.max("page").alias("_last")
+        F.sum("n_rows").alias("video_frame_count"), F.max("page").alias("_last")
     )
     lists = (
         members.where(F.col("page") == 0)
