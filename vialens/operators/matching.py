@@ -20,8 +20,12 @@ from vialens.operators.scale import number_rows, settle
 # True boxes times predicted boxes up to which one image is matched in one place.
 PAIR_LIMIT = 10_000
 
+# Side lengths of one size class differ by less than this factor.
 _GRID = 4.0
 
+# Below this IoU two sides may differ so much that the grid stops paying off.
+_GRID_THRESHOLD = 0.2
+
 
 def with_index(boxes: DataFrame) -> DataFrame:
     """Adds the default label_id (the index as text) where there is none."""
@@ -57,7 +61,7 @@ def _plain_pairs(gt: DataFrame, pred: DataFrame, threshold: float, legacy_iou: b
 
 def _levels(extent: Column) -> Column:
     """Size class of a box side: powers of the grid base."""
-    return F.floor(F.log(F.lit(_GRID), extent)).cast("int")
+    return F.floor(F.log(_GRID, extent)).cast("int")
 
 
 def _cell(position: Column, size_level: Column) -> Column:
@@ -148,7 +152,7 @@ def box_pairs(
     if large:
         far = (
             _plain_pairs(*large, threshold, legacy_iou)
-            if legacy_iou or threshold <= 0
+            if legacy_iou or threshold < _GRID_THRESHOLD
             else _grid_pairs(*large, threshold)
         )
         pairs = pairs.unionByName(far.select(*columns))
@@ -240,13 +244,13 @@ def _match_large(
     p_classes, p_members = _classes(pred)
     met = (
         _plain_pairs(g_classes, p_classes, threshold, legacy_iou)
-        if legacy_iou or threshold <= 0
+        if legacy_iou or threshold < _GRID_THRESHOLD
         else _grid_pairs(g_classes, p_classes, threshold)
     )
     pairs = met.select(
         "g.image_id",
-        F.col("g.idx").alias("G"),
-        F.col("p.idx").alias("P"),
+        F.col("g.idx").alias("g_cls"),
+        F.col("p.idx").alias("p_cls"),
         "iou",
         F.col("g.n").alias("n_g"),
         F.col("p.n").alias("n_p"),
@@ -298,23 +302,23 @@ def _round(pairs: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("ties"), F.min(F.struct("head_g", "head_p")).alias("first")
         )
         return by_iou.groupBy("image_id", side).agg(
-            F.max_by(F.struct("iou", "ties", "first"), "iou").alias(f"best_{side}")
+            F.max_by(F.struct("iou", "ties", "first"), "iou").alias(f"best_{side[0]}")
         )
 
     heads = F.struct("head_g", "head_p")
-    candidates = pairs.join(best("G"), ["image_id", "G"]).join(best("P"), ["image_id", "P"])
+    candidates = pairs.join(best("g_cls"), ["image_id", "g_cls"]).join(best("p_cls"), ["image_id", "p_cls"])
     mutual = candidates.where(
-        (F.col("iou") == F.col("best_G.iou"))
-        & (F.col("iou") == F.col("best_P.iou"))
-        & (heads == F.col("best_G.first"))
-        & (heads == F.col("best_P.first"))
+        (F.col("iou") == F.col("best_g.iou"))
+        & (F.col("iou") == F.col("best_p.iou"))
+        & (heads == F.col("best_g.first"))
+        & (heads == F.col("best_p.first"))
     )
-    alone = (F.col("best_G.ties") == 1) & (F.col("best_P.ties") == 1)
+    alone = (F.col("best_g.ties") == 1) & (F.col("best_p.ties") == 1)
     free = F.least(F.col("n_g") - F.col("at_g"), F.col("n_p") - F.col("at_p"))
     return mutual.select(
         "image_id",
-        "G",
-        "P",
+        "g_cls",
+        "p_cls",
         "iou",
         "at_g",
         "at_p",
@@ -326,7 +330,7 @@ def _expand(won: DataFrame, g_members: DataFrame, p_members: DataFrame) -> DataF
     """Matched ranges of two classes as matched boxes, first free with first free."""
     g = g_members.select(
         "image_id",
-        F.col("cls").alias("G"),
+        F.col("cls").alias("g_cls"),
         F.col("ordinal").alias("o"),
         F.col("idx").alias("g"),
         F.col("label_id").alias("gt_id"),
@@ -334,7 +338,7 @@ def _expand(won: DataFrame, g_members: DataFrame, p_members: DataFrame) -> DataF
     )
     p = p_members.select(
         "image_id",
-        F.col("cls").alias("P"),
+        F.col("cls").alias("p_cls"),
         F.col("ordinal").alias("_partner"),
         F.col("idx").alias("p"),
         F.col("label_id").alias("pred_id"),
@@ -342,10 +346,10 @@ def _expand(won: DataFrame, g_members: DataFrame, p_members: DataFrame) -> DataF
     )
     in_range = (F.col("o") >= F.col("at_g")) & (F.col("o") < F.col("at_g") + F.col("k"))
     return (
-        g.join(won, ["image_id", "G"])
+        g.join(won, ["image_id", "g_cls"])
         .where(in_range)
         .withColumn("_partner", F.col("o") - F.col("at_g") + F.col("at_p"))
-        .join(p, ["image_id", "P", "_partner"])
+        .join(p, ["image_id", "p_cls", "_partner"])
     )
 
 
@@ -353,7 +357,7 @@ def _finish(pairs: DataFrame, g_members: DataFrame, p_members: DataFrame) -> Dat
     """The rest of images with few open pairs: back to single boxes, then the fold."""
     g = g_members.select(
         "image_id",
-        F.col("cls").alias("G"),
+        F.col("cls").alias("g_cls"),
         F.col("ordinal").alias("_og"),
         F.col("idx").alias("g"),
         F.col("label_id").alias("gt_id"),
@@ -361,16 +365,16 @@ def _finish(pairs: DataFrame, g_members: DataFrame, p_members: DataFrame) -> Dat
     )
     p = p_members.select(
         "image_id",
-        F.col("cls").alias("P"),
+        F.col("cls").alias("p_cls"),
         F.col("ordinal").alias("_op"),
         F.col("idx").alias("p"),
         F.col("label_id").alias("pred_id"),
         F.col("category").alias("pred_category"),
     )
     single = (
-        pairs.join(g, ["image_id", "G"])
+        pairs.join(g, ["image_id", "g_cls"])
         .where(F.col("_og") >= F.col("at_g"))
-        .join(p, ["image_id", "P"])
+        .join(p, ["image_id", "p_cls"])
         .where(F.col("_op") >= F.col("at_p"))
     )
     return _fold(single.select(*_RESULT))
@@ -380,11 +384,11 @@ def _advance(
     pairs: DataFrame, won: DataFrame, g_members: DataFrame, p_members: DataFrame
 ) -> DataFrame:
     """Open pairs after a round: positions moved on, used-up classes gone, new next boxes."""
-    moved_g = won.select("image_id", "G", F.col("k").alias("_kg"))
-    moved_p = won.select("image_id", "P", F.col("k").alias("_kp"))
+    moved_g = won.select("image_id", "g_cls", F.col("k").alias("_kg"))
+    moved_p = won.select("image_id", "p_cls", F.col("k").alias("_kp"))
     left = (
-        pairs.join(moved_g, ["image_id", "G"], "left")
-        .join(moved_p, ["image_id", "P"], "left")
+        pairs.join(moved_g, ["image_id", "g_cls"], "left")
+        .join(moved_p, ["image_id", "p_cls"], "left")
         .withColumn("at_g", F.col("at_g") + F.coalesce("_kg", F.lit(0)))
         .withColumn("at_p", F.col("at_p") + F.coalesce("_kp", F.lit(0)))
         .where((F.col("at_g") < F.col("n_g")) & (F.col("at_p") < F.col("n_p")))
@@ -392,19 +396,19 @@ def _advance(
     )
     heads_g = g_members.select(
         "image_id",
-        F.col("cls").alias("G"),
+        F.col("cls").alias("g_cls"),
         F.col("ordinal").alias("at_g"),
         F.col("idx").alias("head_g"),
     )
     heads_p = p_members.select(
         "image_id",
-        F.col("cls").alias("P"),
+        F.col("cls").alias("p_cls"),
         F.col("ordinal").alias("at_p"),
         F.col("idx").alias("head_p"),
     )
     return (
-        left.join(heads_g, ["image_id", "G", "at_g"])
-        .join(heads_p, ["image_id", "P", "at_p"])
+        left.join(heads_g, ["image_id", "g_cls", "at_g"])
+        .join(heads_p, ["image_id", "p_cls", "at_p"])
         .select(*pairs.columns)
     )
 
