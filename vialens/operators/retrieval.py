@@ -225,9 +225,10 @@ def _split_hits(
 def hits_with_content(hits: DataFrame, documents: DataFrame) -> DataFrame:
     """Hits with the content and source of their document.
 
-    A search returns few rows, so the documents are filtered by them, not sorted for them.
+    Settled first: hits are few, and once Spark knows that it need not shuffle
+    the documents to meet them.
     """
-    return hits.join(documents.select("id", "content", "source"), "id").select(
+    return settle(hits).join(documents.select("id", "content", "source"), "id").select(
         "query_id", "rank", "content", "source"
     )
 

@@ -121,13 +121,13 @@ def step_events(
     outcomes: DataFrame, run_id: str, step: str, at: Column | None = None
 ) -> DataFrame:
     """The closing event of a step from its outcome rows (``ok`` true or false)."""
-    failed = F.count_if(~F.col("ok"))
+    when = F.current_timestamp() if at is None else at
     return outcomes.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if("ok").alias("processed"),
-        failed.alias("failed"),
+        F.count_if(~F.col("ok")).alias("failed"),
     ).select(
-        F.xxhash64(F.lit(run_id), F.lit(step), F.uuid()).alias("event_id"),
+        F.xxhash64(F.lit(run_id), F.lit(step), when).alias("event_id"),
         F.lit(run_id).alias("run_id"),
         F.lit(step).alias("step"),
         F.lit("completed").alias("status"),
@@ -135,7 +135,7 @@ def step_events(
         "processed",
         "failed",
         F.lit(None).cast("string").alias("error"),
-        (F.current_timestamp() if at is None else at).alias("at"),
+        when.alias("at"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vialens import schemas
 
@@ -48,9 +49,8 @@ def gold_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def annotations(spark: SparkSession, path: str) -> DataFrame:
     """Annotation documents, generated or true."""
-    schema = schemas.GENERATED_ANNOTATION.add(schemas.CORRUPT, "string") if (
-        schemas.CORRUPT not in schemas.GENERATED_ANNOTATION.names
-    ) else schemas.GENERATED_ANNOTATION
+    corrupt = T.StructField(schemas.CORRUPT, T.StringType())
+    schema = T.StructType([*schemas.GENERATED_ANNOTATION.fields, corrupt])
     return (
         spark.read.schema(schema)
         .option("multiLine", True)
