@@ -7,6 +7,7 @@ whatever its shape, and no schema is imposed before the verdict.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vialens.functions.let import let
 from vialens.schemas import SCENE_ATTRIBUTES
 
 # Required keys, in reporting order.
@@ -19,17 +20,20 @@ MALFORMED = "Malformed JSON"
 NOT_OBJECT = "Document is not an object"
 
 
-def _kind(v: Column, kind: str) -> Column:
-    return F.coalesce(F.startswith(F.schema_of_variant(v), F.lit(kind)), F.lit(False))
+_OBJECT = "map<string,variant>"
+_ARRAY = "array<variant>"
 
 
-def _get(v: Column, key: str) -> Column:
-    # SQL NULL only when the key is missing; a JSON null is a Variant null
-    return F.try_variant_get(v, f"$.{key}", "variant")
+def _as(v: Column, kind: str) -> Column:
+    """The variant as an object or array of variants; NULL when it is something else.
+
+    Looks one level deep: values stay variants. A JSON null is neither.
+    """
+    return F.try_variant_get(v, "$", kind)
 
 
-def _missing(v: Column, key: str) -> Column:
-    return _get(v, key).isNull()
+def _has(obj: Column, key: str) -> Column:
+    return F.map_contains_key(obj, key)
 
 
 def _errors(*parts: Column) -> Column:
@@ -38,75 +42,94 @@ def _errors(*parts: Column) -> Column:
 
 
 def _label_errors(label: Column, position: Column) -> Column:
+    """Messages of one label; ``label`` holds it and its box as objects, NULL when they are not."""
     prefix = F.concat(F.lit("Label "), position.cast("string"))
-    box = _get(label, "box2d")
+    obj, box = label["obj"], label["box"]
     fields = [
-        F.when(_missing(label, k), F.concat(prefix, F.lit(f" missing required field: {k}")))
+        F.when(~_has(obj, k), F.concat(prefix, F.lit(f" missing required field: {k}")))
         for k in LABEL_FIELDS
     ]
     corners = [
-        F.when(
-            _kind(box, "OBJECT") & _missing(box, k),
-            F.concat(prefix, F.lit(f" box2d missing field: {k}")),
-        )
+        F.when(~_has(box, k), F.concat(prefix, F.lit(f" box2d missing field: {k}")))
         for k in BOX_FIELDS
     ]
     return F.when(
-        label.isNull() | ~_kind(label, "OBJECT"),
-        F.array(F.concat(prefix, F.lit(" must be an object"))),
+        obj.isNull(), F.array(F.concat(prefix, F.lit(" must be an object")))
     ).otherwise(_errors(*fields, *corners))
 
 
-def validated(documents: DataFrame, text: str = "value", max_labels: int | None = 10) -> DataFrame:
-    """Adds ``is_valid`` and ``errors`` (joined with "; ") to documents held as text.
+def _inner(doc: Column) -> Column:
+    return F.struct(
+        _as(doc["attributes"], _OBJECT).alias("attributes"), _as(doc["labels"], _ARRAY).alias("labels")
+    )
 
-    A top-level array is judged by its first element. Keys must be present but
-    may hold null. Only the first ``max_labels`` labels are checked; None checks all.
-    """
-    parsed = documents.withColumn("_v", F.try_parse_json(F.col(text)))
-    v = F.col("_v")
-    first = F.try_variant_get(v, "$[0]", "variant")
-    is_array = _kind(v, "ARRAY")
-    empty_array = is_array & first.isNull()
-    rooted = parsed.withColumn("_r", F.when(is_array, first).otherwise(v))
-    r = F.col("_r")
-
-    attributes, labels = _get(r, "attributes"), _get(r, "labels")
-    has_attributes, has_labels = attributes.isNotNull(), labels.isNotNull()
+
+def _label_parts(label: Column) -> Column:
+    obj = _as(label, _OBJECT)
+    return F.struct(obj.alias("obj"), _as(obj["box2d"], _OBJECT).alias("box"))
+
+
+def _document_errors(
+    v: Column, items: Column, doc: Column, inner: Column, max_labels: int | None
+) -> Column:
+    """``v`` parsed, ``items`` v as an array, ``doc`` the judged object, ``inner`` its parts."""
+    attributes, labels = inner["attributes"], inner["labels"]
+    checked = labels if max_labels is None else F.slice(labels, 1, max_labels)
+    empty_array = F.size(items) == 0
     top = [
-        F.when(empty_array | _missing(r, k), F.lit(f"Missing required field: {k}"))
+        F.when(empty_array | ~_has(doc, k), F.lit(f"Missing required field: {k}"))
         for k in REQUIRED_FIELDS
     ]
     attrs = [
         F.when(
-            has_attributes & ~_kind(attributes, "OBJECT"),
+            _has(doc, "attributes") & attributes.isNull(),
             F.lit("Field 'attributes' must be an object"),
         )
     ] + [
-        F.when(
-            _kind(attributes, "OBJECT") & _missing(attributes, k),
-            F.lit(f"Missing required attribute: {k}"),
-        )
+        F.when(~_has(attributes, k), F.lit(f"Missing required attribute: {k}"))
         for k in SCENE_ATTRIBUTES
     ]
     not_list = F.when(
-        has_labels & ~_kind(labels, "ARRAY"), F.lit("Field 'labels' must be an array")
+        _has(doc, "labels") & labels.isNull(), F.lit("Field 'labels' must be an array")
     )
-    items = F.when(_kind(labels, "ARRAY"), labels).try_cast("array<variant>")
-    checked = items if max_labels is None else F.slice(items, 1, max_labels)
     per_label = F.coalesce(
-        F.flatten(F.transform(checked, _label_errors)), F.array().cast("array<string>")
+        F.flatten(F.transform(F.transform(checked, _label_parts), _label_errors)),
+        F.array().cast("array<string>"),
     )
-    errors = (
+    return (
         F.when(v.isNull(), F.array(F.lit(MALFORMED)))
         .when(empty_array, _errors(*top))
-        .when(~_kind(r, "OBJECT"), F.array(F.lit(NOT_OBJECT)))
+        .when(doc.isNull(), F.array(F.lit(NOT_OBJECT)))
         .otherwise(F.concat(_errors(*top, *attrs, not_list), per_label))
     )
-    return (
-        rooted.withColumn("errors", F.array_join(errors, "; "))
-        .withColumn("is_valid", F.col("errors") == "")
-        .drop("_v", "_r")
+
+
+def document_errors(text: Column, max_labels: int | None = 10) -> Column:
+    """All errors of a document, joined with "; "; empty when there are none."""
+
+    def judged(v: Column, items: Column) -> Column:
+        root = F.when(items.isNotNull(), F.try_element_at(items, F.lit(1))).otherwise(v)
+        return let(
+            _as(root, _OBJECT),
+            lambda doc: let(
+                _inner(doc), lambda inner: _document_errors(v, items, doc, inner, max_labels)
+            ),
+        )
+
+    errors = let(
+        F.try_parse_json(text), lambda v: let(_as(v, _ARRAY), lambda items: judged(v, items))
+    )
+    return F.array_join(errors, "; ")
+
+
+def validated(documents: DataFrame, text: str = "value", max_labels: int | None = 10) -> DataFrame:
+    """Adds ``is_valid`` and ``errors`` to documents held as text.
+
+    A top-level array is judged by its first element. Keys must be present but
+    may hold null. Only the first ``max_labels`` labels are checked; None checks all.
+    """
+    return documents.withColumn("errors", document_errors(F.col(text), max_labels)).withColumn(
+        "is_valid", F.col("errors") == ""
     )
 
 
@@ -116,15 +139,21 @@ def validation_summary(checked: DataFrame) -> DataFrame:
 
 def strictly_qualified(documents: DataFrame, text: str = "value") -> DataFrame:
     """Documents passing the second rule set; unparseable ones drop out silently."""
-    v = F.try_parse_json(F.col(text))
-    attributes, labels = _get(v, "attributes"), _get(v, "labels")
-    keep = _kind(v, "OBJECT")
-    for k in STRICT_FIELDS:
-        keep = keep & ~_missing(v, k)
-    for k in SCENE_ATTRIBUTES:
-        keep = keep & ~_missing(attributes, k)
-    keep = keep & _kind(labels, "ARRAY") & F.try_variant_get(labels, "$[0]", "variant").isNotNull()
-    return documents.where(keep)
+
+    def passes(doc: Column, inner: Column) -> Column:
+        ok = F.coalesce(F.size(inner["labels"]) > 0, F.lit(False))
+        for k in STRICT_FIELDS:
+            ok = ok & _has(doc, k)
+        for k in SCENE_ATTRIBUTES:
+            ok = ok & _has(inner["attributes"], k)
+        return ok
+
+    return documents.where(
+        let(
+            _as(F.try_parse_json(F.col(text)), _OBJECT),
+            lambda doc: let(_inner(doc), lambda inner: passes(doc, inner)),
+        )
+    )
 
 
 def qualified_split(
