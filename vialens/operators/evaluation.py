@@ -90,11 +90,27 @@ def outcomes(
     )
 
 
-_MATCH = F.col("kind") == "match"
-_RIGHT = _MATCH & F.col("category_match")
-_WRONG = _MATCH & ~F.col("category_match")
-_ONLY_GT = F.col("kind") == "gt"
-_ONLY_PRED = F.col("kind") == "pred"
+# The kinds of outcome, as predicates.
+
+
+def _match() -> Column:
+    return F.col("kind") == "match"
+
+
+def _right() -> Column:
+    return _match() & F.col("category_match")
+
+
+def _wrong() -> Column:
+    return _match() & ~F.col("category_match")
+
+
+def _only_gt() -> Column:
+    return F.col("kind") == "gt"
+
+
+def _only_pred() -> Column:
+    return F.col("kind") == "pred"
 
 
 def _scores(df: DataFrame) -> DataFrame:
@@ -108,11 +124,11 @@ def image_metrics(rows: DataFrame) -> DataFrame:
     """Per image. A match of the wrong category is a false positive, not a false negative."""
     return _scores(
         rows.groupBy("image_id").agg(
-            F.count_if(_RIGHT).alias("tp"),
-            F.count_if(_ONLY_PRED | _WRONG).alias("fp"),
-            F.count_if(_ONLY_GT).alias("fn"),
-            F.count_if(_MATCH | _ONLY_GT).alias("total_gt"),
-            F.count_if(_MATCH | _ONLY_PRED).alias("total_pred"),
+            F.count_if(_right()).alias("tp"),
+            F.count_if(_only_pred() | _wrong()).alias("fp"),
+            F.count_if(_only_gt()).alias("fn"),
+            F.count_if(_match() | _only_gt()).alias("total_gt"),
+            F.count_if(_match() | _only_pred()).alias("total_pred"),
         )
     )
 
@@ -124,9 +140,9 @@ def threshold_sweep(rows: DataFrame) -> DataFrame:
     for k in SWEEP:
         t = F.lit(k / 20)
         counts += [
-            F.count_if(_RIGHT & (at >= t)).alias(f"tp{k}"),
-            F.count_if(_ONLY_PRED | (_WRONG & (at >= t))).alias(f"fp{k}"),
-            F.count_if(_ONLY_GT | (_MATCH & (at < t))).alias(f"fn{k}"),
+            F.count_if(_right() & (at >= t)).alias(f"tp{k}"),
+            F.count_if(_only_pred() | (_wrong() & (at >= t))).alias(f"fp{k}"),
+            F.count_if(_only_gt() | (_match() & (at < t))).alias(f"fn{k}"),
         ]
     steps = F.array(
         *[
@@ -156,11 +172,11 @@ def evaluation_summary(rows: DataFrame) -> DataFrame:
         F.avg("precision").alias("mean_precision_50_95"),
     )
     totals = rows.agg(
-        F.count_if(_MATCH | _ONLY_GT).alias("total_gt_objects"),
-        F.count_if(_MATCH | _ONLY_PRED).alias("total_pred_objects"),
-        F.count_if(_RIGHT).alias("true_positives"),
-        F.count_if(_ONLY_PRED | _WRONG).alias("false_positives"),
-        F.count_if(_ONLY_GT | _WRONG).alias("false_negatives"),
+        F.count_if(_match() | _only_gt()).alias("total_gt_objects"),
+        F.count_if(_match() | _only_pred()).alias("total_pred_objects"),
+        F.count_if(_right()).alias("true_positives"),
+        F.count_if(_only_pred() | _wrong()).alias("false_positives"),
+        F.count_if(_only_gt() | _wrong()).alias("false_negatives"),
     )
     one = F.lit(1).alias("_one")
     return totals.select("*", one).join(sweep.select("*", one), "_one").drop("_one")
@@ -179,8 +195,8 @@ def class_metrics(rows: DataFrame) -> DataFrame:
 
     no = F.lit(False)
     entries = F.array(
-        entry("gt_class", _RIGHT, no, _WRONG | _ONLY_GT),
-        entry("pred_class", no, _WRONG | _ONLY_PRED, no),
+        entry("gt_class", _right(), no, _wrong() | _only_gt()),
+        entry("pred_class", no, _wrong() | _only_pred(), no),
     )
     return _scores(
         rows.select(F.inline(entries))
@@ -193,7 +209,7 @@ def class_metrics(rows: DataFrame) -> DataFrame:
 def category_confusion(rows: DataFrame) -> DataFrame:
     """True raw category against predicted raw category, or ``unmatched``."""
     return (
-        rows.where(~_ONLY_PRED)
+        rows.where(~_only_pred())
         .groupBy(
             F.lower("gt_category").alias("gt_category"),
             F.coalesce(F.lower("pred_category"), F.lit("unmatched")).alias("predicted_as"),
@@ -205,7 +221,7 @@ def category_confusion(rows: DataFrame) -> DataFrame:
 def original_category_metrics(rows: DataFrame) -> DataFrame:
     """Per raw category present in the ground truth."""
     gt, pred = F.lower("gt_category"), F.lower("pred_category")
-    right = _MATCH & (gt == pred)
+    right = _match() & (gt == pred)
 
     def entry(category: Column, side_gt: Column, hit: Column, met: Column, side_pred: Column):
         return F.struct(
@@ -217,7 +233,7 @@ def original_category_metrics(rows: DataFrame) -> DataFrame:
         )
 
     yes, no = F.lit(True), F.lit(False)
-    entries = F.array(entry(gt, yes, right, _MATCH, no), entry(pred, no, no, no, yes))
+    entries = F.array(entry(gt, yes, right, _match(), no), entry(pred, no, no, no, yes))
     hit, n_gt, n_pred = (
         F.col("correct_predictions"),
         F.col("ground_truth_count"),

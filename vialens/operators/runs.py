@@ -21,11 +21,13 @@ EVENT_SCHEMA = (
     "processed long, failed long, error string, at timestamp"
 )
 
-_ORDER = F.struct("at", "event_id")
+
+def _order() -> Column:
+    return F.struct("at", "event_id")
 
 
 def _latest(column: str) -> Column:
-    return F.max_by(column, _ORDER)
+    return F.max_by(column, _order())
 
 
 def step_progress(events: DataFrame) -> DataFrame:
@@ -37,7 +39,7 @@ def step_progress(events: DataFrame) -> DataFrame:
     adds = F.col("step").isin(*ADDITIVE_STEPS)
     done = F.col("processed").isNotNull()
     latest = F.max_by(
-        F.struct("processed", "failed"), F.when(done, _ORDER)
+        F.struct("processed", "failed"), F.when(done, _order())
     )
     counted = (
         events.where(F.col("step").isNotNull())
