@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vialens.functions.boxes import CORNERS, corner_columns, iou, overlaps
+from vialens.functions.boxes import CORNERS, box_area, corner_columns, overlaps
 from vialens.operators.scale import number_rows, settle
 
 # True boxes times predicted boxes up to which one image is matched in one place.
@@ -44,19 +44,39 @@ def explode_boxes(documents: DataFrame, key: str = "name", labels: str = "labels
     )
 
 
-def _scored(joined: DataFrame, threshold: float, legacy_iou: bool) -> DataFrame:
-    score = iou(corner_columns("g"), corner_columns("p"), legacy_iou)
-    return joined.withColumn("iou", score).where(
-        (F.col("iou") > 0) & (F.col("iou") >= threshold)
+def _proper(boxes: DataFrame) -> DataFrame:
+    """Boxes with a positive area; the others overlap nothing."""
+    x1, y1, x2, y2 = (F.col(c) for c in CORNERS)
+    return boxes.where((x2 > x1) & (y2 > y1)).withColumn("_area", box_area(x1, y1, x2, y2))
+
+
+def _meet(
+    gt: DataFrame, pred: DataFrame, on: Column, threshold: float, legacy_iou: bool
+) -> DataFrame:
+    """Overlapping proper boxes joined on ``on``, with IoU of at least ``threshold``.
+
+    The join condition is evaluated for every pair of an image, so it is kept
+    bare: proper boxes that overlap need none of the guards of ``iou``.
+    """
+    g, p = corner_columns("g"), corner_columns("p")
+    inter = (F.least(g[2], p[2]) - F.greatest(g[0], p[0])) * (
+        F.least(g[3], p[3]) - F.greatest(g[1], p[1])
     )
+    if legacy_iou:
+        union = F.col("g._area") - inter
+        score = F.when(union > 0, inter / union).otherwise(F.lit(0.0))
+    else:
+        # Spark may score a pair before it knows that the boxes overlap
+        score = F.try_divide(inter, F.col("g._area") + F.col("p._area") - inter)
+    enough = F.col("iou") >= threshold if threshold > 0 else F.col("iou") > 0
+    met = gt.alias("g").join(pred.alias("p"), on & overlaps(g, p))
+    return met.withColumn("iou", score).where(enough)
 
 
 def _plain_pairs(gt: DataFrame, pred: DataFrame, threshold: float, legacy_iou: bool) -> DataFrame:
     """Pairs by image, the overlap test inside the join."""
-    met = (F.col("g.image_id") == F.col("p.image_id")) & overlaps(
-        corner_columns("g"), corner_columns("p")
-    )
-    return _scored(gt.alias("g").join(pred.alias("p"), met), threshold, legacy_iou)
+    same_image = F.col("g.image_id") == F.col("p.image_id")
+    return _meet(_proper(gt), _proper(pred), same_image, threshold, legacy_iou)
 
 
 def _levels(extent: Column) -> Column:
@@ -94,29 +114,28 @@ def _grid_pairs(gt: DataFrame, pred: DataFrame, threshold: float) -> DataFrame:
     can hold a partner. A pair meets in exactly one cell.
     """
 
-    def proper(df: DataFrame) -> DataFrame:
-        return df.where((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1"))).withColumns(
+    def sided(boxes: DataFrame) -> DataFrame:
+        return _proper(boxes).withColumns(
             {"_w": F.col("x2") - F.col("x1"), "_h": F.col("y2") - F.col("y1")}
         )
 
-    g = proper(gt).withColumns({"_lx": _levels(F.col("_w")), "_ly": _levels(F.col("_h"))})
+    g = sided(gt).withColumns({"_lx": _levels(F.col("_w")), "_ly": _levels(F.col("_h"))})
     g = g.withColumns(
         {"_cx": _cell(F.col("x1"), F.col("_lx")), "_cy": _cell(F.col("y1"), F.col("_ly"))}
     )
     p = (
-        proper(pred)
+        sided(pred)
         .withColumn("_x", F.explode(_reach(F.col("x1"), F.col("_w"), threshold)))
         .withColumn("_y", F.explode(_reach(F.col("y1"), F.col("_h"), threshold)))
     )
-    met = (
+    same_cell = (
         (F.col("g.image_id") == F.col("p.image_id"))
         & (F.col("g._lx") == F.col("p._x.lv"))
         & (F.col("g._ly") == F.col("p._y.lv"))
         & (F.col("g._cx") == F.col("p._x.cell"))
         & (F.col("g._cy") == F.col("p._y.cell"))
-        & overlaps(corner_columns("g"), corner_columns("p"))
     )
-    return _scored(g.alias("g").join(p.alias("p"), met), threshold, False)
+    return _meet(g, p, same_cell, threshold, False)
 
 
 def large_images(gt: DataFrame, pred: DataFrame, limit: int = PAIR_LIMIT) -> DataFrame:

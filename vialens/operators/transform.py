@@ -2,6 +2,7 @@
 
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,8 +69,15 @@ def labels_table(
 
 
 def category_mapping(spark, rows: Iterable[tuple] = CATEGORY_ROWS) -> DataFrame:
-    """The category dimension. A local relation: Spark knows its size and broadcasts it."""
-    return spark.createDataFrame(list(rows), CATEGORY_MAPPING)
+    """The category dimension, as a local relation: Spark knows its size and broadcasts it.
+
+    Joining it any other way would shuffle every label by its category.
+    """
+    table = pa.Table.from_pylist(
+        [dict(zip(CATEGORY_MAPPING.names, r)) for r in rows],
+        schema=pa.schema([(c, pa.string()) for c in CATEGORY_MAPPING.names]),
+    )
+    return spark.createDataFrame(table, CATEGORY_MAPPING)
 
 
 def detected_boxes(
