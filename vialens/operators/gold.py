@@ -1,6 +1,6 @@
 """Statistics tables over the silver tables."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialens.functions.text import video_of
@@ -50,34 +50,49 @@ def attribute_distribution(
     """Statistics of objects per image for each scene and mapped category.
 
     Images without an object of a category do not enter that category's rows.
+    The statistics come from how often each count occurs: that table is small
+    however many images a scene has, and gives the quartiles exactly.
     """
-    n = F.col("objects_per_image")
     keys = [*SCENE, "mapped_category"]
-    quartiles = F.col("_q")
-    return (
+    n, times, total = F.col("objects_per_image"), F.col("_times"), F.col("_images")
+    often = (
         objects_per_image(labels, images, mapping)
-        .groupBy(*keys)
+        .groupBy(*keys, n)
+        .agg(F.count(F.lit(1)).alias("_times"))
+    )
+    group = Window.partitionBy(*keys)
+    upto = group.orderBy("objects_per_image").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    placed = often.withColumns(
+        {
+            "_images": F.sum("_times").over(group),
+            "_mean": F.sum(n * times).over(group) / F.sum("_times").over(group),
+            "_upto": F.sum("_times").over(upto),
+        }
+    )
+    squares = F.sum(times * F.pow(n - F.col("_mean"), 2))
+
+    def quartile(k: int) -> Column:
+        # the smallest count with at least k quarters of the images at or below it
+        return F.min(F.when(4 * F.col("_upto") >= k * total, n))
+
+    images_n = F.sum("_times")
+    return (
+        placed.groupBy(*keys)
         .agg(
-            F.sum(n).alias("total_count"),
-            F.count(F.lit(1)).alias("total_images"),
-            F.round(F.avg(n), digits).alias("avg_count"),
-            F.round(F.stddev_samp(n), digits).alias("std_dev"),
-            F.percentile_approx(n, [0.25, 0.5, 0.75]).alias("_q"),
+            F.sum(n * times).alias("total_count"),
+            images_n.alias("total_images"),
+            F.round(F.sum(n * times) / images_n, digits).alias("avg_count"),
+            F.round(F.when(images_n > 1, F.sqrt(squares / (images_n - 1))), digits).alias(
+                "std_dev"
+            ),
+            quartile(1).alias("q1_count"),
+            quartile(2).alias("median_count"),
+            quartile(3).alias("q3_count"),
             F.min(n).alias("min_count"),
             F.max(n).alias("max_count"),
         )
-        .select(
-            *keys,
-            "total_count",
-            "total_images",
-            "avg_count",
-            "std_dev",
-            quartiles[0].alias("q1_count"),
-            quartiles[1].alias("median_count"),
-            quartiles[2].alias("q3_count"),
-            "min_count",
-            "max_count",
-        )
         .orderBy(*keys)
     )
 

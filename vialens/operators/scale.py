@@ -42,33 +42,31 @@ def number_rows(
     """Number rows from 0 in ``order``, within each ``by`` group or over the whole table.
 
     ``order`` must be a total order within a group. Rows are range-partitioned
-    by (by, order), so one huge group spreads over many tasks; each slice is
-    numbered on its own and shifted by the sizes of the slices before it. Only
-    those sizes, one per group and slice, pass through the final window.
+    and sorted by (by, order), so one huge group spreads over many tasks, and
+    written with their place in their slice. A group's rows in a slice are then
+    shifted by where the group starts in it and by the group's rows in earlier
+    slices; only these shifts, one per group and slice, are computed and joined.
     """
-    by = list(by)
-    sliced = settle(
-        df.repartitionByRange(*by, *order).withColumn("_slice", F.spark_partition_id())
-    )
+    by, at = list(by), F.col("_at")
+    placed = settle(
+        df.repartitionByRange(*by, *order)
+        .sortWithinPartitions(*by, *order)
+        .withColumn("_at", F.monotonically_increasing_id())
+    ).withColumn("_slice", F.shiftright("_at", 33))
     group = [F.col(c) for c in by] or [F.lit(0)]
-    before = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
+    earlier = Window.partitionBy(*group).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    shift = (
-        sliced.groupBy(*by, "_slice")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-        .drop("_n")
+    runs = placed.groupBy(*by, "_slice").agg(
+        F.min(at).alias("_start"), F.count(F.lit(1)).alias("_n")
     )
-    local = Window.partitionBy(*by, "_slice").orderBy(*order)
-    numbered = sliced.withColumn("_local", F.row_number().over(local).cast("bigint"))
-    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*by, "_slice")]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    return numbered.alias("n").join(shift.alias("s"), cond).select(
-        *[f"n.{c}" for c in df.columns],
-        (F.col("_local") + F.col("_before") - 1).alias(name),
+    before = F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    shifts = settle(runs.select(*by, "_slice", (before - F.col("_start")).alias("_shift")))
+    same = F.col("r._slice") == F.col("s._slice")
+    for c in by:
+        same = same & F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}"))
+    return placed.alias("r").join(shifts.alias("s"), same).select(
+        *[f"r.{c}" for c in df.columns], (F.col("r._at") + F.col("s._shift")).alias(name)
     )
 
 
