@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vialens.functions.ratios import f1, precision, ratio, recall
 from vialens.operators.matching import greedy_match, unmatched, with_index
+from vialens.operators.transform import with_presence
 from vialens.schemas import EVALUATION_CATEGORIES, SCENE_ATTRIBUTES
 
 # Thresholds of the sweep as twentieths: 0.5, 0.55, ... 0.95
@@ -25,18 +26,10 @@ def evaluation_category(category: Column, mapping: dict[str, str] | None = None)
     return F.coalesce(known[low], low)
 
 
-def both_sides(truth: DataFrame, predicted: DataFrame, key: str = "name"):
-    """(evaluated names, failed names): predictions with and without ground truth."""
-    have = truth.select(key)
-    names = predicted.select(key)
-    return names.join(have, key, "left_semi"), names.join(have, key, "left_anti")
-
-
 def evaluated_files(truth: DataFrame, predicted: DataFrame, key: str = "name") -> DataFrame:
-    """Every prediction with its status, ``evaluated`` or ``failed``."""
-    ok, failed = both_sides(truth, predicted, key)
-    return ok.withColumn("status", F.lit("evaluated")).unionByName(
-        failed.withColumn("status", F.lit("failed"))
+    """Every prediction with its status: ``evaluated``, or ``failed`` without ground truth."""
+    return with_presence(predicted.select(key), truth, key, "_ok").select(
+        key, F.when(F.col("_ok"), "evaluated").otherwise("failed").alias("status")
     )
 
 
@@ -50,7 +43,7 @@ def outcomes(
     """image_id, kind (match, gt, pred), iou, ids, raw and evaluation categories.
 
     A box that is left over counts under its own category. The box tables
-    should hold only images present on both sides (see both_sides).
+    should hold only images present on both sides (see evaluated_files).
     """
     matches = greedy_match(gt, pred, threshold) if matches is None else matches
     none = F.lit(None).cast("string")

@@ -111,9 +111,25 @@ def image_files(files: DataFrame, name: str = "filename") -> DataFrame:
     return files.where(is_image_name(F.col(name)))
 
 
+def keys_of(df: DataFrame, key: str) -> DataFrame:
+    """The distinct keys of ``df``, for the right side of a semi or anti join.
+
+    Copies of a key fall away before the shuffle the join needs anyway.
+    """
+    return df.select(key).distinct()
+
+
+def with_presence(
+    names: DataFrame, present: DataFrame, key: str = "name", flag: str = "is_present"
+) -> DataFrame:
+    """``names`` with a flag telling whether ``present`` holds the key; one join for both answers."""
+    have = keys_of(present, key).withColumn("_have", F.lit(True))
+    return names.join(have, key, "left").withColumn(flag, F.col("_have").isNotNull()).drop("_have")
+
+
 def not_done(work: DataFrame, done: DataFrame, key: str, force: bool = False) -> DataFrame:
     """Work items whose output does not exist yet; all of them when forced."""
-    return work if force else work.join(done.select(key), key, "left_anti")
+    return work if force else work.join(keys_of(done, key), key, "left_anti")
 
 
 def with_label_file(images: DataFrame, label_files: DataFrame) -> DataFrame:
@@ -121,7 +137,7 @@ def with_label_file(images: DataFrame, label_files: DataFrame) -> DataFrame:
     wanted = F.concat(file_stem(F.col("filename")), F.lit("_label.json"))
     return (
         images.withColumn("label_file", wanted)
-        .join(label_files.select("label_file"), "label_file", "left_semi")
+        .join(keys_of(label_files, "label_file"), "label_file", "left_semi")
         .orderBy("filename")
     )
 

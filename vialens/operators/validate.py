@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialens.functions.let import let
+from vialens.operators.transform import with_presence
 from vialens.schemas import SCENE_ATTRIBUTES
 
 # Required keys, in reporting order.
@@ -156,9 +157,10 @@ def strictly_qualified(documents: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def qualified_split(
-    names: DataFrame, present: DataFrame, key: str = "name"
-) -> tuple[DataFrame, DataFrame]:
-    """(names whose image exists, names whose image is missing)."""
-    have = present.select(key)
-    return names.join(have, key, "left_semi"), names.join(have, key, "left_anti")
+def qualified_names(
+    documents: DataFrame, images: DataFrame, text: str = "value", key: str = "name"
+) -> DataFrame:
+    """Names of the strictly qualified documents, with ``is_present``: whether the image exists."""
+    name = F.try_variant_get(F.try_parse_json(F.col(text)), f"$.{key}", "string")
+    names = strictly_qualified(documents, text).select(name.alias(key))
+    return with_presence(names, images, key)

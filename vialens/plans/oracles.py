@@ -186,12 +186,18 @@ SELECT doc_key, errors = '' AS is_valid, errors FROM checked"""
 ORACLES["validate_summary"] = f"""WITH {_CHECKED}
 SELECT errors = '' AS is_valid, count(*) AS n_files FROM checked GROUP BY 1"""
 
-ORACLES["strict_quality"] = f"""WITH {_DOCS}
-SELECT doc_key FROM parts
+_STRICT = """
 WHERE json_type(v) = 'OBJECT' AND json_exists(v, '$.name') AND json_type(a) = 'OBJECT'
     AND json_exists(a, '$.weather') AND json_exists(a, '$.timeofday') AND json_exists(a, '$.scene')
     AND json_type(l) = 'ARRAY' AND json_array_length(l) > 0"""
 
+ORACLES["strict_quality"] = f"WITH {_DOCS} SELECT doc_key FROM parts {_STRICT}"
+
+ORACLES["qualified_images"] = f"""WITH {_DOCS}
+SELECT json_extract_string(v, '$.name') AS name,
+    doc_key IN (SELECT l_orderkey FROM lineitem) AS is_present
+FROM parts {_STRICT}"""
+
 ORACLES["dq_profile"] = f"""WITH {_SCENES}
 SELECT 'images' AS table_name, 'n_images' AS "check", count(*) AS n FROM images
 UNION ALL SELECT 'images', 'null_image_ids', count(*) - count(image_id) FROM images

@@ -472,10 +472,15 @@ def kept_semi(spark, d):
 def missing_anti(spark, d):
     names = adapt.table(spark, d, "documents").select(F.col("doc_id").alias("name"))
     present = adapt.table(spark, d, "labels").select(F.col("doc_id").alias("name"))
-    kept, missing = validate.qualified_split(names, present)
-    return kept.withColumn("copied", F.lit(True)).unionByName(
-        missing.withColumn("copied", F.lit(False))
+    return transform.with_presence(names, present, flag="copied")
+
+
+@query
+def qualified_images(spark, d):
+    images = adapt.table(spark, d, "lineitem").select(
+        F.concat(F.lit("n"), F.col("l_orderkey").cast("string")).alias("name")
     )
+    return validate.qualified_names(adapt.document_texts(spark, d), images)
 
 
 # runs
