@@ -119,6 +119,19 @@ def recent_errors(events: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
+def tracked_files(files: DataFrame) -> DataFrame:
+    """Files of each run and step as they stand: (run_id, step, filename, ok, at).
+
+    Annotate and visualize keep every file of every pass; evaluate keeps its
+    latest pass. The list stays a table, however long it is.
+    """
+    adds = F.col("step").isin(*ADDITIVE_STEPS)
+    last = files.groupBy("run_id", "step").agg(F.max("at").alias("_last"))
+    return files.join(last, ["run_id", "step"]).where(adds | (F.col("at") == F.col("_last"))).drop(
+        "_last"
+    )
+
+
 def step_events(
     outcomes: DataFrame, run_id: str, step: str, at: Column | None = None
 ) -> DataFrame:

@@ -31,6 +31,12 @@ def raw_documents(spark: SparkSession, path: str, max_bytes: int | None = None)
     )
 
 
+def documents_from_text(raw: DataFrame, text: str = "value") -> DataFrame:
+    """Label documents from text already read; a top-level array gives a row per element."""
+    body = T.StructType([f for f in schemas.LABEL_DOCUMENT.fields if f.name != schemas.CORRUPT])
+    return raw.select(F.inline(F.from_json(text, T.ArrayType(body))))
+
+
 def label_lists(spark: SparkSession, path: str) -> DataFrame:
     """Frames of ``det_<split>.json`` lists, with their split."""
     return label_documents(spark, path).withColumn(
@@ -73,9 +79,18 @@ def file_listing(
     )
 
 
-def file_contents(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """Files with their bytes, for scorers and landing."""
+def file_contents(
+    spark: SparkSession, path: str, pattern: str | None = None, since: str | None = None
+) -> DataFrame:
+    """Files with their bytes, for scorers and landing.
+
+    ``since`` keeps files changed at or after that time; it reaches the source,
+    so older files are not opened at all.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(path).withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    files = reader.load(path)
+    if since:
+        files = files.where(F.col("modificationTime") >= F.lit(since).cast("timestamp"))
+    return files.withColumn("filename", F.element_at(F.split("path", "/"), -1))
