@@ -45,7 +45,7 @@ def refine(
     spark: SparkSession, lake: Lake, on_date: Column | None = None, at_time: Column | None = None
 ) -> None:
     """Images and labels tables from the qualified documents."""
-    qualified = lake.read(spark, "validated").where("is_valid")
+    qualified = lake.read(spark, "validated").where("verdict = 'qualified'")
     documents = readers.documents_from_text(qualified)
     writers.write_table(
         transform.images_table(documents, on_date, at_time), lake.path("std_images_table")

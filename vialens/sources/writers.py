@@ -55,8 +55,11 @@ def landing_report(landed: DataFrame, seconds: float | None = None) -> DataFrame
 
 
 def route_validated(checked: DataFrame, path: str) -> None:
-    """Qualified and unqualified documents, side by side, with text and errors."""
-    checked.write.mode("overwrite").partitionBy("is_valid").parquet(path)
+    """Documents with text and errors under ``verdict=qualified`` or ``verdict=unqualified``."""
+    verdict = F.when(F.col("is_valid"), "qualified").otherwise("unqualified")
+    checked.withColumn("verdict", verdict).write.mode("overwrite").partitionBy("verdict").parquet(
+        path
+    )
 
 
 def write_report(rows: DataFrame, path: str) -> None:

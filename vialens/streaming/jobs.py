@@ -7,8 +7,9 @@ from pyspark.sql.streaming import StreamingQuery
 from vialens import schemas
 from vialens.functions.text import first_filled
 from vialens.operators.scoring import scene_comparison, scene_counts
-from vialens.operators.transform import labels_table, image_key
+from vialens.operators.transform import image_key, labels_table
 from vialens.operators.validate import validated
+from vialens.sources.writers import route_validated
 
 
 def route_stream(
@@ -24,9 +25,7 @@ def route_stream(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        validated(batch).write.mode("overwrite").partitionBy("is_valid").parquet(
-            f"{target}/batch={batch_id}"
-        )
+        route_validated(validated(batch), f"{target}/batch={batch_id}")
 
     return (
         arriving.writeStream.foreachBatch(write)
