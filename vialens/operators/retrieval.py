@@ -4,6 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,9 +77,12 @@ def _matrix(column: pa.Array) -> np.ndarray:
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if n and len(flat) % n:
+    if n == 0:
+        return np.zeros((0, 0))
+    lengths = pc.min_max(pc.list_value_length(column))
+    if lengths["min"] != lengths["max"]:
         raise ValueError("vectors of one column must have the same length")
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(n, -1)
 
 

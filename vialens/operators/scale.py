@@ -28,10 +28,12 @@ def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage in a way that outlives lost executors, fixes values that
-    depend on physical placement, and gives the planner a known size.
+    depend on physical placement, and gives the planner a known size. The
+    tables of an application share a folder, which can go when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/settled/{app}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -231,6 +231,17 @@ ORACLES["group_members"] = f"""WITH named AS (
 {_pages("named", "video_name", 500)}
 SELECT * FROM pages"""
 
+ORACLES["name_parts"] = """
+WITH n AS (
+    SELECT o_orderpriority || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '-' END || o_orderkey AS stem,
+        o_orderstatus AS s, o_orderpriority AS p, CAST(o_orderkey AS VARCHAR) AS k
+    FROM orders)
+SELECT stem || CASE WHEN s = 'O' THEN '.JPG' ELSE '.x' END AS name, stem,
+    CASE WHEN s = 'F' THEN split_part(p, '-', 1) ELSE p END AS video_name,
+    CASE WHEN s = 'F' THEN split_part(p, '-', 2) || k ELSE k END AS frame_index,
+    s = 'O' AS is_image
+FROM n"""
+
 ORACLES["scene_members"] = f"""WITH {_SCENES},
 named AS (
     SELECT CAST(image_id AS VARCHAR) AS name, weather, timeofday,

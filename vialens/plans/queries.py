@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.functions.text import reply_attributes
+from vialens.functions.text import file_stem, frame_of, is_image_name, reply_attributes, video_of
 from vialens.operators import annotate, evaluation, gold, matching, quality
 from vialens.operators import retrieval, runs, scoring, transform, validate
 from vialens.operators.scale import settle
@@ -160,6 +160,24 @@ def group_members(spark, d):
     return pages.withColumn("members", F.array_join("members", ","))
 
 
+@query
+def name_parts(spark, d):
+    names = adapt.table(spark, d, "orders").select(
+        F.expr(
+            "o_orderpriority || CASE WHEN o_orderstatus = 'F' THEN '' ELSE '-' END"
+            " || CAST(o_orderkey AS STRING) || CASE WHEN o_orderstatus = 'O' THEN '.JPG' ELSE '.x' END"
+        ).alias("name")
+    )
+    name = F.col("name")
+    return names.select(
+        "name",
+        file_stem(name).alias("stem"),
+        video_of(name).alias("video_name"),
+        frame_of(name).alias("frame_index"),
+        is_image_name(name).alias("is_image"),
+    )
+
+
 @query
 def scene_members(spark, d):
     frames = adapt.scene_images(spark, d).select(
