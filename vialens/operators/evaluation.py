@@ -126,10 +126,9 @@ def image_metrics(rows: DataFrame) -> DataFrame:
     )
 
 
-def threshold_sweep(rows: DataFrame) -> DataFrame:
-    """Precision, recall and F1 at ten IoU thresholds, in one pass over the outcomes."""
-    at = F.col("iou")
-    counts = []
+def _sweep_counts() -> list[Column]:
+    """tp, fp and fn at every threshold of the sweep, as aggregates of the outcomes."""
+    at, counts = F.col("iou"), []
     for k in SWEEP:
         t = F.lit(k / 20)
         counts += [
@@ -137,6 +136,11 @@ def threshold_sweep(rows: DataFrame) -> DataFrame:
             F.count_if(_only_pred() | (_wrong() & (at >= t))).alias(f"fp{k}"),
             F.count_if(_only_gt() | (_match() & (at < t))).alias(f"fn{k}"),
         ]
+    return counts
+
+
+def threshold_sweep(rows: DataFrame) -> DataFrame:
+    """Precision, recall and F1 at ten IoU thresholds, in one pass over the outcomes."""
     steps = F.array(
         *[
             F.struct(
@@ -148,7 +152,7 @@ def threshold_sweep(rows: DataFrame) -> DataFrame:
             for k in SWEEP
         ]
     )
-    return _scores(rows.agg(*counts).select(F.inline(steps)))
+    return _scores(rows.agg(*_sweep_counts()).select(F.inline(steps)))
 
 
 def evaluation_summary(rows: DataFrame) -> DataFrame:
@@ -157,22 +161,24 @@ def evaluation_summary(rows: DataFrame) -> DataFrame:
     ``mean_precision_50_95`` averages the precision over the sweep; it is not an
     average precision, the boxes carry no confidence to rank by.
     """
-    half = F.col("iou_threshold") == 0.5
-    sweep = threshold_sweep(rows).agg(
-        F.max(F.when(half, F.col("precision"))).alias("precision_at_50"),
-        F.max(F.when(half, F.col("recall"))).alias("recall_at_50"),
-        F.max(F.when(half, F.col("f1"))).alias("f1_at_50"),
-        F.avg("precision").alias("mean_precision_50_95"),
-    )
-    totals = rows.agg(
-        F.count_if(_match() | _only_gt()).alias("total_gt_objects"),
-        F.count_if(_match() | _only_pred()).alias("total_pred_objects"),
-        F.count_if(_right()).alias("true_positives"),
-        F.count_if(_only_pred() | _wrong()).alias("false_positives"),
-        F.count_if(_only_gt() | _wrong()).alias("false_negatives"),
+    at_50 = SWEEP[0]
+    tp, fp, fn = (F.col(f"{c}{at_50}") for c in ("tp", "fp", "fn"))
+    precisions = [precision(F.col(f"tp{k}"), F.col(f"fp{k}")) for k in SWEEP]
+    return (
+        rows.agg(
+            F.count_if(_match() | _only_gt()).alias("total_gt_objects"),
+            F.count_if(_match() | _only_pred()).alias("total_pred_objects"),
+            F.count_if(_right()).alias("true_positives"),
+            F.count_if(_only_pred() | _wrong()).alias("false_positives"),
+            F.count_if(_only_gt() | _wrong()).alias("false_negatives"),
+            *_sweep_counts(),
+        )
+        .withColumn("precision_at_50", precision(tp, fp))
+        .withColumn("recall_at_50", recall(tp, fn))
+        .withColumn("f1_at_50", f1(F.col("precision_at_50"), F.col("recall_at_50")))
+        .withColumn("mean_precision_50_95", sum(precisions) / len(precisions))
+        .drop(*[f"{c}{k}" for k in SWEEP for c in ("tp", "fp", "fn")])
     )
-    one = F.lit(1).alias("_one")
-    return totals.select("*", one).join(sweep.select("*", one), "_one").drop("_one")
 
 
 def class_metrics(rows: DataFrame) -> DataFrame:

@@ -111,8 +111,15 @@ def scene_comparison(images: DataFrame, counts: DataFrame, gold: DataFrame) -> D
     )
 
 
-def _of(category: str, value: str) -> Column:
-    return F.max(F.when(F.col("mapped_category") == category, F.col(value)))
+def _of(category: str, value: Column) -> Column:
+    return F.max(F.when(F.col("mapped_category") == category, value))
+
+
+def _side() -> Column:
+    """The level as a number; text would make the grouping sort its rows."""
+    return F.when(F.col("level") == "above_normal", 1).when(
+        F.col("level") == "below_normal", -1
+    ).when(F.col("level") == "normal", 0)
 
 
 def _per_scene(images: DataFrame, counts: DataFrame, gold: DataFrame) -> DataFrame:
@@ -127,10 +134,10 @@ def scene_reminders(images: DataFrame, counts: DataFrame, gold: DataFrame) -> Da
     the grouping share the image_id partitioning.
     """
     per_image = _per_scene(images, counts, gold).groupBy("image_id", *SCENE).agg(
-        _of("vehicle", "level").alias("_vl"),
-        _of("vehicle", "current_count").alias("_vn"),
-        _of("vehicle", "historical_avg").alias("_va"),
-        _of("pedestrian", "level").alias("_pl"),
+        _of("vehicle", _side()).alias("_vl"),
+        _of("vehicle", F.col("current_count")).alias("_vn"),
+        _of("vehicle", F.col("historical_avg")).alias("_va"),
+        _of("pedestrian", _side()).alias("_pl"),
     )
     weather, time, scene = (F.col(c) for c in SCENE)
     vl, vn, va = F.col("_vl"), F.col("_vn"), one_decimal(F.col("_va"))
@@ -138,12 +145,12 @@ def scene_reminders(images: DataFrame, counts: DataFrame, gold: DataFrame) -> Da
     for value, text in WEATHER_REMINDERS.items():
         reminder = reminder.when(weather == value, text)
     reminder = (
-        reminder.when(vl == "above_normal", F.format_string(HEAVY_TRAFFIC, vn, va))
+        reminder.when(vl > 0, F.format_string(HEAVY_TRAFFIC, vn, va))
         .when(
-            (vl == "below_normal") & (scene == "highway"),
+            (vl < 0) & (scene == "highway"),
             F.format_string(LIGHT_HIGHWAY, vn, va),
         )
-        .when(F.col("_pl") == "above_normal", MANY_PEDESTRIANS)
+        .when(F.col("_pl") > 0, MANY_PEDESTRIANS)
     )
     for value, text in TIME_REMINDERS.items():
         reminder = reminder.when(time == value, text)

@@ -4,6 +4,8 @@ Everything is a Variant expression: the document is parsed once in the JVM,
 whatever its shape, and no schema is imposed before the verdict.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -138,8 +140,8 @@ def validation_summary(checked: DataFrame) -> DataFrame:
     return checked.groupBy("is_valid").agg(F.count(F.lit(1)).alias("n_files"))
 
 
-def strictly_qualified(documents: DataFrame, text: str = "value") -> DataFrame:
-    """Documents passing the second rule set; unparseable ones drop out silently."""
+def _if_strict(text: Column, result: Callable[[Column], Column]) -> Column:
+    """``result`` of the document as an object where it passes the second rule set, else NULL."""
 
     def passes(doc: Column, inner: Column) -> Column:
         ok = F.coalesce(F.size(inner["labels"]) > 0, F.lit(False))
@@ -149,18 +151,23 @@ def strictly_qualified(documents: DataFrame, text: str = "value") -> DataFrame:
             ok = ok & _has(inner["attributes"], k)
         return ok
 
-    return documents.where(
-        let(
-            _as(F.try_parse_json(F.col(text)), _OBJECT),
-            lambda doc: let(_inner(doc), lambda inner: passes(doc, inner)),
-        )
+    return let(
+        _as(F.try_parse_json(text), _OBJECT),
+        lambda doc: let(_inner(doc), lambda inner: F.when(passes(doc, inner), result(doc))),
     )
 
 
+def strictly_qualified(documents: DataFrame, text: str = "value") -> DataFrame:
+    """Documents passing the second rule set; unparseable ones drop out silently."""
+    return documents.where(_if_strict(F.col(text), lambda doc: F.lit(True)))
+
+
 def qualified_names(
     documents: DataFrame, images: DataFrame, text: str = "value", key: str = "name"
 ) -> DataFrame:
     """Names of the strictly qualified documents, with ``is_present``: whether the image exists."""
-    name = F.try_variant_get(F.try_parse_json(F.col(text)), f"$.{key}", "string")
-    names = strictly_qualified(documents, text).select(name.alias(key))
-    return with_presence(names, images, key)
+    # exploded rather than filtered: a filter would parse every document a second time
+    name = _if_strict(
+        F.col(text), lambda doc: F.array(F.try_variant_get(doc[key], "$", "string"))
+    )
+    return with_presence(documents.select(F.explode(name).alias(key)), images, key)
