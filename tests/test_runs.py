@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vialens.operators import annotate, runs
 from vialens.plans import annotation
 from vialens.plans.medallion import Lake
+from vialens.sources import readers
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -127,6 +128,16 @@ def test_annotation_statuses(spark):
     }
 
 
+def test_tasks_open_the_files(spark, tmp_path):
+    (tmp_path / "a b%20é.jpg").write_text("city")
+    listed = readers.file_listing(spark, str(tmp_path)).select("filename", "path")
+    gone = spark.createDataFrame([("gone.jpg", f"file:{tmp_path}/gone.jpg")], listed.schema)
+    work = annotate.spread(listed.union(gone), 1)
+    got = {r.name: r for r in annotate.annotate(work, classify, detect).collect()}
+    assert got["a b%20é.jpg"].attributes.scene == "city"
+    assert tuple(got["gone.jpg"].processing_status) == ("error", "error")
+
+
 def test_worklist_limit_and_force(spark):
     files = spark.createDataFrame([(f"{c}.jpg",) for c in "dcba"] + [("x.txt",)], "filename string")
     done = spark.createDataFrame([("a.jpg",), ("a.jpg",)], "filename string")

@@ -1,8 +1,10 @@
 """Incremental annotation: pick what is left to do, score it, keep what worked."""
 
 from collections.abc import Callable, Iterator
+from urllib.parse import quote
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +23,21 @@ def worklist(
     return todo if limit is None else todo.orderBy("filename").limit(limit)
 
 
-def _one(name: str, content: bytes, classify: ClassifyScene, detect: DetectObjects) -> dict:
+def read_bytes(path: str) -> bytes:
+    """A whole file, from any store pyarrow can name by URI. ``path`` as Spark lists it."""
+    uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
+    store, inner = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(inner) as stream:
+        return stream.read()
+
+
+def _one(
+    name: str, load: Callable[[], bytes], classify: ClassifyScene, detect: DetectObjects
+) -> dict:
     attributes = dict.fromkeys(SCENE_ATTRIBUTES, "unknown")
+    content = None
     try:
+        content = load()
         found = classify(name, content)
         known = bool(found) and any(v != "unknown" for v in found.values())
         if known:
@@ -33,6 +47,8 @@ def _one(name: str, content: bytes, classify: ClassifyScene, detect: DetectObjec
         scene = "error"
     labels = []
     try:
+        if content is None:
+            raise FileNotFoundError(name)
         labels = detect(content) or []
         objects = "success" if labels else "failed"
     except Exception:
@@ -45,20 +61,39 @@ def _one(name: str, content: bytes, classify: ClassifyScene, detect: DetectObjec
     }
 
 
-def annotate(work: DataFrame, classify: ClassifyScene, detect: DetectObjects) -> DataFrame:
-    """Runs the caller's two models over (filename, content) rows, in the tasks that hold them.
+def annotate(
+    work: DataFrame,
+    classify: ClassifyScene,
+    detect: DetectObjects,
+    read: Callable[[str], bytes] = read_bytes,
+) -> DataFrame:
+    """Runs the caller's two models over (filename, path) or (filename, content) rows.
 
-    A model that raises marks its own component ``error``; the image goes on.
+    Given paths, the tasks open the files themselves, so image bytes are never
+    joined or shuffled. A model that raises marks its own component ``error``
+    and the image goes on; a file that cannot be read is an error of both.
     """
+    source = "content" if "content" in work.columns else "path"
+
+    def loader(value) -> Callable[[], bytes]:
+        return (lambda: value) if source == "content" else (lambda: read(value))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame(
-                [_one(n, c, classify, detect) for n, c in zip(batch["filename"], batch["content"])],
+                [
+                    _one(n, loader(v), classify, detect)
+                    for n, v in zip(batch["filename"], batch[source])
+                ],
                 columns=GENERATED_ANNOTATION.names,
             )
 
-    return work.select("filename", "content").mapInPandas(score, GENERATED_ANNOTATION)
+    return work.select("filename", source).mapInPandas(score, GENERATED_ANNOTATION)
+
+
+def spread(work: DataFrame, per_task: int = 64) -> DataFrame:
+    """``work`` in tasks of about ``per_task`` rows: a row is small, scoring its image is not."""
+    return work.repartition(max(1, -(-work.count() // per_task)))
 
 
 def _status(component: str) -> Column:

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialens.operators import annotate, evaluation, matching, runs
-from vialens.operators.transform import keys_of, not_done
+from vialens.operators.scale import settle
+from vialens.operators.transform import keys_of, not_done, with_presence
 from vialens.plans.medallion import Lake
 from vialens.sources import readers, writers
 
@@ -30,19 +31,17 @@ def annotate_step(
 ) -> DataFrame:
     """Annotates what has no annotation yet; returns (filename, ok) of this batch.
 
-    The batch is written before it is judged: models are not run twice for one
-    image, and only a batch within the ceiling joins the annotations.
+    The work list holds paths only; the files are opened by the tasks that score
+    them. The batch is written before it is judged: models are not run twice for
+    one image, and only a batch within the ceiling joins the annotations.
     """
-    files = readers.file_contents(spark, images)
-    try:
-        done = lake.read(spark, "annotations").select(F.col("name").alias("filename"))
-    except Exception as missing:  # the first run has no annotations
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        done = spark.createDataFrame([], "filename string")
-    work = annotate.worklist(files, done, limit)
+    done = lake.read_or_empty(spark, "annotations", "name string")
+    files = readers.file_listing(spark, images).select("filename", "path")
+    work = settle(annotate.worklist(files, done.withColumnRenamed("name", "filename"), limit))
     batch_path = lake.path("annotation_batch")
-    annotate.annotate(work, classify, detect).write.mode("overwrite").parquet(batch_path)
+    annotate.annotate(annotate.spread(work), classify, detect).write.mode("overwrite").parquet(
+        batch_path
+    )
     batch = spark.read.parquet(batch_path)
     if ceiling is not None and not annotate.publishable(batch, ceiling):
         raise FailureCeiling(f"more than {ceiling:.0%} of the batch failed")
@@ -55,31 +54,21 @@ def visualize_step(
 ) -> DataFrame:
     """Overlay boxes and comparison lines of annotated images that have none yet.
 
-    ``images``: filename of the source images. Returns (filename, ok).
+    ``images``: filename of the source images; an annotation without its image
+    fails. Returns (filename, ok).
     """
-    generated = lake.read(spark, "annotations")
-    try:
-        drawn = lake.read(spark, "overlay_lines").select("name")
-        generated = not_done(generated, drawn, "name")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-    have = keys_of(images.withColumnRenamed("filename", "name"), "name")
-    found = generated.join(have, "name", "left_semi")
+    drawn = lake.read_or_empty(spark, "overlay_lines", "name string")
+    todo = not_done(lake.read(spark, "annotations"), drawn, "name")
+    work = settle(with_presence(todo, images.withColumnRenamed("filename", "name"), flag="ok"))
+    found = work.where("ok")
+    shown_truth = truth.join(keys_of(found, "name"), "name", "left_semi")
     boxes = evaluation.overlay_rows(
-        matching.explode_boxes(truth.join(keys_of(found, "name"), "name", "left_semi")),
-        matching.explode_boxes(found),
+        matching.explode_boxes(shown_truth), matching.explode_boxes(found)
     )
-    lines = evaluation.overlay_attributes(truth, found)
-    result = generated.select(
-        F.col("name").alias("filename"), F.lit(True).alias("_")
-    ).join(have.withColumnRenamed("name", "filename").withColumn("ok", F.lit(True)), "filename", "left")
-    result.select("filename", F.coalesce("ok", F.lit(False)).alias("ok")).write.mode(
-        "overwrite"
-    ).parquet(lake.path("overlay_batch"))
     _append(boxes, lake.path("overlay_boxes"))
-    _append(lines, lake.path("overlay_lines"))
-    return spark.read.parquet(lake.path("overlay_batch"))
+    # last: a line marks its image as drawn
+    _append(evaluation.overlay_attributes(truth, found), lake.path("overlay_lines"))
+    return work.select(F.col("name").alias("filename"), "ok")
 
 
 def evaluate_step(

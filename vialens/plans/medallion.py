@@ -6,6 +6,7 @@ repeats only the step it was in, and each table's size is known to the next.
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from vialens.operators import gold as gold_ops
@@ -25,6 +26,16 @@ class Lake:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.parquet(self.path(table))
 
+    def read_or_empty(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
+        """The columns of ``schema``, or no rows while the table does not exist."""
+        try:
+            found = self.read(spark, table)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], schema)
+        return found.select(*spark.createDataFrame([], schema).columns)
+
 
 def land(
     spark: SparkSession, lake: Lake, source: str, on_date: Column | None = None
