@@ -26,20 +26,18 @@ def plain_iou(a, b):
 
 
 def plain_greedy(gt, pred, threshold, score=plain_iou):
-    """Repeatedly the best free pair; the first one found wins a tie."""
-    free_g, free_p, out = list(range(len(gt))), list(range(len(pred))), []
-    table = [[score(a, b) for b in pred] for a in gt]
-    while True:
-        best, at = 0.0, None
-        for i in free_g:
-            for j in free_p:
-                if table[i][j] > best:
-                    best, at = table[i][j], (i, j)
-        if at is None or best < threshold:
-            return out
-        out.append((*at, best))
-        free_g.remove(at[0])
-        free_p.remove(at[1])
+    """All pairs, best first, ties by index; a pair counts while both boxes are free."""
+    pairs = sorted(
+        (-score(a, b), i, j)
+        for i, a in enumerate(gt)
+        for j, b in enumerate(pred)
+        if score(a, b) >= threshold and score(a, b) > 0
+    )
+    met_g, met_p = {}, {}
+    for value, i, j in pairs:
+        if i not in met_g and j not in met_p:
+            met_g[i] = met_p[j] = (i, j, -value)
+    return list(met_g.values())
 
 
 def random_boxes(rng, n, span, copies):

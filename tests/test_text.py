@@ -1,4 +1,3 @@
-import json
 from pathlib import PurePath
 
 from pyspark.sql import functions as F
@@ -46,43 +45,29 @@ def test_city(spark):
     assert got == ["New York", "x.pdf"]
 
 
-def plain_reply(content):
-    """The reply rule in plain Python; all unknown when it does not parse."""
-    unknown = dict.fromkeys(("weather", "timeofday", "scene"), "unknown")
-    if "```json" in content:
-        start = content.find("```json") + 7
-        body = content[start : content.find("```", start)].strip()
-    elif "{" in content and "}" in content:
-        body = content[content.find("{") : content.rfind("}") + 1]
-    else:
-        body = content
-    try:
-        data = json.loads(body)
-        found = data.get("attributes", data)
-        return {k: found.get(k, "unknown") for k in unknown}
-    except (ValueError, AttributeError):
-        return unknown
+REPLIES = {
+    # reply: (weather, timeofday, scene) where it says so
+    'ok ```json\n{"weather": "clear", "scene": "x"}\n``` bye {"weather": "no"}': ("clear", None, "x"),
+    '```json{"weather":"clear"}```': ("clear", None, None),
+    '```json\n{"weather":"open fence"}\n': ("open fence", None, None),
+    '```json {"weather":"lost"}': (None, None, None),
+    'text {"timeofday":"night"} text': (None, "night", None),
+    '{"a":1} and {"b":2}': (None, None, None),
+    "} backwards {": (None, None, None),
+    '{"attributes":{"weather":"in"},"weather":"out"}': ("in", None, None),
+    '{"attributes":{},"weather":"out"}': (None, None, None),
+    '{"attributes":5}': (None, None, None),
+    "[1,2]": (None, None, None),
+    "nothing": (None, None, None),
+    "": (None, None, None),
+    '{"weather":"a\\nb","scene":"s","timeofday":"t","more":[1]}': ("a\nb", "t", "s"),
+    '```\n{"weather":"plain fence"}\n```': ("plain fence", None, None),
+}
 
 
 def test_replies(spark):
-    replies = [
-        'ok ```json\n{"weather": "clear", "scene": "x"}\n``` bye {"weather": "no"}',
-        '```json{"weather":"clear"}```',
-        '```json\n{"weather":"open fence"}\n',
-        '```json {"weather":"lost"}',
-        'text {"timeofday":"night"} text',
-        '{"a":1} and {"b":2}',
-        '} backwards {',
-        '{"attributes":{"weather":"in"},"weather":"out"}',
-        '{"attributes":{}}',
-        '{"attributes":5}',
-        "[1,2]",
-        "nothing",
-        "",
-        '{"weather":"multi\\nline","scene":"s","timeofday":"t","more":[1]}',
-        '```\n{"weather":"plain fence"}\n```',
-    ]
-    df = spark.createDataFrame([(r,) for r in replies], "v string")
-    got = df.select(*X.reply_attributes(F.col("v"))).collect()
-    for reply, r in zip(replies, got):
-        assert r.asDict() == plain_reply(reply), reply
+    df = spark.createDataFrame([(r,) for r in REPLIES], "v string")
+    got = df.select("v", *X.reply_attributes(F.col("v"))).collect()
+    for r in got:
+        want = tuple(v or "unknown" for v in REPLIES[r.v])
+        assert (r.weather, r.timeofday, r.scene) == want, r.v

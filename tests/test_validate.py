@@ -6,118 +6,128 @@ import pytest
 from vialens.operators import validate
 
 
-def plain_check(text):
-    """The rule in plain Python: None when the text cannot be judged."""
-    try:
-        data = json.loads(text)
-    except ValueError:
-        return validate.MALFORMED
-    doc = data[0] if isinstance(data, list) and data else data
-    if not isinstance(doc, dict) and data != []:
-        return validate.NOT_OBJECT
-    errors = [f"Missing required field: {k}" for k in validate.REQUIRED_FIELDS if k not in doc]
-    if "attributes" in doc:
-        if not isinstance(doc["attributes"], dict):
-            errors.append("Field 'attributes' must be an object")
+SCENE = ("weather", "timeofday", "scene")
+NOT_AN_OBJECT = (None, 3, "x", True, [], [1])
+NOT_AN_ARRAY = (None, 3, "x", {}, {"0": 1})
+
+
+class Made:
+    """A document and the errors that were built into it."""
+
+    def __init__(self, rng):
+        self.rng, self.errors = rng, []
+        self.doc = {"name": "n"} if rng.random() > 0.2 else {}
+        for key in validate.REQUIRED_FIELDS:
+            self.put(self.doc, key, "Missing required field: {}")
+        if "attributes" in self.doc:
+            self.doc["attributes"] = self.attributes()
+        if "labels" in self.doc:
+            self.doc["labels"] = self.labels()
+
+    def put(self, obj, key, message, share=0.1):
+        """Sets the key, to null at times, or leaves it out and notes the error."""
+        if self.rng.random() < share:
+            self.errors.append(message.format(key))
         else:
-            errors += [
-                f"Missing required attribute: {k}"
-                for k in ("weather", "timeofday", "scene")
-                if k not in doc["attributes"]
-            ]
-    if "labels" in doc:
-        if not isinstance(doc["labels"], list):
-            errors.append("Field 'labels' must be an array")
-        else:
-            for i, label in enumerate(doc["labels"][:10]):
-                if not isinstance(label, dict):
-                    errors.append(f"Label {i} must be an object")
-                    continue
-                errors += [
-                    f"Label {i} missing required field: {k}"
-                    for k in validate.LABEL_FIELDS
-                    if k not in label
-                ]
-                if isinstance(label.get("box2d"), dict):
-                    errors += [
-                        f"Label {i} box2d missing field: {k}"
-                        for k in validate.BOX_FIELDS
-                        if k not in label["box2d"]
-                    ]
-    return "; ".join(errors)
-
-
-def plain_strict(text):
-    try:
-        doc = json.loads(text)
-    except ValueError:
-        return False
-    return (
-        isinstance(doc, dict)
-        and all(k in doc for k in ("name", "attributes", "labels"))
-        and isinstance(doc["attributes"], dict)
-        and all(k in doc["attributes"] for k in ("weather", "timeofday", "scene"))
-        and isinstance(doc["labels"], list)
-        and len(doc["labels"]) > 0
-    )
-
-
-def random_document(rng):
-    def some(keys, make, drop=0.12):
-        return {k: make(k) for k in keys if rng.random() > drop}
-
-    odd = lambda: rng.choice([None, 3, "x", True, [], {}, [1], {"a": 1}])
-
-    def label():
-        if rng.random() < 0.08:
-            return odd()
-        out = some(validate.LABEL_FIELDS, lambda k: "v", 0.05)
-        if "box2d" in out:
-            out["box2d"] = (
-                odd() if rng.random() < 0.2 else some(validate.BOX_FIELDS, lambda k: 1.5, 0.05)
-            )
+            obj[key] = self.rng.choice([None, 1, "v", 2.5])
+
+    def attributes(self):
+        if self.rng.random() < 0.15:
+            self.errors.append("Field 'attributes' must be an object")
+            return self.rng.choice(NOT_AN_OBJECT)
+        out = {}
+        for key in SCENE:
+            self.put(out, key, "Missing required attribute: {}")
+        return out
+
+    def labels(self):
+        if self.rng.random() < 0.15:
+            self.errors.append("Field 'labels' must be an array")
+            return self.rng.choice(NOT_AN_ARRAY)
+        out, noted = [], None
+        for i in range(self.rng.randint(0, 13)):
+            if i == 10:
+                noted = list(self.errors)  # labels from here on are not checked
+            out.append(self.label(i))
+        if noted is not None:
+            self.errors = noted
+        return out
+
+    def label(self, i):
+        if self.rng.random() < 0.06:
+            self.errors.append(f"Label {i} must be an object")
+            return self.rng.choice(NOT_AN_OBJECT)
+        out = {}
+        for key in validate.LABEL_FIELDS:
+            self.put(out, key, f"Label {i} missing required field: {{}}", 0.04)
+        if "box2d" in out and self.rng.random() < 0.8:
+            out["box2d"] = {}
+            for key in validate.BOX_FIELDS:
+                self.put(out["box2d"], key, f"Label {i} box2d missing field: {{}}", 0.04)
         return out
 
-    doc = some(["name", *validate.REQUIRED_FIELDS], lambda k: rng.choice(["v", None, 7]))
-    if "attributes" in doc:
-        doc["attributes"] = (
-            odd() if rng.random() < 0.2 else some(("weather", "timeofday", "scene"), lambda k: None)
+    @property
+    def strict(self):
+        d = self.doc
+        return (
+            {"name", "attributes", "labels"} <= d.keys()
+            and isinstance(d["attributes"], dict)
+            and set(SCENE) <= d["attributes"].keys()
+            and isinstance(d["labels"], list)
+            and d["labels"] != []
         )
-    if "labels" in doc:
-        doc["labels"] = odd() if rng.random() < 0.2 else [label() for _ in range(rng.randint(0, 13))]
-    shape = rng.random()
+
+
+def made_document(rng):
+    """(text, errors, strictly qualified)"""
+    made = Made(rng)
+    errors, text, shape = "; ".join(made.errors), json.dumps(made.doc), rng.random()
     if shape < 0.1:
-        return json.dumps([doc, odd()])
-    if shape < 0.15:
-        return json.dumps(odd())
-    text = json.dumps(doc)
-    return text[: rng.randint(0, len(text))] if shape < 0.25 else text
+        return json.dumps([made.doc, rng.choice(NOT_AN_OBJECT)]), errors, False
+    if shape < 0.2:
+        return text[: rng.randint(0, len(text) - 1)], validate.MALFORMED, False
+    return text, errors, made.strict
+
+
+MISSING_ALL = "; ".join(f"Missing required field: {k}" for k in validate.REQUIRED_FIELDS)
+SPECIAL = [
+    ("", validate.MALFORMED, False),
+    ("[]", MISSING_ALL, False),
+    ("{}", MISSING_ALL, False),
+    ("null", validate.NOT_OBJECT, False),
+    ("[[]]", validate.NOT_OBJECT, False),
+    ("[null, {}]", validate.NOT_OBJECT, False),
+    ("5", validate.NOT_OBJECT, False),
+    ('"video_name"', validate.NOT_OBJECT, False),
+]
 
 
 @pytest.fixture(scope="module")
 def documents(spark):
     rng = random.Random(11)
-    texts = ["", "[]", "{}", "null", "[[]]", "5"] + [random_document(rng) for _ in range(1500)]
-    return texts, spark.createDataFrame(list(enumerate(texts)), "n long, value string")
+    made = SPECIAL + [made_document(rng) for _ in range(1500)]
+    rows = [(n, text) for n, (text, _, _) in enumerate(made)]
+    return made, spark.createDataFrame(rows, "n long, value string")
 
 
-def test_errors_equal_the_plain_rule(documents):
-    texts, df = documents
+def test_errors_are_those_built_in(documents):
+    made, df = documents
     for r in validate.validated(df).collect():
-        expected = plain_check(texts[r.n])
-        assert (r.errors, r.is_valid) == (expected, expected == ""), texts[r.n]
+        text, errors, _ = made[r.n]
+        assert (r.errors, r.is_valid) == (errors, errors == ""), text
 
 
 def test_strict_rule(documents):
-    texts, df = documents
+    made, df = documents
     kept = {r.n for r in validate.strictly_qualified(df).collect()}
-    assert kept == {i for i, t in enumerate(texts) if plain_strict(t)}
+    assert kept == {n for n, (_, _, strict) in enumerate(made) if strict}
 
 
 def test_qualified_plus_unqualified_is_all(documents):
-    texts, df = documents
+    made, df = documents
     counts = validate.validation_summary(validate.validated(df)).collect()
-    assert sum(r.n_files for r in counts) == len(texts)
+    assert sum(r.n_files for r in counts) == len(made)
+    assert min(r.n_files for r in counts) > 50
 
 
 def test_label_limit_can_be_lifted(spark):

@@ -137,7 +137,10 @@ def label_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "F", F.concat(F.lit("f"), key)).alias("image_filename"),
         F.when(priority != "5-LOW", F.concat(F.lit("v"), key)).alias("video_name"),
         F.col("o_custkey").alias("frame_index"),
-        F.when(status == "P", F.unix_timestamp("o_orderdate")).alias("timestamp"),
+        F.when(
+            status == "P",
+            F.expr("timestampdiff(SECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', o_orderdate)"),
+        ).alias("timestamp"),
         F.when(status != "F", scene).alias("metadata"),
         F.when(status != "O", scene).alias("attributes"),
         F.when(status != "P", F.array(F.lit(1), F.lit(2))).alias("labels"),
