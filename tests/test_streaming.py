@@ -29,7 +29,8 @@ def finish(query):
 
 def test_routing_equals_the_batch(spark, source, tmp_path):
     target, state = str(tmp_path / "out"), str(tmp_path / "state")
-    finish(jobs.route_stream(spark, str(source), target, state))
+    finish(jobs.route_stream(spark, str(source), target, state, batch_files=2))
+    assert len(list((tmp_path / "out").glob("batch=*"))) == 2
     add(source)
     finish(jobs.route_stream(spark, str(source), target, state))  # only the new file
     columns = ["file_name", "is_valid", "errors"]

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialens.functions.boxes import CORNERS, box_area, corner_columns, overlaps
-from vialens.operators.scale import number_rows, settle
+from vialens.operators.scale import number_rows, settle, written
 
 # True boxes times predicted boxes up to which one image is matched in one place.
 PAIR_LIMIT = 10_000
@@ -256,8 +256,10 @@ def _match_large(
     each round a class pair is matched when its next two free boxes come first
     among all pairs of either class: nothing could take them earlier. When no
     other pair of either class has the same IoU, all free boxes of the smaller
-    class are matched at once. As soon as an image's open pairs are few, they
-    are finished in one expression.
+    class are matched at once. As soon as an image's open pairs are few, it
+    leaves the rounds and is finished in one expression.
+
+    A round writes two tables: what it matched, and the pairs still open.
     """
     g_classes, g_members = _classes(gt)
     p_classes, p_members = _classes(pred)
@@ -266,7 +268,7 @@ def _match_large(
         if legacy_iou or threshold < _GRID_THRESHOLD
         else _grid_pairs(g_classes, p_classes, threshold)
     )
-    pairs = met.select(
+    first = met.select(
         "g.image_id",
         F.col("g.idx").alias("g_cls"),
         F.col("p.idx").alias("p_cls"),
@@ -278,39 +280,29 @@ def _match_large(
         F.col("g.idx").alias("head_g"),
         F.col("p.idx").alias("head_p"),
     )
-    pairs = settle(pairs)
-    done = None
-    while not pairs.isEmpty():
-        open_pairs = pairs.groupBy("image_id").agg(
-            F.sum((F.col("n_g") - F.col("at_g")) * (F.col("n_p") - F.col("at_p"))).alias("_w")
-        )
-        few = open_pairs.where(F.col("_w") <= limit).select("image_id")
-        done = _plus(
-            done, _finish(pairs.join(few, "image_id", "left_semi"), g_members, p_members)
-        )
-        pairs = settle(pairs.join(few, "image_id", "left_anti"))
-        if pairs.isEmpty():
+    read = gt.sparkSession.read
+    open_paths, won_paths = [written(_with_few(first, limit))], []
+    while True:
+        rest = read.parquet(open_paths[-1]).where(~F.col("is_few")).drop("is_few")
+        if rest.isEmpty():
             break
-        won = settle(_round(pairs))
-        done = _plus(done, _expand(won, g_members, p_members))
-        pairs = settle(_advance(pairs, won, g_members, p_members))
-    if done is None:
-        return gt.sparkSession.createDataFrame([], _empty_schema(gt))
+        won_paths.append(written(_round(rest)))
+        left = _advance(rest, read.parquet(won_paths[-1]), g_members, p_members)
+        open_paths.append(written(_with_few(left, limit)))
+    # an image is few in one round only: the one it leaves in
+    few = read.parquet(*open_paths).where("is_few").drop("is_few")
+    done = _finish(few, g_members, p_members).select(*_RESULT)
+    if won_paths:
+        won = read.parquet(*won_paths)
+        done = done.unionByName(_expand(won, g_members, p_members).select(*_RESULT))
     return done
 
 
-def _plus(done: DataFrame | None, more: DataFrame) -> DataFrame:
-    # settled round by round: the plan of the result must not grow with the rounds
-    more = settle(more.select(*_RESULT))
-    return more if done is None else done.unionByName(more)
-
-
-def _empty_schema(gt: DataFrame) -> str:
-    kinds = dict(gt.dtypes)
-    return (
-        f"image_id {kinds['image_id']}, g {kinds['idx']}, p {kinds['idx']}, iou double, "
-        "gt_id string, pred_id string, gt_category string, pred_category string"
-    )
+def _with_few(pairs: DataFrame, limit: int) -> DataFrame:
+    """Flags the pairs of images whose open pairs, counted by box, are within ``limit``."""
+    boxes = (F.col("n_g") - F.col("at_g")) * (F.col("n_p") - F.col("at_p"))
+    weight = pairs.groupBy("image_id").agg((F.sum(boxes) <= limit).alias("is_few"))
+    return pairs.join(weight, "image_id")
 
 
 def _round(pairs: DataFrame) -> DataFrame:

@@ -24,18 +24,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def written(df: DataFrame) -> str:
+    """Writes ``df`` as a table of its own in the shared folder; returns the path.
+
+    The tables of an application share a folder, which can go when it has ended.
+    """
+    app = df.sparkSession.sparkContext.applicationId
+    path = f"{shared_folder(df.sparkSession)}/settled/{app}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Cuts the lineage in a way that outlives lost executors, fixes values that
-    depend on physical placement, and gives the planner a known size. The
-    tables of an application share a folder, which can go when it has ended.
+    depend on physical placement, and gives the planner a known size.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/settled/{app}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(written(df))
 
 
 def number_rows(

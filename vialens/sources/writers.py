@@ -11,7 +11,10 @@ def write_table(
     fmt: str = "parquet",
     table: str | None = None,
 ) -> None:
-    """Overwrite a table; with ``partition_by`` only the partitions present in ``df``."""
+    """Overwrite a table; with ``partition_by`` only the partitions present in ``df``.
+
+    A named ``table`` is replaced as a whole.
+    """
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")

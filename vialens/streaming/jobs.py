@@ -12,15 +12,25 @@ from vialens.operators.validate import validated
 from vialens.sources.writers import route_validated
 
 
+# Files taken into one micro-batch: a backlog is worked off in bounded steps.
+BATCH_FILES = 10_000
+
+
 def route_stream(
-    spark: SparkSession, source: str, target: str, checkpoint: str, **trigger
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    batch_files: int = BATCH_FILES,
+    **trigger,
 ) -> StreamingQuery:
     """Validates arriving documents and appends them, by verdict, under ``target``.
 
     Each micro-batch writes its own folder and overwrites it when replayed, so a
     restarted query neither loses nor doubles documents.
     """
-    arriving = spark.readStream.text(source, wholetext=True).select(
+    reader = spark.readStream.option("maxFilesPerTrigger", batch_files)
+    arriving = reader.text(source, wholetext=True).select(
         F.col("_metadata.file_name").alias("file_name"), "value"
     )
 
@@ -35,9 +45,12 @@ def route_stream(
     )
 
 
-def document_stream(spark: SparkSession, source: str) -> DataFrame:
+def document_stream(
+    spark: SparkSession, source: str, batch_files: int = BATCH_FILES
+) -> DataFrame:
     return (
         spark.readStream.schema(schemas.LABEL_DOCUMENT)
+        .option("maxFilesPerTrigger", batch_files)
         .option("multiLine", True)
         .option("columnNameOfCorruptRecord", schemas.CORRUPT)
         .json(source)
@@ -68,6 +81,7 @@ def score_stream(
     gold: DataFrame,
     target: str,
     checkpoint: str,
+    batch_files: int = BATCH_FILES,
     **trigger,
 ) -> StreamingQuery:
     """Scores arriving documents against the statistics table, micro-batch by micro-batch.
@@ -82,7 +96,7 @@ def score_stream(
         )
 
     return (
-        document_stream(spark, source)
+        document_stream(spark, source, batch_files)
         .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
