@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialens.functions.text import video_of
-from vialens.operators.scale import member_pages
+from vialens.operators.scale import member_pages, settle
 from vialens.schemas import SCENE_ATTRIBUTES
 
 SCENE = list(SCENE_ATTRIBUTES)
@@ -172,12 +172,13 @@ def per_image_documents(
     list of a video that fits one page of ``members`` (from video_members) is
     embedded. A longer one would be repeated for every one of its images, so
     those rows carry ``video_frame_count`` and NULL, and the list is
-    ``members`` itself, by video_name.
+    ``members`` itself, by video_name. The lists are settled so that the images
+    of one huge video can be split over tasks in the join.
     """
     total = members.groupBy("video_name").agg(
         F.sum("n_rows").alias("video_frame_count"), F.max("page").alias("_last")
     )
-    lists = (
+    lists = settle(
         members.where(F.col("page") == 0)
         .join(total, "video_name")
         .select(

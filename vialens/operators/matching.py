@@ -238,8 +238,10 @@ def _classes(boxes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     corners = list(CORNERS)
     full = boxes.dropna(subset=corners)
-    classes = full.groupBy("image_id", *corners).agg(
-        F.min("idx").alias("idx"), F.count(F.lit(1)).alias("n")
+    classes = settle(
+        full.groupBy("image_id", *corners).agg(
+            F.min("idx").alias("idx"), F.count(F.lit(1)).alias("n")
+        )
     )
     named = full.join(
         classes.withColumnRenamed("idx", "cls").drop("n"), ["image_id", *corners]

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialens.functions.ratios import ratio
+from vialens.operators.scale import settle
 
 # Steps in running order, and those whose counts add up over reruns.
 STEPS = ("annotate", "visualize", "evaluate")
@@ -126,7 +127,7 @@ def tracked_files(files: DataFrame) -> DataFrame:
     latest pass. The list stays a table, however long it is.
     """
     adds = F.col("step").isin(*ADDITIVE_STEPS)
-    last = files.groupBy("run_id", "step").agg(F.max("at").alias("_last"))
+    last = settle(files.groupBy("run_id", "step").agg(F.max("at").alias("_last")))
     return files.join(last, ["run_id", "step"]).where(adds | (F.col("at") == F.col("_last"))).drop(
         "_last"
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vialens.functions.boxes import box_area
 from vialens.functions.text import file_stem, is_image_name
+from vialens.operators.scale import settle
 from vialens.schemas import CATEGORY_MAPPING, CATEGORY_ROWS, SCENE_ATTRIBUTES
 
 
@@ -114,9 +115,11 @@ def image_files(files: DataFrame, name: str = "filename") -> DataFrame:
 def keys_of(df: DataFrame, key: str) -> DataFrame:
     """The distinct keys of ``df``, for the right side of a semi or anti join.
 
-    Copies of a key fall away before the shuffle the join needs anyway.
+    Copies of a key fall away, and the keys are settled: adaptive execution
+    splits a hot key of the other side only when this side comes straight from
+    a scan, and a short list is broadcast.
     """
-    return df.select(key).distinct()
+    return settle(df.select(key).distinct())
 
 
 def with_presence(
