@@ -9,8 +9,6 @@ expression; larger ones by rounds over the whole cluster. Both follow that
 order exactly.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
