@@ -31,14 +31,15 @@ def shaped_documents(
     """id (``doc_<position>``), content and source of every corpus record.
 
     Content is the passage, else the text, else the whole record as JSON.
-    Positions follow ``order``, which must be unique.
+    Positions follow ``order``, which must be unique. Only the ``order`` column
+    is numbered; the records meet their numbers in a join by it, whose
+    partitioning a later join by the same column (with_embeddings) reuses.
     """
     have = [F.col(c) for c in (passage, text) if c in corpus.columns]
     content = F.coalesce(*have, F.to_json(F.struct("*")))
-    numbered = number_rows(
-        corpus.select(order, content.alias("content"), source.alias("source")), [order], name="_i"
-    )
-    return numbered.select(
+    shaped = corpus.select(order, content.alias("content"), source.alias("source"))
+    positions = number_rows(corpus.select(order), [order], name="_i")
+    return shaped.join(positions, order).select(
         order, F.concat(F.lit("doc_"), F.col("_i").cast("string")).alias("id"), "content", "source"
     )
 
