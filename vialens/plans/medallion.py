@@ -55,9 +55,15 @@ def cleanse(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
 def refine(
     spark: SparkSession, lake: Lake, on_date: Column | None = None, at_time: Column | None = None
 ) -> None:
-    """Images and labels tables from the qualified documents."""
+    """Images and labels tables from the qualified documents.
+
+    The text is parsed once, into a table; the images then read little of it.
+    """
     qualified = lake.read(spark, "validated").where("verdict = 'qualified'")
-    documents = readers.documents_from_text(qualified)
+    writers.write_table(
+        readers.documents_from_text(qualified), lake.path("documents"), partition_by=None
+    )
+    documents = lake.read(spark, "documents")
     writers.write_table(
         transform.images_table(documents, on_date, at_time), lake.path("std_images_table")
     )
