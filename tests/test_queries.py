@@ -4,8 +4,11 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
 import oracle_check
+from vialens.plans.oracles import ORACLES
+from vialens.plans.queries import QUERIES
+
+import __spark_entry__ as contract
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,16 +20,19 @@ def con():
     return oracle_check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    problem, *_ = oracle_check.compare(
-        spark, con, name, contract.queries()[name], contract.oracle_sql()[name], SF_DIR
-    )
+    problem, *_ = oracle_check.compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR)
     assert problem is None
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
