@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.llm import token_store
+from vialens.llm import pieces, token_store
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,8 @@ def op8_token_store(spark, d):
     return token_store.token_digests(
         source(spark, d, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2
     )
+
+
+@query
+def op10_pieces(spark, d):
+    return pieces.piece_digests(source(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
