@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.operators.scale import settle, shared_folder
+from vialens.operators.scale import shared_folder
 
 __all__ = ["new_folder", "partitions", "settle", "shared_folder", "source"]
 
@@ -15,6 +15,13 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/settled/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
+    """``df`` as a table in the shared folder: its lineage ends there and its size is known."""
+    path = new_folder(df.sparkSession, "table")
+    df.write.option("compression", compression).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -9,6 +9,10 @@ tokens a byte, lowest bits first: the number of bytes of its rank less one.
 ``data`` has the ranks' bytes, lowest first. Both are binary columns of
 uncompressed Parquet, so any store Spark writes to will do, and a lost task's
 output is never seen.
+
+The tokenizer runs once. Drafts of the blocks rank ids by their count in the
+block itself and carry these counts; once all are summed, the drafts are
+recoded with the ranks of the whole corpus, block by block.
 """
 
 import json
@@ -23,11 +27,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vialens.llm.bytewords import Chunk, bounds, ragged, text_chunks
-from vialens.llm.shared import new_folder
+from vialens.llm.shared import new_folder, partitions, settle
 from vialens.llm.units import Units, worker_state
 
 _UNITS = 50
-_CHUNK_BYTES = 8 << 20
+_CHUNK_BYTES = 4 << 20
 
 _BLOCK = pa.schema(
     [
@@ -45,6 +49,10 @@ _BLOCK_SQL = (
     "shard int, block int, before long, n_ids long, doc_id array<long>, n_tokens array<long>, "
     "control binary, data binary"
 )
+_DRAFT = _BLOCK.append(pa.field("token_id", pa.list_(pa.int32()))).append(
+    pa.field("n", pa.list_(pa.int64()))
+)
+_DRAFT_SQL = f"{_BLOCK_SQL}, token_id array<int>, n array<long>"
 
 
 # codes
@@ -133,15 +141,6 @@ class ByteLevel:
         document = np.searchsorted(chunk.offsets, starts, "right") - 1
         return ids, np.bincount(document, counts, chunk.n).astype(np.int64)
 
-    def counts(self, chunk: Chunk) -> np.ndarray:
-        """How often each id occurs in the chunk."""
-        unit, first, count, ids = self.units.spans(chunk, *self.spans(chunk))
-        times = np.bincount(unit, minlength=len(first))
-        used = np.flatnonzero(times)
-        found = ids[ragged(first[used], count[used])]
-        weights = np.repeat(times[used], count[used])
-        return np.bincount(found, weights, len(self.bytes_of)).astype(np.int64)
-
     def _contents(self, contents: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(contents)
         joined = [i for i, c in enumerate(contents) if c[:1] == b" "] if self.by_units else []
@@ -175,23 +174,38 @@ def _loaded(path: str) -> ByteLevel:
     return worker_state(f"byte_level:{path}", lambda: ByteLevel(path))
 
 
-def token_counts(docs: DataFrame, tokenizer: str, text: str = "text", end_id: int = 2) -> DataFrame:
-    """(token_id, n) over all documents, end ids included."""
+def _drafts(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """Blocks of (doc_id, text), with the block's ids by falling count and their counts."""
 
-    def count(batches: Iterator[pa.RecordBatch]):
-        encoder = _loaded(tokenizer)
-        total = np.zeros(max(len(encoder.bytes_of), end_id + 1), np.int64)
+    def draft(batches: Iterator[pa.RecordBatch]):
+        encoder, shard = _loaded(tokenizer), TaskContext.get().partitionId()
+        number = before = 0
         for batch in batches:
-            for chunk in text_chunks(batch.column(0), size=_CHUNK_BYTES):
-                total[: len(encoder.bytes_of)] += encoder.counts(chunk)
-                total[end_id] += chunk.n
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["token_id", "n"]
-        )
+            doc_ids = batch.column(0)
+            for chunk in text_chunks(batch.column(1), size=_CHUNK_BYTES):
+                ids, counts = encoder.encode(chunk)
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                n = np.bincount(ids)
+                order = np.argsort(-n, kind="stable")[: np.count_nonzero(n)]
+                local = np.zeros(len(n), np.uint32)
+                local[order] = np.arange(len(order))
+                control, data = pack(local[ids])
+                row = {
+                    "shard": [shard],
+                    "block": [number],
+                    "before": [before],
+                    "n_ids": [len(ids)],
+                    "doc_id": [doc_ids[chunk.first : chunk.first + chunk.n].to_pylist()],
+                    "n_tokens": [counts + 1],
+                    "control": [control],
+                    "data": [data],
+                    "token_id": [order],
+                    "n": [n[order]],
+                }
+                yield pa.RecordBatch.from_pydict(row, _DRAFT)
+                number, before = number + 1, before + len(ids)
 
-    counted = docs.select(F.col(text)).mapInArrow(count, "token_id long, n long")
-    return counted.groupBy("token_id").agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(draft, _DRAFT_SQL)
 
 
 def write_tokens(
@@ -205,49 +219,34 @@ def write_tokens(
     """Encode ``docs`` into a token table at ``folder``, in ascending order of ``id``.
 
     Null texts are empty documents (the end id alone); null ids come first;
-    rows that share an id follow each other by text. The corpus is encoded
-    twice, once to count ids: cheaper than keeping the ids of all texts.
+    rows that share an id follow each other by text; no rows make an empty table.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    ordered = docs.repartitionByRange(partitions(spark), "doc_id")
+    ordered = ordered.sortWithinPartitions("doc_id", "text")
+    drafts = settle(_drafts(ordered, tokenizer, end_id), compression="zstd")
     # one row a distinct id: bounded by the tokenizer's vocabulary, so the driver may hold it
-    counts = token_counts(docs, tokenizer, "text", end_id).toPandas()
+    pairs = drafts.select(F.explode(F.arrays_zip("token_id", "n")).alias("p"))
+    counts = pairs.groupBy("p.token_id").agg(F.sum("p.n").alias("n")).toPandas()
     counts = counts.sort_values(["n", "token_id"], ascending=[False, True])
     by_rank = counts["token_id"].to_numpy(np.int64)
     rank_of = np.zeros(int(by_rank.max(initial=end_id)) + 1, np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank))
     spark.createDataFrame(
-        [(int(r), int(i)) for r, i in enumerate(by_rank)], "rank long, token_id long"
+        [(r, int(i)) for r, i in enumerate(by_rank)], "rank long, token_id long"
     ).coalesce(1).write.parquet(f"{folder}/ranks")
 
-    def blocks(batches: Iterator[pa.RecordBatch]):
-        encoder, shard = _loaded(tokenizer), TaskContext.get().partitionId()
-        number = before = 0
+    def recode(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            doc_ids = batch.column(0)
-            for chunk in text_chunks(batch.column(1), size=_CHUNK_BYTES):
-                ids, counts = encoder.encode(chunk)
-                ends = np.cumsum(counts)
-                ranks = np.insert(rank_of[ids], ends, rank_of[end_id])
-                control, data = pack(ranks)
-                row = {
-                    "shard": [shard],
-                    "block": [number],
-                    "before": [before],
-                    "n_ids": [len(ranks)],
-                    "doc_id": [doc_ids[chunk.first : chunk.first + chunk.n].to_pylist()],
-                    "n_tokens": [counts + 1],
-                    "control": [control],
-                    "data": [data],
-                }
-                yield pa.RecordBatch.from_pydict(row, _BLOCK)
-                number, before = number + 1, before + len(ranks)
-
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = docs.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(blocks, _BLOCK_SQL).write.option("compression", "none").parquet(
-        f"{folder}/blocks"
-    )
+            for row in batch.to_pylist():
+                local = rank_of[np.array(row.pop("token_id"), np.int64)]
+                ranks = local[unpack(row["control"], row["data"], row["n_ids"])]
+                row["control"], row["data"] = pack(ranks)
+                yield pa.RecordBatch.from_pylist([row], _BLOCK)
+
+    blocks = drafts.drop("n").mapInArrow(recode, _BLOCK_SQL)
+    blocks.write.option("compression", "none").parquet(f"{folder}/blocks")
     return folder
 
 

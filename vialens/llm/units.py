@@ -12,7 +12,7 @@ import numpy as np
 
 from vialens.llm.bytewords import LONG, Chunk, bounds, ragged, span_hashes
 
-REMEMBERED = 2_000_000
+REMEMBERED = 1_000_000
 
 Encode = Callable[[list[bytes]], list[bytes]]
 
