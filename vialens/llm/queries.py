@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.llm import chat, pieces, token_store
+from vialens.llm import chat, pieces, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_toxicity(spark, d):
+    return toxicity.toxicity_scores(source(spark, d, "documents"), source(spark, d, "labels"))
+
+
 @query
 def op8_token_store(spark, d):
     return token_store.token_digests(
