@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.llm import chat, pieces, token_store, toxicity
+from vialens.llm import chat, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,33 @@ def op1_toxicity(spark, d):
     return toxicity.toxicity_scores(source(spark, d, "documents"), source(spark, d, "labels"))
 
 
+@query
+def op2_substring_dedup(spark, d):
+    return substring_dedup.kept_digests(source(spark, d, "documents"), size=35)
+
+
+ORACLES["op2_substring_dedup"] = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(w) - 33)) AS p, w FROM words WHERE len(w) >= 35
+), hashed AS (
+  SELECT doc_id, p, array_to_string(w[p : p + 34], ' ') AS s FROM starts
+), repeated AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY s) AS n FROM hashed) WHERE n > 1
+), covered AS (
+  SELECT DISTINCT doc_id, unnest(range(p, p + 35)) AS i FROM repeated
+), gone AS (
+  SELECT doc_id, count(*) AS n, list(i) AS l FROM covered GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE
+    [x[1] FOR x IN list_zip(w, range(1, len(w) + 1)) IF NOT list_contains(l, x[2])] END, ' '))
+    AS kept_sha256
+FROM words d LEFT JOIN gone USING (doc_id)
+"""
+
+
 @query
 def op8_token_store(spark, d):
     return token_store.token_digests(

@@ -35,17 +35,21 @@ _SCALE = 10.0
 
 @dataclass(frozen=True)
 class Config:
-    """``max_rows`` and ``max_chars`` bound the sample, ``buckets`` and ``dimensions`` the model."""
+    """``max_rows`` and ``max_chars`` bound the sample, ``buckets`` and ``dimensions`` the model.
+
+    ``floor`` mutes what only a few runs of the sample tell, however large it is.
+    """
 
     buckets: int = 1 << 18
     dimensions: int = 8
     window: int = 4
-    max_rows: int = 5000
+    max_rows: int = 6000
     max_chars: int = 20_000
     rounds: int = 3
     steps: int = 25
     rate: float = 0.05
-    decay: float = 2.0
+    decay: float = 1.5
+    floor: float = 0.6
 
 
 @dataclass(frozen=True)
@@ -97,7 +101,8 @@ def _runs(document: np.ndarray, n_documents: int, window: int):
 
 
 class _Adam:
-    def __init__(self, like):
+    def __init__(self, like, floor: float):
+        self.floor = floor
         self.mean, self.square, self.step = np.zeros_like(like), np.zeros_like(like), 0
 
     def __call__(self, slope):
@@ -105,7 +110,7 @@ class _Adam:
         self.mean += 0.1 * (slope - self.mean)
         self.square += 0.01 * (slope * slope - self.square)
         mean, square = self.mean / (1 - 0.9**self.step), self.square / (1 - 0.99**self.step)
-        return mean / (np.sqrt(square) + 1e-6)
+        return mean / (np.sqrt(square) + self.floor)
 
 
 def fit(texts: pa.Array, toxic: np.ndarray, config: Config = Config()) -> Model:
@@ -135,7 +140,7 @@ def fit(texts: pa.Array, toxic: np.ndarray, config: Config = Config()) -> Model:
     label = toxic[of].astype(float)
     bias = float(np.log((label.sum() + 1) / (n_runs - label.sum() + 1)))
     for _ in range(config.rounds if n_runs else 0):
-        moves = _Adam(table), _Adam(layer), _Adam(np.zeros(1))
+        moves = [_Adam(x, config.floor / n_runs) for x in (table, layer, np.zeros(1))]
         for step in range(config.steps):
             rate = config.rate * (1 - step / config.steps)
             by_word = np.bincount(owner, (table @ layer)[subword], n_words) / size
