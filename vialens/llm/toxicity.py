@@ -196,10 +196,12 @@ def train(
     marks = labels.select(F.col(id).alias("doc_id"), F.col(label).alias("toxic")).dropna()
     marks = marks.groupBy("doc_id").agg((F.max("toxic") > 0).cast("double").alias("toxic"))
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text")).dropna()
-    short = rows.filter(F.length("text") <= config.max_chars)
-    usable = short.filter(~held_out("doc_id", folds)).join(marks, "doc_id")
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("text")]
-    sample = usable.orderBy(*order).limit(config.max_rows).select("text", "toxic")
+    usable = rows.filter((F.length("text") <= config.max_chars) & ~held_out("doc_id", folds))
+    # ids are chosen before any text moves; max_rows of them at most
+    chosen = usable.select("doc_id").distinct().join(marks, "doc_id")
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(config.max_rows)
+    sample = usable.join(F.broadcast(chosen), "doc_id").limit(config.max_rows)
+    sample = sample.select("text", "toxic").coalesce(1).sortWithinPartitions("text", "toxic")
 
     def fitted(batches: Iterator[pa.RecordBatch]):
         read = [b for b in batches if b.num_rows]
@@ -208,7 +210,7 @@ def train(
         model = fit(texts, toxic, config)
         yield pa.RecordBatch.from_pydict({"weights": [model.weights.tobytes()], "bias": [model.bias]})
 
-    row = sample.coalesce(1).mapInArrow(fitted, "weights binary, bias double").first()
+    row = sample.mapInArrow(fitted, "weights binary, bias double").first()
     return Model(np.frombuffer(row["weights"], np.float32), row["bias"], config.window)
 
 
