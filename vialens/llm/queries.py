@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.llm import chat, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, licenses, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,55 @@ FROM words d LEFT JOIN gone USING (doc_id)
 """
 
 
+@query
+def op5_licenses(spark, d):
+    return licenses.license_report(source(spark, d, "documents"))
+
+
+_TEMPLATES = ", ".join(
+    f"('{t}', '{label}', {phrase})"
+    for table, phrase in ((licenses.PHRASES, True), (licenses.NOTICES, False))
+    for t, label in table.items()
+)
+ORACLES["op5_licenses"] = rf"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), grams AS (
+  SELECT doc_id, p - 1 AS pos, w[p] || ' ' || w[p + 1] AS gram
+  FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM words)
+), templates AS (
+  SELECT t, label, phrase, string_split(t, ' ') AS tw FROM (VALUES {_TEMPLATES}) x(t, label, phrase)
+), parts AS (
+  SELECT t, label, phrase, len(tw) - 1 AS n, p - 1 AS tp, tw[p] || ' ' || tw[p + 1] AS gram
+  FROM (SELECT *, unnest(range(1, len(tw))) AS p FROM templates)
+), votes AS (
+  SELECT doc_id, t, label, phrase, n, pos - tp AS d, list(tp) AS tps
+  FROM grams JOIN parts USING (gram) GROUP BY ALL
+), opened AS (
+  SELECT *, CASE WHEN phrase OR coalesce(d - lag(d) OVER (PARTITION BY doc_id, t ORDER BY d), 4) > 3
+    THEN 1 ELSE 0 END AS o FROM votes
+), chained AS (
+  SELECT *, sum(o) OVER (PARTITION BY doc_id, t ORDER BY d ROWS UNBOUNDED PRECEDING) AS s FROM opened
+), spans AS (
+  SELECT doc_id, label, phrase, s, min(d) AS start,
+    len(list_distinct(flatten(list(tps)))) / n AS share
+  FROM chained GROUP BY doc_id, t, label, phrase, n, s
+), verified AS (
+  SELECT * FROM spans WHERE share >= CASE WHEN phrase THEN 1 ELSE 0.8 END
+), report AS (
+  SELECT doc_id, count(*) FILTER (phrase) AS n_base,
+    min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM verified GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM words LEFT JOIN report USING (doc_id)
+"""
+
+
 @query
 def op8_token_store(spark, d):
     return token_store.token_digests(
