@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.llm import chat, licenses, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, licenses, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +105,33 @@ FROM words LEFT JOIN report USING (doc_id)
 """
 
 
+@query
+def op7_decontamination(spark, d):
+    return decontamination.contained_items(
+        source(spark, d, "documents"), source(spark, d, "benchmark"), n=5, threshold=0.75
+    )
+
+
+ORACLES["op7_decontamination"] = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'i', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), grams AS (
+  SELECT DISTINCT kind, id, array_to_string(w[p : p + 4], ' ') AS g
+  FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT id, count(*) AS n FROM grams WHERE kind = 'i' GROUP BY id
+)
+SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n) AS n_item,
+  count(*) / any_value(n) AS containment
+FROM grams d JOIN grams i USING (g) JOIN sizes s ON s.id = i.id
+WHERE d.kind = 'd' AND i.kind = 'i' GROUP BY d.id, i.id HAVING count(*) / any_value(n) >= 0.75
+"""
+
+
 @query
 def op8_token_store(spark, d):
     return token_store.token_digests(
