@@ -3,8 +3,9 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vialens.llm import chat, decontamination, licenses, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, licenses, nearest, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,6 +106,11 @@ FROM words LEFT JOIN report USING (doc_id)
 """
 
 
+@query
+def op6_nearest(spark, d):
+    return nearest.nearest(source(spark, d, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 @query
 def op7_decontamination(spark, d):
     return decontamination.contained_items(
