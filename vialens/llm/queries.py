@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.llm import chat, decontamination, licenses, nearest, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, language_model, licenses, nearest, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -158,6 +158,11 @@ def _conversations(spark, d):
     return source(spark, d, "conversations").select(*columns).unionByName(planted)
 
 
+@query
+def op3_language_model(spark, d):
+    return language_model.perplexities(source(spark, d, "documents"), order=2)
+
+
 @query
 def op4_chat_examples(spark, d):
     return chat.digests(_conversations(spark, d))
