@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.llm import chat, decontamination, language_model, licenses, nearest, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, language_model, licenses, nearest, ngram_join, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,36 @@ def op8_token_store(spark, d):
     )
 
 
+@query
+def op9_ngram_join(spark, d):
+    return ngram_join.near_duplicates(source(spark, d, "documents"), n=5, percent=75)
+
+
+ORACLES["op9_ngram_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[p : p + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS p FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * i >= 75 * (x.n + y.n - i)
+), reached AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d JOIN reached r ON r.a = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id, n
+"""
+
+
 @query
 def op10_pieces(spark, d):
     return pieces.piece_digests(source(spark, d, "documents"), vocabulary("piece_bpe_32k.model"))
