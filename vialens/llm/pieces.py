@@ -240,12 +240,16 @@ def _loaded(path: str) -> Pieces:
     return worker_state(f"pieces:{path}", lambda: Pieces(path))
 
 
-def encode_documents(docs: DataFrame, model: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, model: str, id: str = "doc_id", text: str = "text", spans: bool = True
+) -> DataFrame:
     """(doc_id, ids, begins, ends): the ids of every document and each piece's span of bytes.
 
     Null and empty texts have no ids. A span covers the source bytes of its
     piece in UTF-8; the pieces of a byte-fallback character split its bytes.
+    ``spans=False`` leaves the spans out.
     """
+    names = ["doc_id", "ids"] + ["begins", "ends"] * spans
 
     def encode(batches: Iterator[pa.RecordBatch]):
         pieces = _loaded(model)
@@ -253,14 +257,13 @@ def encode_documents(docs: DataFrame, model: str, id: str = "doc_id", text: str
             for chunk in text_chunks(batch.column(1)):
                 ids, counts, begins, ends = pieces.encode(chunk)
                 at = pa.array(bounds(counts), pa.int32())
-                lists = [
-                    pa.ListArray.from_arrays(at, pa.array(c, pa.int32())) for c in (ids, begins, ends)
-                ]
+                parts = (ids, begins, ends) if spans else (ids,)
+                lists = [pa.ListArray.from_arrays(at, pa.array(c, pa.int32())) for c in parts]
                 keys = batch.column(0).slice(chunk.first, chunk.n)
-                yield pa.RecordBatch.from_arrays([keys, *lists], ["doc_id", "ids", "begins", "ends"])
+                yield pa.RecordBatch.from_arrays([keys, *lists], names)
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    schema = "doc_id long, ids array<int>, begins array<int>, ends array<int>"
+    schema = "doc_id long, ids array<int>" + ", begins array<int>, ends array<int>" * spans
     return rows.mapInArrow(encode, schema)
 
 

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vialens.llm.bytewords import (
     Chunk,
@@ -261,19 +262,23 @@ def repeated_windows(texts: DataFrame, size: int) -> DataFrame:
 
 
 def keep_unrepeated(
-    docs: DataFrame, size: int = 35, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, size: int = 35, text: str = "text", untouched: bool = False
 ) -> DataFrame:
-    """(doc_id, kept, n_words, n_removed): every text without the words of repeated windows.
+    """``docs`` without the words of repeated windows, with ``n_words`` and ``n_removed`` added.
 
-    ``kept`` has the remaining words joined by one space.
+    What is left of a text is joined by one space; with ``untouched`` a text
+    that loses nothing stays as it is. All other columns are carried along
+    (those named ``n_words`` or ``n_removed`` are replaced).
     """
     if size < 8:
         raise ValueError("a window has at least 8 words")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in (text, "n_words", "n_removed")]
     rows = docs.select(
-        F.col(id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
+        F.struct(F.lit(0).alias("_"), *rest).alias("row"),
+        F.coalesce(F.col(text), F.lit("")).alias("text"),
     ).withColumn("key", F.unhex(F.md5(F.col("text").cast("binary"))))
     places = repeated_windows(rows.select("key", "text"), size)
-    joined = rows.join(places, "key", "left").select("doc_id", "text", "places")
+    joined = rows.join(places, "key", "left").select("row", "text", "places")
 
     def remove(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -281,15 +286,15 @@ def keep_unrepeated(
             kept, n_words, n_removed = [], [], []
             for t, p in zip(texts, batch.column(2).to_pylist(), strict=True):
                 words = t.split()
-                n_words.append(len(words))
+                n = len(words)
                 if p:
-                    mark = np.zeros(len(words) + 1, np.int64)
                     at = _merged(p)
-                    mark[at] += 1
-                    np.add.at(mark, np.minimum(at + size, len(words)), -1)
+                    mark = np.bincount(at, minlength=n + 1)
+                    mark -= np.bincount(np.minimum(at + size, n), minlength=n + 1)
                     words = list(compress(words, (np.cumsum(mark)[:-1] == 0).tolist()))
-                kept.append(b" ".join(words))
-                n_removed.append(n_words[-1] - len(words))
+                n_words.append(n)
+                n_removed.append(n - len(words))
+                kept.append(t if untouched and n == len(words) else b" ".join(words))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -297,17 +302,22 @@ def keep_unrepeated(
                     pa.array(n_words, pa.int64()),
                     pa.array(n_removed, pa.int64()),
                 ],
-                ["doc_id", "kept", "n_words", "n_removed"],
+                ["row", "text", "n_words", "n_removed"],
             )
 
-    return joined.mapInArrow(remove, "doc_id long, kept string, n_words long, n_removed long")
+    schema = T.StructType([joined.schema["row"], joined.schema["text"]])
+    schema = schema.add("n_words", "long").add("n_removed", "long")
+    done = joined.mapInArrow(remove, schema)
+    columns = [F.col("text").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
+    columns = [c for c, name in zip(columns, docs.columns) if name not in ("n_words", "n_removed")]
+    return done.select(*columns, "n_words", "n_removed")
 
 
 def kept_digests(docs: DataFrame, size: int = 35) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every document."""
-    return keep_unrepeated(docs, size).select(
-        "doc_id",
+    return keep_unrepeated(docs.select("doc_id", "text"), size).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
         "n_words",
         "n_removed",
-        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
     )
