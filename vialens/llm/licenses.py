@@ -7,7 +7,8 @@ the diagonal. Grams that agree on a diagonal vote for it. Neighbouring
 diagonals of one text and template are merged when they lie within
 ``DRIFT`` words of each other, so a missing or added word does not split a hit.
 A merged span is verified word for word: the share of the template's grams
-that stand in the span, compared as text. Phrases must be there whole.
+that stand in the span, compared as text. Phrases must be there whole. Of notices whose spans overlap, those
+with the largest share stay.
 
 Only grams of some template are ever made into rows: the templates' hashes, a
 fixed set, filter the hashes inside each text's array first.
@@ -153,9 +154,21 @@ def spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
         "doc_id",
         "n_words",
         *[F.when(verified, F.col(c)).alias(c) for c in ("template", "label", "is_phrase", "start")],
+        F.when(verified, F.col("start") + F.col("n_grams")).alias("end"),
         F.when(verified, share).alias("share"),
     )
-    return kept
+    # of notices that overlap, which differ by a word or a version, the best matched stay
+    kind = ["row", "is_phrase"]
+    by_start = Window.partitionBy(*kind).orderBy("start", "end", "template")
+    before = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    places = kept.withColumn("apart", F.coalesce(F.col("start") > before, F.lit(True)).cast("int"))
+    places = places.withColumn("place", F.sum("apart").over(by_start))
+    best = F.max("share").over(Window.partitionBy(*kind, "place"))
+    stays = F.coalesce(F.col("is_phrase") | (F.col("share") == best), F.lit(False))
+    columns = ("template", "label", "is_phrase", "start", "share")
+    return places.withColumn("stays", stays).select(
+        "row", "doc_id", "n_words", *[F.when(F.col("stays"), F.col(c)).alias(c) for c in columns]
+    )
 
 
 def license_report(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:

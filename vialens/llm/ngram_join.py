@@ -290,7 +290,7 @@ def _crowd_links(table: pa.Table, percent: int) -> pa.Table:
     """A spanning forest of the links among the classes of one or two blocks."""
     names = table["key"].to_pylist()
     grams = table["grams"].combine_chunks()
-    sets = [np.unique(x.flatten().to_numpy(zero_copy_only=False)) for x in grams]
+    sets = [np.unique(x.values.flatten().to_numpy(zero_copy_only=False)) for x in grams]
     m = len(sets)
     size = np.array([len(x) for x in sets], np.int64)
     who, hashes = np.repeat(np.arange(m), size), np.concatenate(sets)

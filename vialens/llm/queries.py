@@ -88,11 +88,20 @@ WITH words AS (
 ), chained AS (
   SELECT *, sum(o) OVER (PARTITION BY doc_id, t ORDER BY d ROWS UNBOUNDED PRECEDING) AS s FROM opened
 ), spans AS (
-  SELECT doc_id, label, phrase, s, min(d) AS start,
+  SELECT doc_id, t, label, phrase, s, min(d) AS start, min(d) + n AS stop,
     len(list_distinct(flatten(list(tps)))) / n AS share
   FROM chained GROUP BY doc_id, t, label, phrase, n, s
-), verified AS (
+), whole AS (
   SELECT * FROM spans WHERE share >= CASE WHEN phrase THEN 1 ELSE 0.8 END
+), apart AS (
+  SELECT *, CASE WHEN start <= max(stop) OVER (PARTITION BY doc_id, phrase ORDER BY start, stop, t
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS o FROM whole
+), placed AS (
+  SELECT *, sum(o) OVER (PARTITION BY doc_id, phrase ORDER BY start, stop, t
+    ROWS UNBOUNDED PRECEDING) AS place FROM apart
+), verified AS (
+  SELECT * FROM (SELECT *, max(share) OVER (PARTITION BY doc_id, phrase, place) AS best FROM placed)
+  WHERE phrase OR share = best
 ), report AS (
   SELECT doc_id, count(*) FILTER (phrase) AS n_base,
     min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
