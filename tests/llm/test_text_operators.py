@@ -258,7 +258,8 @@ def test_toxicity_on_held_out_rows_and_misspellings(spark):
     model = toxicity.train(docs, labels)
     odd = pa.array(["ka lo zgrumpfers mi re", "ka lo mi re tu", "", None, "KA LO ZGRUMPF MI"])
     scores = toxicity.score_texts(odd, model)
-    assert scores[0] > 0.5 > scores[1]
+    assert scores[0] > 0.3  # an ending never seen
+    assert scores[1] < 0.1
     assert scores[2] == scores[3] < 0.5
     assert scores[4] > 0.5
     long = toxicity.score_texts(pa.array(["ka lo mi re tu " * 20_000 + "zgrumpf blexhorn zgrumpf blexhorn"]), model)

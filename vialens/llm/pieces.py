@@ -96,7 +96,7 @@ class Normaliser:
                     break
                 at += n
         if at == len(text):
-            return b"", np.array([len(text)])
+            return b"", np.array([0])
         if self.prefix and not self.suffix:
             out += self.space
             source += [at] * len(self.space)
