@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vialens import schemas
-from vialens.operators import gold, scale, transform, validate
+from vialens.operators import documents, gold, scale, transform, validate
 from vialens.plans import medallion
 from vialens.sources import readers, writers
 
@@ -68,14 +68,12 @@ def test_corners_that_are_not_numbers(spark):
     assert (row.is_occluded, row.is_truncated, row.traffic_light_color) == (None, True, "G")
 
 
-def test_raw_documents_and_size_option(spark, folder):
+def test_raw_documents(spark, folder):
     raw = readers.raw_documents(spark, f"{folder}/*.json")
     checked = {r.file_name: r for r in validate.validated(raw).collect()}
     assert checked["1.json"].is_valid and checked["list.json"].is_valid
     assert checked["cut.json"].errors == validate.MALFORMED
     assert "attributes; Missing" in checked["short.json"].errors
-    short = readers.raw_documents(spark, f"{folder}/*.json", max_bytes=30)
-    assert {r.file_name for r in validate.validated(short).collect() if r.is_valid} == set()
 
 
 def test_label_lists(spark, tmp_path):
@@ -230,3 +228,61 @@ def test_qualified_names(spark):
     images = spark.createDataFrame([("n1",), ("n1",)], "name string")
     got = {r.name: r.is_present for r in validate.qualified_names(texts, images).collect()}
     assert got == {"n1": True, "n2": False}
+
+
+def test_a_second_day_replaces_the_first(spark, folder, tmp_path):
+    lake = medallion.Lake(str(tmp_path / "lake"))
+
+    def run(day):
+        medallion.cleanse(spark, lake, f"{folder}/*.json")
+        medallion.refine(spark, lake, F.lit(date(2025, 1, day)), F.lit("2025-01-01").cast("timestamp"))
+        medallion.aggregate(spark, lake)
+        tables = ("std_images_table", "std_labels_table", "srv_attribute_analysis")
+        drop = ("ingestion_date", "processing_date")
+        return [sorted(map(str, lake.read(spark, t).drop(*drop).collect())) for t in tables]
+
+    first = run(1)
+    assert run(2) == first
+    (folder / "again.json").write_text(json.dumps(document(1)))
+    (folder / "new.json").write_text(json.dumps(document(20)))
+    images, labels, gold = run(3)
+    assert len(images) == len(first[0]) + 1
+    assert len(labels) == len(first[1]) + 6
+    days = lake.read(spark, "std_images_table").select("ingestion_date").distinct().collect()
+    assert [str(r.ingestion_date) for r in days] == ["2025-01-03"]
+
+
+def test_text_to_silver_loses_nothing(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    odd = {
+        "text_frame": document(1, frame_index="f7"),
+        "decimal": document(2, frame_index=1.5),
+        "bad_label": document(3, labels=[label(), 5, label("rider")]),
+        "text_corner": document(4, labels=[label(x1="1.5")]),
+        "pair": [document(5), 5],
+        "no_key": document(6, video_name=None),
+        "cut": None,
+    }
+    for name, doc in odd.items():
+        (source / f"{name}.json").write_text("{" if doc is None else json.dumps(doc))
+    lake = medallion.Lake(str(tmp_path / "lake"))
+    raw = readers.raw_documents(spark, f"{source}/*.json")
+    found = documents.items(raw).cache()
+    rejected = documents.rejects(found).collect()
+    whole = documents.label_documents(found).where("video_name IS NOT NULL")
+    assert found.count() == whole.count() + sum(r.label is None for r in rejected)
+    assert sorted((r.file_name, r.position, r.label, r.reason) for r in rejected if r.label is not None) == [
+        ("bad_label.json", 0, 1, documents.LABEL_NOT_OBJECT)
+    ]
+    assert sorted((r.file_name, r.reason) for r in rejected if r.label is None) == [
+        ("cut.json", documents.MALFORMED), ("no_key.json", documents.NO_KEY), ("pair.json", documents.NOT_OBJECT),
+    ]
+    images = {r.image_id for r in transform.images_table(whole).collect()}
+    assert images == {"v1-f7", "v2-1.5", "v3-0", "v4-0", "v5-0"}
+    labels = transform.labels_table(whole).collect()
+    assert len(labels) == 3 + 3 + 2 + 1 + 3
+    assert [r.bbox_x1 for r in labels if r.image_id == "v4-0"] == [1.5]
+    medallion.cleanse(spark, lake, f"{source}/*.json")
+    medallion.refine(spark, lake)
+    assert lake.read(spark, "silver_rejects").count() >= 1

@@ -4,6 +4,7 @@ import pytest
 from test_io import document
 
 from vialens.operators import transform, validate
+from vialens.plans import medallion
 from vialens.sources import readers
 from vialens.streaming import jobs
 
@@ -47,12 +48,15 @@ def test_scoring_equals_the_batch(spark, source, tmp_path):
         "q1_count long, median_count long, q3_count long, min_count long, max_count long",
     )
     target, state = str(tmp_path / "out"), str(tmp_path / "state")
-    finish(jobs.score_stream(spark, str(source), mapping, gold, target, state))
+    finish(jobs.score_stream(spark, str(source), mapping, lambda: gold, target, state))
     add(source)
-    finish(jobs.score_stream(spark, str(source), mapping, gold, target, state))
-    batch = jobs.compare_documents(
-        readers.label_documents(spark, f"{source}/*.json"), mapping, gold
-    )
+    finish(jobs.score_stream(spark, str(source), mapping, lambda: gold, target, state))
+    lake = medallion.Lake(str(tmp_path / "lake"))
+    medallion.cleanse(spark, lake, f"{source}/*.json")
+    medallion.refine(spark, lake)
+    gold.write.parquet(lake.path("srv_attribute_analysis"))
+    medallion.score(spark, lake, mapping)
+    batch = lake.read(spark, "scene_comparison")
     streamed = spark.read.parquet(target).select(*batch.columns).collect()
     assert sorted(map(tuple, streamed)) == sorted(map(tuple, batch.collect()))
     assert len(streamed) == 4 and {r.level for r in streamed} == {"below_normal"}

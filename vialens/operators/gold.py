@@ -166,36 +166,20 @@ def scene_members(frames: DataFrame, page_size: int = 1000) -> DataFrame:
 def per_image_documents(
     images: DataFrame, frames: DataFrame, members: DataFrame
 ) -> DataFrame:
-    """Each image with its label document and the frames of its video.
+    """Each image with its label document, its video and how many frames that has.
 
     An image without a document keeps NULL attributes and labels. The frame
-    list of a video that fits one page of ``members`` (from video_members) is
-    embedded. A longer one would be repeated for every one of its images, so
-    those rows carry ``video_frame_count`` and NULL, and the list is
-    ``members`` itself, by video_name. The lists are settled so that the images
-    of one huge video can be split over tasks in the join.
+    list itself is ``members`` (from video_members), by ``video_name``, for every
+    video: embedded, it would be repeated for each of the video's images. The
+    counts are settled so that the images of one huge video can be split over
+    tasks in the join.
     """
-    total = members.groupBy("video_name").agg(
-        F.sum("n_rows").alias("video_frame_count"), F.max("page").alias("_last")
-    )
-    lists = settle(
-        members.where(F.col("page") == 0)
-        .join(total, "video_name")
-        .select(
-            "video_name",
-            "video_frame_count",
-            F.when(F.col("_last") == 0, F.col("members")).alias("video_frames"),
-        )
+    counts = settle(
+        members.groupBy("video_name").agg(F.sum("n_members").alias("video_frame_count"))
     )
     return (
         images.join(frames.select("name", "attributes", "labels"), "name", "left")
         .withColumn("video_name", video_of(F.col("name")))
-        .join(lists, "video_name", "left")
+        .join(counts, "video_name", "left")
         .withColumn("video_frame_count", F.coalesce("video_frame_count", F.lit(0)))
-        .withColumn(
-            "video_frames",
-            F.when(
-                F.col("video_frame_count") == 0, F.array().cast("array<string>")
-            ).otherwise(F.col("video_frames")),
-        )
     )

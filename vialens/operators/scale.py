@@ -84,14 +84,15 @@ def member_pages(
     """Sorted member lists per group, cut into pages of at most ``page_size``.
 
     A group of any size comes out whole, as many rows as it needs pages, and
-    no task ever holds more than one page of it. Copies of a member are listed
-    once and counted in ``n_rows``.
+    no task ever holds more than one page of it. Every occurrence of a member is
+    listed; copies are counted first and numbered, so that a member repeated
+    very often spreads over slices like any other rows.
     """
-    distinct = df.groupBy(*by, member).agg(F.count(F.lit(1)).alias("_copies"))
-    numbered = number_rows(distinct, [member], by, "_no")
+    counted = df.groupBy(*by, member).agg(F.count(F.lit(1)).alias("_copies"))
+    each = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    numbered = number_rows(each.drop("_copies"), [member, "_copy"], by, "_no")
     page = F.floor(F.col("_no") / page_size).cast("bigint")
     return numbered.groupBy(*by, page.alias("page")).agg(
         F.array_sort(F.collect_list(member)).alias("members"),
         F.count(F.lit(1)).alias("n_members"),
-        F.sum("_copies").alias("n_rows"),
     )

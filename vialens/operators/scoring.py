@@ -4,7 +4,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialens.functions.levels import level, level_text, one_decimal, percentile_band
-from vialens.functions.text import language_instruction
+from vialens.functions.text import first_filled, language_instruction
+from vialens.operators.transform import image_key
 from vialens.schemas import SCENE_ATTRIBUTES
 
 SCENE = list(SCENE_ATTRIBUTES)
@@ -51,6 +52,14 @@ def category_counts(labels: DataFrame) -> DataFrame:
     )
 
 
+def scene_attributes(documents: DataFrame) -> DataFrame:
+    """image_id and scene of label documents; an empty metadata value falls through."""
+    return documents.select(
+        image_key(F.col("video_name"), F.col("frame_index")).alias("image_id"),
+        *[first_filled(F.col(f"metadata.{a}"), F.col(f"attributes.{a}")).alias(a) for a in SCENE],
+    )
+
+
 def scene_counts(labels: DataFrame, mapping: DataFrame) -> DataFrame:
     """Objects per image and category; an unmapped category keeps its own name."""
     raw = F.col("category")

@@ -107,7 +107,7 @@ def _document_errors(
     )
 
 
-def document_errors(text: Column, max_labels: int | None = 10) -> Column:
+def document_errors(text: Column, max_labels: int | None = None) -> Column:
     """All errors of a document, joined with "; "; empty when there are none."""
 
     def judged(v: Column, items: Column) -> Column:
@@ -125,11 +125,14 @@ def document_errors(text: Column, max_labels: int | None = 10) -> Column:
     return F.array_join(errors, "; ")
 
 
-def validated(documents: DataFrame, text: str = "value", max_labels: int | None = 10) -> DataFrame:
+def validated(
+    documents: DataFrame, text: str = "value", max_labels: int | None = None
+) -> DataFrame:
     """Adds ``is_valid`` and ``errors`` to documents held as text.
 
     A top-level array is judged by its first element. Keys must be present but
-    may hold null. Only the first ``max_labels`` labels are checked; None checks all.
+    may hold null. All labels are checked; ``max_labels=10`` checks the first ten, as the
+    original does.
     """
     return documents.withColumn("errors", document_errors(F.col(text), max_labels)).withColumn(
         "is_valid", F.col("errors") == ""

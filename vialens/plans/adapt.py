@@ -33,17 +33,21 @@ _LABEL = """'{"id":"' || CAST(o_custkey AS VARCHAR(20)) || '","category":"car","
 _BAD = """'{"id":"7","box2d":{"x1":1,"x2":3,"y1":0},"attributes":null}'"""
 
 
-def _document(attrs: str, labels: str, video: bool = True) -> str:
+_FRAME = "CAST(o_custkey AS VARCHAR(20))"
+_TYPED = """'{"id":8,"category":"rider","box2d":{"x1":"1.5","y1":"2","x2":"x","y2":7},"attributes":{"occluded":true,"trafficLightColor":"NA"}}'"""
+
+
+def _document(attrs: str, labels: str, video: bool = True, frame: str = _FRAME, more: str = "") -> str:
     name = f""""video_name":"v' || {_KEY} || '",""" if video else ""
     return (
-        f"""'{{"name":"n' || {_KEY} || '",{name}"frame_index":' || CAST(o_custkey AS VARCHAR(20)) """
+        f"""'{{{more}"name":"n' || {_KEY} || '",{name}"frame_index":' || {frame} """
         f"""|| ',"attributes":' || {attrs} || ',"labels":' || {labels} || '}}'"""
     )
 
 
 _GOOD = _document(_ATTRS, f"'[' || {_LABEL} || ',' || {_LABEL} || ']'")
 _LONG = "'[' || repeat(" + _LABEL + " || ',', 10) || " + _BAD + " || ']'"
-DOCUMENT_TEXT = f"""CASE o_orderkey % 13
+DOCUMENT_TEXT = f"""CASE o_orderkey % 17
     WHEN 0 THEN {_GOOD}
     WHEN 1 THEN {_document(_ATTRS, "'[]'", video=False)}
     WHEN 2 THEN {_document("'" + '"sunny"' + "'", "'[null,' || " + _LABEL + " || ']'")}
@@ -56,6 +60,10 @@ DOCUMENT_TEXT = f"""CASE o_orderkey % 13
     WHEN 9 THEN '[]'
     WHEN 10 THEN {_document(_ATTRS, _LONG)}
     WHEN 11 THEN '[' || {_KEY} || ']'
+    WHEN 12 THEN {_document(_ATTRS, "'[' || " + _TYPED + " || ']'", frame="""'"f7"'""")}
+    WHEN 13 THEN {_document(_ATTRS, "'[' || " + _LABEL + " || ',5]'", frame="'1.5'")}
+    WHEN 14 THEN {_document(_ATTRS, "'[' || " + _TYPED + " || ',' || " + _LABEL + " || ']'", more='"metadata":{"weather":"fog","scene":""},')}
+    WHEN 15 THEN '[' || {_GOOD} || ',' || {_document(_ATTRS, "'[' || " + _LABEL + " || ']'", frame="'99'")} || ']'
     ELSE '{{' || '}}' END"""
 
 REPLY_KEY = "substr(props, 7, length(props) - 7)"

@@ -8,7 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from vialens.operators import documents as documents_ops
 from vialens.operators import gold as gold_ops
 from vialens.operators import scoring, transform, validate
 from vialens.sources import readers, writers
@@ -55,21 +57,26 @@ def cleanse(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
 def refine(
     spark: SparkSession, lake: Lake, on_date: Column | None = None, at_time: Column | None = None
 ) -> None:
-    """Images and labels tables from the qualified documents.
+    """Images and labels tables from the qualified documents, each replaced as a whole.
 
     The text is parsed once, into a table; the images then read little of it.
+    What does not reach silver is in ``silver_rejects`` with the reason. The
+    tables hold the documents there are, so a run on another day replaces them.
     """
     qualified = lake.read(spark, "validated").where("verdict = 'qualified'")
+    found = documents_ops.items(qualified.select("file_name", "value"))
+    writers.write_table(documents_ops.rejects(found), lake.path("silver_rejects"), partition_by=None)
+    whole = documents_ops.label_documents(found)
     writers.write_table(
-        readers.documents_from_text(qualified), lake.path("documents"), partition_by=None
+        whole.where(F.col("video_name").isNotNull() & F.col("frame_index").isNotNull()),
+        lake.path("documents"),
+        partition_by=None,
     )
     documents = lake.read(spark, "documents")
-    writers.write_table(
-        transform.images_table(documents, on_date, at_time), lake.path("std_images_table")
-    )
-    writers.write_table(
-        transform.labels_table(documents, on_date, at_time), lake.path("std_labels_table")
-    )
+    images = transform.images_table(documents, on_date, at_time)
+    labels = transform.labels_table(documents, on_date, at_time)
+    writers.write_table(images, lake.path("std_images_table"), replace=True)
+    writers.write_table(labels, lake.path("std_labels_table"), replace=True)
 
 
 def aggregate(spark: SparkSession, lake: Lake, mapping: DataFrame | None = None) -> None:
@@ -84,7 +91,7 @@ def aggregate(spark: SparkSession, lake: Lake, mapping: DataFrame | None = None)
 def score(spark: SparkSession, lake: Lake, mapping: DataFrame | None = None) -> None:
     """Comparison and reminder of every scene."""
     mapping = transform.category_mapping(spark) if mapping is None else mapping
-    images = lake.read(spark, "std_images_table")
+    images = scoring.scene_attributes(lake.read(spark, "documents")).distinct()
     counts = scoring.scene_counts(lake.read(spark, "std_labels_table"), mapping)
     baseline = lake.read(spark, "srv_attribute_analysis")
     comparison = scoring.scene_comparison(images, counts, baseline)

@@ -165,7 +165,7 @@ _LABEL_CHECKS = " UNION ALL ".join(
 _CHECKED = f"""{_DOCS},
 items AS (
     SELECT doc_key, i, json_extract(l, '$[' || i || ']') AS x
-    FROM (SELECT doc_key, l, unnest(range(CAST(least(10, json_array_length(l)) AS BIGINT))) AS i
+    FROM (SELECT doc_key, l, unnest(range(CAST(json_array_length(l) AS BIGINT))) AS i
         FROM parts WHERE json_type(l) = 'ARRAY')),
 label_errors AS (
     SELECT doc_key, string_agg(e, '; ' ORDER BY i, k) AS e FROM ({_LABEL_CHECKS}) GROUP BY doc_key),
@@ -222,12 +222,12 @@ def _pages(source: str, keys: str, size: int) -> str:
     FROM {source}),
 pages AS (
     SELECT {keys}, page, string_agg(name, ',' ORDER BY name) AS members,
-        count(*) AS n_members, count(*) AS n_rows
+        count(*) AS n_members
     FROM paged GROUP BY {keys}, page)"""
 
 
 ORACLES["group_members"] = f"""WITH named AS (
-    SELECT o_orderpriority || '-' || o_orderkey AS name, o_orderpriority AS video_name FROM orders),
+    SELECT o_orderpriority || '-' || o_custkey AS name, o_orderpriority AS video_name FROM orders),
 {_pages("named", "video_name", 500)}
 SELECT * FROM pages"""
 
@@ -257,14 +257,92 @@ WITH named AS (
         EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) AS listed
     FROM orders),
 videos AS (
-    SELECT video_name, count(*) AS n, string_agg(name, ',' ORDER BY name) AS frames
+    SELECT video_name, count(*) AS n
     FROM named WHERE listed GROUP BY video_name)
 SELECT name, video_name, CASE WHEN listed THEN {adapt.WEATHER} END AS weather,
     CASE WHEN listed THEN o_orderstatus END AS labels,
-    coalesce(n, 0) AS video_frame_count,
-    CASE WHEN n IS NULL THEN '' WHEN n <= 10 THEN frames END AS video_frames
+    coalesce(n, 0) AS video_frame_count
 FROM named LEFT JOIN videos USING (video_name)"""
 
+ORACLES["video_frames"] = f"""WITH named AS (
+    SELECT o_custkey || '-' || o_orderkey || '.jpg' AS name, CAST(o_custkey AS VARCHAR) AS video_name
+    FROM orders WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)),
+{_pages("named", "video_name", 10)}
+SELECT * FROM pages"""
+
+# text to silver to gold
+
+_TEXT = f"""{_DOCS},
+found AS (
+    SELECT doc_key, CAST(0 AS BIGINT) AS position, v AS item,
+        CASE WHEN v IS NULL THEN 'Malformed JSON' WHEN json_type(v) = 'ARRAY' THEN 'Empty array'
+            WHEN json_type(v) <> 'OBJECT' THEN 'Document is not an object' END AS reason
+    FROM parsed WHERE v IS NULL OR json_type(v) <> 'ARRAY' OR json_array_length(v) = 0
+    UNION ALL
+    SELECT doc_key, p, x, CASE WHEN json_type(x) <> 'OBJECT' THEN 'Document is not an object' END
+    FROM (SELECT doc_key, p, json_extract(v, '$[' || p || ']') AS x
+        FROM (SELECT doc_key, v, unnest(range(CAST(json_array_length(v) AS BIGINT))) AS p
+            FROM parsed WHERE json_type(v) = 'ARRAY'))),
+keyed AS (
+    SELECT *, item ->> '$.video_name' AS video_name, item ->> '$.frame_index' AS frame_index,
+        json_extract(item, '$.labels') AS l FROM found),
+whole AS (SELECT *, video_name || '-' || frame_index AS image_id FROM keyed
+    WHERE reason IS NULL AND video_name IS NOT NULL AND frame_index IS NOT NULL),
+raw_labels AS (
+    SELECT doc_key, position, image_id, i, json_extract(l, '$[' || i || ']') AS x
+    FROM (SELECT *, unnest(range(CAST(json_array_length(l) AS BIGINT))) AS i
+        FROM whole WHERE json_type(l) = 'ARRAY')),
+text_labels AS (
+    SELECT image_id, x ->> '$.id' AS label_id, x ->> '$.category' AS category,
+        TRY_CAST(x ->> '$.box2d.x1' AS DOUBLE) AS x1, TRY_CAST(x ->> '$.box2d.y1' AS DOUBLE) AS y1,
+        TRY_CAST(x ->> '$.box2d.x2' AS DOUBLE) AS x2, TRY_CAST(x ->> '$.box2d.y2' AS DOUBLE) AS y2,
+        TRY_CAST(x ->> '$.attributes.occluded' AS BOOLEAN) AS is_occluded,
+        TRY_CAST(x ->> '$.attributes.truncated' AS BOOLEAN) AS is_truncated,
+        nullif(x ->> '$.attributes.trafficLightColor', 'NA') AS traffic_light_color
+    FROM raw_labels WHERE json_type(x) = 'OBJECT'),
+text_images AS (
+    SELECT DISTINCT coalesce(item ->> '$.name', item ->> '$.image_filename', image_id || '.jpg') AS filename,
+        image_id, video_name, frame_index, CAST(item ->> '$.timestamp' AS BIGINT) AS timestamp,
+        coalesce(item ->> '$.metadata.weather', item ->> '$.attributes.weather') AS weather,
+        coalesce(item ->> '$.metadata.timeofday', item ->> '$.attributes.timeofday') AS timeofday,
+        coalesce(item ->> '$.metadata.scene', item ->> '$.attributes.scene') AS scene,
+        CAST(coalesce((SELECT count(*) FROM raw_labels r WHERE r.doc_key = w.doc_key
+            AND r.position = w.position AND json_type(r.x) = 'OBJECT'), 0) AS INTEGER) AS total_labels
+    FROM whole w)"""
+
+ORACLES["silver_from_text_images"] = f"WITH {_TEXT} SELECT * FROM text_images"
+
+ORACLES["silver_from_text_labels"] = f"""WITH {_TEXT}
+SELECT label_id, image_id, category, x1 AS bbox_x1, y1 AS bbox_y1, x2 AS bbox_x2, y2 AS bbox_y2,
+    x2 - x1 AS bbox_width, y2 - y1 AS bbox_height, (x2 - x1) * (y2 - y1) AS bbox_area, is_occluded,
+    is_truncated, traffic_light_color
+FROM text_labels"""
+
+ORACLES["silver_rejects"] = f"""WITH {_TEXT}
+SELECT doc_key, position, CAST(NULL AS BIGINT) AS label, coalesce(reason, 'No image key') AS reason
+FROM keyed WHERE reason IS NOT NULL OR video_name IS NULL OR frame_index IS NULL
+UNION ALL
+SELECT doc_key, position, i, 'Label is not an object' FROM raw_labels WHERE json_type(x) <> 'OBJECT'"""
+
+ORACLES["gold_from_text"] = f"""WITH {_TEXT},
+per_image AS (
+    SELECT weather, timeofday, scene, mapped_category, image_id, count(*) AS n
+    FROM text_labels JOIN text_images USING (image_id)
+    JOIN (VALUES ('car', 'vehicle'), ('rider', 'pedestrian')) AS m(category, mapped_category) USING (category)
+    GROUP BY ALL)
+SELECT weather, timeofday, scene, mapped_category,
+    CAST(sum(n) AS BIGINT) AS total_count, count(*) AS total_images,
+    round(avg(n), 6) AS avg_count, round(stddev_samp(n), 6) AS std_dev,
+    quantile_disc(n, 0.25) AS q1_count, quantile_disc(n, 0.5) AS median_count,
+    quantile_disc(n, 0.75) AS q3_count, min(n) AS min_count, max(n) AS max_count
+FROM per_image GROUP BY ALL"""
+
+ORACLES["scene_of_documents"] = f"""WITH {_TEXT}
+SELECT image_id, coalesce(nullif(item ->> '$.metadata.weather', ''), item ->> '$.attributes.weather') AS weather,
+    coalesce(nullif(item ->> '$.metadata.timeofday', ''), item ->> '$.attributes.timeofday') AS timeofday,
+    coalesce(nullif(item ->> '$.metadata.scene', ''), item ->> '$.attributes.scene') AS scene
+FROM whole"""
+
 # scoring
 
 ORACLES["category_counts"] = f"""WITH {_SCENES}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialens.functions.text import file_stem, frame_of, is_image_name, reply_attributes, video_of
-from vialens.operators import annotate, evaluation, gold, matching, quality
+from vialens.operators import annotate, documents, evaluation, gold, matching, quality
 from vialens.operators import retrieval, runs, scoring, transform, validate
 from vialens.operators.scale import settle
 from vialens.plans import adapt
@@ -154,7 +154,7 @@ def _frames(spark, d):
 @query
 def group_members(spark, d):
     named = adapt.table(spark, d, "orders").select(
-        F.concat_ws("-", "o_orderpriority", F.col("o_orderkey").cast("string")).alias("name")
+        F.concat_ws("-", "o_orderpriority", F.col("o_custkey").cast("string")).alias("name")
     )
     pages = gold.video_members(named, page_size=500)
     return pages.withColumn("members", F.array_join("members", ","))
@@ -208,10 +208,62 @@ def image_documents(spark, d):
         F.col("attributes.weather").alias("weather"),
         F.array_join("labels", ",").alias("labels"),
         F.col("video_frame_count").cast("bigint").alias("video_frame_count"),
-        F.array_join("video_frames", ",").alias("video_frames"),
     )
 
 
+@query
+def video_frames(spark, d):
+    pages = gold.video_members(_frames(spark, d), page_size=10)
+    return pages.withColumn("members", F.array_join("members", ","))
+
+
+# text to silver to gold
+
+
+def _items(spark, d):
+    return documents.items(adapt.document_texts(spark, d))
+
+
+def _text_documents(spark, d):
+    whole = documents.label_documents(_items(spark, d))
+    return whole.where("video_name IS NOT NULL AND frame_index IS NOT NULL")
+
+
+@query
+def silver_from_text_images(spark, d):
+    out = transform.images_table(_text_documents(spark, d))
+    return out.drop("ingestion_date", "processing_date")
+
+
+@query
+def silver_from_text_labels(spark, d):
+    out = transform.labels_table(_text_documents(spark, d))
+    return out.drop("ingestion_date", "processing_date")
+
+
+@query
+def silver_rejects(spark, d):
+    return documents.rejects(_items(spark, d)).select(
+        "doc_key", *[F.col(c).cast("bigint").alias(c) for c in ("position", "label")], "reason"
+    )
+
+
+@query
+def gold_from_text(spark, d):
+    whole = settle(_text_documents(spark, d))
+    return gold.attribute_distribution(
+        transform.labels_table(whole),
+        transform.images_table(whole),
+        transform.category_mapping(spark),
+        DIGITS,
+    )
+
+
+@query
+def scene_of_documents(spark, d):
+    return scoring.scene_attributes(_text_documents(spark, d))
+
+
 # scoring
 
 

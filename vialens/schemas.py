@@ -36,7 +36,7 @@ LABEL_DOCUMENT = T.StructType(
         T.StructField("name", T.StringType()),
         T.StructField("image_filename", T.StringType()),
         T.StructField("video_name", T.StringType()),
-        T.StructField("frame_index", T.LongType()),
+        T.StructField("frame_index", T.StringType()),
         T.StructField("timestamp", T.LongType()),
         T.StructField("metadata", ATTRIBUTES),
         T.StructField("attributes", ATTRIBUTES),

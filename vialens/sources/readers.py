@@ -21,22 +21,13 @@ def label_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def raw_documents(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
-    """Whole files as text, for validation. ``max_bytes`` leaves longer ones unparseable."""
-    text = F.col("value")
-    if max_bytes is not None:
-        text = F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.lit(""))
+def raw_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Whole files as text, for validation."""
     return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), text.alias("value")
+        F.col("_metadata.file_name").alias("file_name"), "value"
     )
 
 
-def documents_from_text(raw: DataFrame, text: str = "value") -> DataFrame:
-    """Label documents from text already read; a top-level array gives a row per element."""
-    body = T.StructType([f for f in schemas.LABEL_DOCUMENT.fields if f.name != schemas.CORRUPT])
-    return raw.select(F.inline(F.from_json(text, T.ArrayType(body))))
-
-
 def label_lists(spark: SparkSession, path: str) -> DataFrame:
     """Frames of ``det_<split>.json`` lists, with their split."""
     return label_documents(spark, path).withColumn(

@@ -10,14 +10,16 @@ def write_table(
     partition_by: str | None = "ingestion_date",
     fmt: str = "parquet",
     table: str | None = None,
+    replace: bool = False,
 ) -> None:
     """Overwrite a table; with ``partition_by`` only the partitions present in ``df``.
 
-    A named ``table`` is replaced as a whole.
+    A named ``table``, and any with ``replace``, is replaced as a whole.
     """
     writer = df.write.mode("overwrite").format(fmt)
     if partition_by:
-        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
+        mode = "static" if replace else "dynamic"
+        writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", mode)
     if table:
         writer.option("path", path).saveAsTable(table)
     else:

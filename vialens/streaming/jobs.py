@@ -1,13 +1,14 @@
 """The batch functions on streams of files."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vialens import schemas
-from vialens.functions.text import first_filled
-from vialens.operators.scoring import scene_comparison, scene_counts
-from vialens.operators.transform import image_key, labels_table
+from vialens.operators.documents import items, label_documents
+from vialens.operators.scoring import scene_attributes, scene_comparison, scene_counts
+from vialens.operators.transform import labels_table
 from vialens.operators.validate import validated
 from vialens.sources.writers import route_validated
 
@@ -48,23 +49,11 @@ def route_stream(
 def document_stream(
     spark: SparkSession, source: str, batch_files: int = BATCH_FILES
 ) -> DataFrame:
+    """Arriving files as text; documents are taken from them as in the batch."""
     return (
-        spark.readStream.schema(schemas.LABEL_DOCUMENT)
-        .option("maxFilesPerTrigger", batch_files)
-        .option("multiLine", True)
-        .option("columnNameOfCorruptRecord", schemas.CORRUPT)
-        .json(source)
-    )
-
-
-def scene_attributes(documents: DataFrame) -> DataFrame:
-    """image_id and scene of label documents; an empty metadata value falls through."""
-    return documents.select(
-        image_key(F.col("video_name"), F.col("frame_index")).alias("image_id"),
-        *[
-            first_filled(F.col(f"metadata.{a}"), F.col(f"attributes.{a}")).alias(a)
-            for a in schemas.SCENE_ATTRIBUTES
-        ],
+        spark.readStream.option("maxFilesPerTrigger", batch_files)
+        .text(source, wholetext=True)
+        .select(F.col("_metadata.file_name").alias("file_name"), "value")
     )
 
 
@@ -78,7 +67,7 @@ def score_stream(
     spark: SparkSession,
     source: str,
     mapping: DataFrame,
-    gold: DataFrame,
+    gold: Callable[[], DataFrame],
     target: str,
     checkpoint: str,
     batch_files: int = BATCH_FILES,
@@ -87,11 +76,15 @@ def score_stream(
     """Scores arriving documents against the statistics table, micro-batch by micro-batch.
 
     A document arrives whole, so its counts are complete within its batch and no
-    state is kept between batches.
+    state is kept between batches. ``gold`` is called for every batch, so a table
+    that was rewritten meanwhile is read anew. Files that qualify are scored, as
+    in the batch job.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        compare_documents(batch, mapping, gold).write.mode("overwrite").parquet(
+        qualified = validated(batch).where("is_valid").select("file_name", "value")
+        documents = label_documents(items(qualified))
+        compare_documents(documents, mapping, gold()).write.mode("overwrite").parquet(
             f"{target}/batch={batch_id}"
         )
 
