@@ -10,15 +10,15 @@ tasks, which steers the order and never the result). Two sets that link share
 a shingle among the first ``n - ceil(t n) + 1`` of each. That part of the order
 is cut into fragments by hash, one a task: each counts the shared shingles of
 its pairs, the partial overlaps are summed by pair, and a pair goes on only if
-its sum and all that may follow can reach the threshold. The sets of the pairs
-left are cut into ``FRAGMENTS`` fragments, whose overlaps are counted one by one
-and summed: the exact intersection.
+its sum and all that may follow can reach the threshold. A shingle that more
+than ``CROWD`` classes share makes no pairs: its classes hang on one of them.
 
-A shingle that more than ``CROWD`` classes share makes no pairs. Its classes hang
-on one of them, and whoever hangs together is a crowd, cut into blocks of about
-``BLOCK`` classes. A task takes two blocks, counts the overlaps of all their
-pairs fragment by fragment in one matrix, and returns a spanning forest of the
-links: no component loses a link it needs, and no pair of a crowd becomes a row.
+Classes that pairs or crowds connect form a group, cut into blocks of about
+``BLOCK`` classes and ``BLOCK_GRAMS`` shingles. A task takes two blocks, cuts their
+shingles into fragments of the order, counts the overlaps of all their pairs
+fragment by fragment in one matrix, sums them to the exact intersections, and
+returns a spanning forest of the links: no component loses a link it needs,
+every set moves once for each block it meets, and no pair of a group becomes a row.
 
 Defined cases: null and empty texts have no shingle and link with nothing;
 repeated rows are copies; a null id takes part but names no component (a
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vialens.llm.bytewords import (
@@ -51,7 +51,8 @@ from vialens.llm.shared import partitions, settle
 COMMON = 200_000
 CROWD = 32
 BLOCK = 1024
-FRAGMENTS = 8
+BLOCK_GRAMS = 4_000_000
+FRAGMENT = 2048
 _LOCAL = 8
 _CHUNK = 8 << 20
 
@@ -65,11 +66,8 @@ _FOUND = pa.schema(
 )
 
 
-def shingle_sets(chunk: Chunk, n: int, common: np.ndarray | None = None):
-    """(shingles of all documents, distinct, in the global order; their bounds by document).
-
-    ``common`` has the hashes that come last, from the rarest on.
-    """
+def shingle_sets(chunk: Chunk, n: int):
+    """(shingles of all documents, distinct, in order of the hash; their bounds by document)."""
     starts, lengths, document = word_spans(chunk)
     words = span_hashes(chunk.data, starts, lengths)
     hashes, ok = window_hashes(words, n), inside(document, n)
@@ -84,14 +82,7 @@ def shingle_sets(chunk: Chunk, n: int, common: np.ndarray | None = None):
             whole = mix(whole, words[first[of] + k])
         found = np.concatenate([found, mix(whole, np.full(len(of), size, np.uint64))])
         owner = np.concatenate([owner, of])
-    late = np.zeros(len(found), np.int64)
-    place = found
-    if common is not None and len(common[0]):
-        at = np.minimum(np.searchsorted(common[0], found), len(common[0]) - 1)
-        hit = common[0][at] == found
-        late[hit] = 1
-        place = np.where(hit, common[1][at], found)
-    order = np.lexsort((place, owner * 2 + late))
+    order = np.lexsort((found, owner))
     found, owner = found[order], owner[order]
     new = np.ones(len(order), bool)
     new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
@@ -99,6 +90,18 @@ def shingle_sets(chunk: Chunk, n: int, common: np.ndarray | None = None):
     return found, bounds(np.bincount(owner, minlength=chunk.n))
 
 
+def in_global_order(found: np.ndarray, at: np.ndarray, common) -> np.ndarray:
+    """The shingles of every document with the common ones last, from the rarest of these on."""
+    hashes, rank = common
+    if not len(hashes):
+        return found
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    place = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+    late = hashes[place] == found
+    order = np.lexsort((np.where(late, rank[place], found), owner * 2 + late))
+    return found[order]
+
+
 def _set_keys(found: np.ndarray, at: np.ndarray) -> list[bytes]:
     """16 bytes that name each document's set; ``found`` is in order of the hash."""
     raw, places = memoryview(np.ascontiguousarray(found)).cast("B"), (at * 8).tolist()
@@ -111,8 +114,8 @@ def _sets(batches: Iterator[pa.RecordBatch], n: int, common=None):
         for chunk in text_chunks(batch.column(batch.num_columns - 1), LOWER, _CHUNK):
             found, at = shingle_sets(chunk, n)
             keys = np.array(_set_keys(found, at), "V16")
-            if common is not None and len(common[0]):
-                found, at = shingle_sets(chunk, n, common)
+            if common is not None:
+                found = in_global_order(found, at, common)
             _, first = np.unique(keys, return_index=True)
             first = np.sort(first)
             yield batch, chunk, keys, first[np.diff(at)[first] > 0], found, at
@@ -252,10 +255,10 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _chosen_sets(rows: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """(key, grams): the sets of the wanted classes, cut into fragments by hash.
+    """(key, grams): the sets of the wanted classes and of a few others, one a chunk.
 
     Texts are read again rather than moved: a bitmap of fixed size leaves out
-    nearly all others, and a join the rest.
+    nearly all that are not wanted.
     """
     bits = rows.sparkSession.sparkContext.broadcast(_bitmap(wanted))
 
@@ -264,33 +267,29 @@ def _chosen_sets(rows: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
             b = keys[first].view(np.uint8).reshape(-1, 16)[:, :3].astype(np.uint32)
             bit = b[:, 0] << 16 | b[:, 1] << 8 | b[:, 2]
             first = first[(bits.value[bit >> 5] >> (bit & 31) & 1).astype(bool)]
-            size = np.diff(at)[first]
-            hashes = found[ragged(at[first], size)]
-            fragment = (hashes >> np.uint64(64 - FRAGMENTS.bit_length() + 1)).astype(np.int64)
-            doc = np.repeat(np.arange(len(first)), size)
-            in_fragment = np.bincount(doc * FRAGMENTS + fragment, minlength=len(first) * FRAGMENTS)
-            inner = pa.ListArray.from_arrays(
-                pa.array(bounds(in_fragment), pa.int32()), pa.array(hashes.view(np.int64))
+            raw = memoryview(np.ascontiguousarray(found)).cast("B")
+            spans = zip((at[first] * 8).tolist(), (at[first + 1] * 8).tolist(), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([k.tobytes() for k in keys[first]], pa.binary()),
+                    pa.array([bytes(raw[x:y]) for x, y in spans], pa.binary()),
+                ],
+                ["key", "grams"],
             )
-            outer = pa.array(np.arange(len(first) + 1) * FRAGMENTS, pa.int32())
-            names = pa.array([k.tobytes() for k in keys[first]], pa.binary())
-            yield pa.RecordBatch.from_arrays([names, pa.ListArray.from_arrays(outer, inner)], ["key", "grams"])
-
-    near = rows.mapInArrow(pick, "key binary, grams array<array<bigint>>")
-    return near.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("grams").alias("grams"))
 
+    return rows.mapInArrow(pick, "key binary, grams binary")
 
-def _overlap(a: Column, b: Column) -> Column:
-    """The intersection of two sets, counted fragment by fragment."""
-    partial = F.zip_with(a, b, lambda x, y: F.size(F.array_intersect(x, y)))
-    return F.aggregate(partial, F.lit(0), lambda s, x: s + x).cast("long")
 
+def _block_links(table: pa.Table, percent: int) -> pa.Table:
+    """A spanning forest of the links among the classes of one or two blocks.
 
-def _crowd_links(table: pa.Table, percent: int) -> pa.Table:
-    """A spanning forest of the links among the classes of one or two blocks."""
-    names = table["key"].to_pylist()
-    grams = table["grams"].combine_chunks()
-    sets = [np.unique(x.values.flatten().to_numpy(zero_copy_only=False)) for x in grams]
+    The columns are the shared shingles in hash order; every ``FRAGMENT`` of them
+    is a fragment whose overlaps are counted for all pairs at once, and the
+    counts add up to the intersections.
+    """
+    found = dict(zip(table["key"].to_pylist(), table["grams"].to_pylist(), strict=True))
+    names = list(found)
+    sets = [np.frombuffer(g, "<u8") for g in found.values()]
     m = len(sets)
     size = np.array([len(x) for x in sets], np.int64)
     who, hashes = np.repeat(np.arange(m), size), np.concatenate(sets)
@@ -301,10 +300,9 @@ def _crowd_links(table: pa.Table, percent: int) -> pa.Table:
     overlap = np.zeros((m, m), np.float32)
     order = np.argsort(column, kind="stable")
     who, column = who[order], column[order]
-    width = 2048
-    for left in range(0, len(columns), width):  # a fragment of the order at a time
-        a, b = np.searchsorted(column, [left, left + width])
-        held = np.zeros((m, width), np.float32)
+    for left in range(0, len(columns), FRAGMENT):
+        a, b = np.searchsorted(column, [left, left + FRAGMENT])
+        held = np.zeros((m, min(FRAGMENT, len(columns) - left)), np.float32)
         held[who[a:b], column[a:b] - left] = 1
         overlap += held @ held.T
     linked = 100 * overlap >= percent * (size[:, None] + size[None, :] - overlap)
@@ -344,29 +342,28 @@ def links(rows: DataFrame, scanned: DataFrame, n: int, percent: int) -> DataFram
         .agg(F.sum("shared").alias("shared"))
         .filter(F.col("shared") + rest >= need)
     )
-    pairs = settle(pairs.drop("shared"))
-    crowds = components(found.filter("crowd"))
-    crowds = settle(crowds.withColumnsRenamed({"node": "key", "root": "crowd"}))
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(crowds.select("key"))
-    sets = settle(_chosen_sets(rows, n, settle(wanted.distinct())))
-
-    mine = sets.select(F.col("key").alias("a"), F.col("grams").alias("x"))
-    other = sets.select(F.col("key").alias("b"), F.col("grams").alias("y"))
-    both = pairs.join(mine, "a").join(other, "b").withColumn("i", _overlap(F.col("x"), F.col("y")))
-    union = F.col("n_a") + F.col("n_b") - F.col("i")
-    close = both.filter(100 * F.col("i") >= percent * union).select("a", "b")
-
-    blocks = crowds.groupBy("crowd").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    placed = crowds.join(blocks, "crowd").withColumn("block", F.pmod(F.xxhash64("key"), "n").cast("int"))
-    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select(
-        "key", "crowd", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+    edges = found.filter("crowd").select("a", "b").union(pairs.select("a", "b"))
+    groups = components(edges).withColumnsRenamed({"node": "key", "root": "group"})
+    sizes = found.select(F.col("a").alias("key"), F.col("n_a").alias("n"))
+    sizes = sizes.union(found.select("b", "n_b")).groupBy("key").agg(F.first("n").alias("n"))
+    groups = settle(groups.join(sizes, "key"))
+    blocks = groups.groupBy("group").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
+    )
+    own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
+    dealt = groups.join(blocks, "group").withColumn("block", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = settle(
+        dealt.select(
+            "key", "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+        )
     )
-    inside_crowds = (
-        dealt.join(sets, "key")
-        .groupBy("crowd", "lo", "hi")
-        .applyInArrow(lambda t: _crowd_links(t, percent), "a binary, b binary")
+    sets = _chosen_sets(rows, n, groups.select("key"))
+    return (
+        sets.join(dealt, "key")
+        .groupBy("group", "lo", "hi")
+        .applyInArrow(lambda t: _block_links(t, percent), "a binary, b binary")
     )
-    return close.union(inside_crowds)
 
 
 def near_duplicates(
