@@ -66,15 +66,15 @@ def scores(tp, fp, fn):
     return p, r, 2 * p * r / (p + r) if p + r else 0.0
 
 
-def test_image_metrics(rows, plain):
-    got = {r.image_id: r for r in evaluation.image_metrics(rows).collect()}
+def test_image_metrics(spark, rows, plain):
+    images = spark.createDataFrame([(i,) for i in plain] + [(-5,), (None,)], "image_id long")
+    got = {str(r.image_id): r for r in evaluation.image_metrics(rows, images).collect()}
+    assert set(got) == {str(i) for i in plain} | {"-5"}
+    assert (got["-5"].tp, got["-5"].total_gt, got["-5"].f1) == (0, 0, 0.0)
     for i, (met, only_gt, only_pred) in plain.items():
         tp = sum(mapped(a) == mapped(b) for _, a, b in met)
         fp, fn = len(only_pred) + len(met) - tp, len(only_gt)
-        if not met and not only_gt and not only_pred:
-            assert i not in got
-            continue
-        r = got[i]
+        r = got[str(i)]
         assert (r.tp, r.fp, r.fn) == (tp, fp, fn)
         assert (r.precision, r.recall, r.f1) == pytest.approx(scores(tp, fp, fn))
         assert (r.total_gt, r.total_pred) == (len(met) + fn, len(met) + len(only_pred))
@@ -100,6 +100,10 @@ def test_threshold_sweep(rows, plain):
 
 def test_summary(rows, plain):
     r = evaluation.evaluation_summary(rows).head()
+    boxed = sum(any(v) for v in plain.values())
+    assert r.total_images == boxed
+    images = rows.select("image_id").union(rows.selectExpr('-1 - image_id'))
+    assert evaluation.evaluation_summary(rows, images).head().total_images == 2 * boxed
     p, rec, f = scores(*plain_sweep(plain, 0.5))
     assert (r.precision_at_50, r.recall_at_50, r.f1_at_50) == pytest.approx((p, rec, f))
     mean = sum(scores(*plain_sweep(plain, k / 20))[0] for k in range(10, 20)) / 10

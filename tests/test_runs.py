@@ -1,3 +1,4 @@
+import shutil
 import sys
 from datetime import datetime, timedelta
 
@@ -180,9 +181,22 @@ def test_tracked_run(spark, tmp_path):
     metrics = lake.read(spark, "image_metrics").collect()
     assert [(r.image_id, r.tp, r.fp, r.fn) for r in metrics] == [("a.jpg", 1, 0, 1)]
     assert lake.read(spark, "overlay_boxes").count() == 3
+    shutil.rmtree(tmp_path / "lake" / "overlay_lines")  # as if stopped after the boxes
+    steps["visualize"]()
+    assert lake.read(spark, "overlay_boxes").count() == 3
     report = spark.read.json(lake.path("report"))
     assert report.where("section = 'per_class_metrics'").count() == 2
 
+    # a step that runs later leaves the others of its run as they are
+    assert annotation.run(spark, lake, "r2", {"evaluate": steps["evaluate"]})
+    later = {(r.run_id, r.step): (r.status, r.processed) for r in
+             runs.step_progress(lake.read(spark, "run_events")).collect()}
+    assert later["r2", "annotate"] == ("completed", 0)
+    assert later["r2", "evaluate"] == ("completed", 1)
+    assert later["r2", "visualize"][0] == "skipped"
+    states = lake.read(spark, "run_events").where("run_id = 'r1' AND step = 'annotate'")
+    assert [r.status for r in states.orderBy("at").collect()] == ["pending", "running", "completed"]
+
     def broken():
         raise ValueError("no truth")
 

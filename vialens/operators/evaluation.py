@@ -26,10 +26,18 @@ def evaluation_category(category: Column, mapping: dict[str, str] | None = None)
     return F.coalesce(known[low], low)
 
 
-def evaluated_files(truth: DataFrame, predicted: DataFrame, key: str = "name") -> DataFrame:
-    """Every prediction with its status: ``evaluated``, or ``failed`` without ground truth."""
-    return with_presence(predicted.select(key), truth, key, "_ok").select(
-        key, F.when(F.col("_ok"), "evaluated").otherwise("failed").alias("status")
+def evaluated_files(
+    truth: DataFrame, predicted: DataFrame, key: str = "name", file: str | None = None
+) -> DataFrame:
+    """Every prediction with its status: ``evaluated``, or ``failed`` without ground truth.
+
+    An unreadable prediction has no name of its own; with ``file``, the column
+    that holds its file's name, it goes by that.
+    """
+    name = F.col(key) if file is None else F.coalesce(key, file)
+    found = with_presence(predicted.select(key, name.alias("_shown")), truth, key, "_ok")
+    return found.select(
+        F.col("_shown").alias(key), F.when(F.col("_ok"), "evaluated").otherwise("failed").alias("status")
     )
 
 
@@ -113,10 +121,22 @@ def _scores(df: DataFrame) -> DataFrame:
     )
 
 
-def image_metrics(rows: DataFrame) -> DataFrame:
-    """Per image. A match of the wrong category is a false positive, not a false negative."""
+def _with_images(rows: DataFrame, images: DataFrame | None) -> DataFrame:
+    """``rows`` and one of kind ``image`` for every evaluated image, boxes or not."""
+    if images is None:
+        return rows
+    named = images.select("image_id").dropna().distinct().withColumn("kind", F.lit("image"))
+    return rows.unionByName(named, allowMissingColumns=True)
+
+
+def image_metrics(rows: DataFrame, images: DataFrame | None = None) -> DataFrame:
+    """Per image. A match of the wrong category is a false positive, not a false negative.
+
+    ``images`` (image_id) are the images evaluated; those without any box have
+    a row of zeros.
+    """
     return _scores(
-        rows.groupBy("image_id").agg(
+        _with_images(rows, images).groupBy("image_id").agg(
             F.count_if(_right()).alias("tp"),
             F.count_if(_only_pred() | _wrong()).alias("fp"),
             F.count_if(_only_gt()).alias("fn"),
@@ -155,17 +175,23 @@ def threshold_sweep(rows: DataFrame) -> DataFrame:
     return _scores(rows.agg(*_sweep_counts()).select(F.inline(steps)))
 
 
-def evaluation_summary(rows: DataFrame) -> DataFrame:
+def evaluation_summary(rows: DataFrame, images: DataFrame | None = None) -> DataFrame:
     """One row. Quality is taken at IoU 0.5 whatever the matching threshold was.
 
+    ``total_images`` counts ``images``; without them, the images that have a box.
+
     ``mean_precision_50_95`` averages the precision over the sweep; it is not an
     average precision, the boxes carry no confidence to rank by.
     """
     at_50 = SWEEP[0]
     tp, fp, fn = (F.col(f"{c}{at_50}") for c in ("tp", "fp", "fn"))
     precisions = [precision(F.col(f"tp{k}"), F.col(f"fp{k}")) for k in SWEEP]
+    evaluated = (
+        F.count_distinct("image_id") if images is None else F.count_if(F.col("kind") == "image")
+    )
     return (
-        rows.agg(
+        _with_images(rows, images).agg(
+            evaluated.alias("total_images"),
             F.count_if(_match() | _only_gt()).alias("total_gt_objects"),
             F.count_if(_match() | _only_pred()).alias("total_pred_objects"),
             F.count_if(_right()).alias("true_positives"),
@@ -362,6 +388,7 @@ def report_rows(
     compared: DataFrame,
     threshold: float = 0.5,
     mapping: dict[str, str] | None = None,
+    images: DataFrame | None = None,
 ) -> DataFrame:
     """The evaluation report as (section, name, body) rows, body being JSON.
 
@@ -380,7 +407,7 @@ def report_rows(
         F.create_map(*[F.lit(x) for kv in table.items() for x in kv]).alias("category_mapping"),
     )
     parts = [
-        section(evaluation_summary(rows), "summary", F.lit("all")),
+        section(evaluation_summary(rows, images), "summary", F.lit("all")),
         section(attribute_accuracy(compared), "attribute_accuracy", F.col("attribute")),
         section(class_metrics(rows), "per_class_metrics", F.col("category")),
         section(original_category_metrics(rows), "original_category_metrics", F.col("category")),

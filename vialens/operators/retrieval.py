@@ -8,6 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from vialens.functions.text import city_of, text_slices
 from vialens.operators.scale import number_rows, settle
@@ -150,8 +151,7 @@ def _hit_schema(queries: DataFrame, documents: DataFrame) -> T.StructType:
 
 
 def _arrow(schema: T.StructType) -> pa.Schema:
-    kinds = {T.LongType(): pa.int64(), T.IntegerType(): pa.int32(), T.StringType(): pa.string()}
-    return pa.schema([(f.name, kinds.get(f.dataType, pa.float64())) for f in schema])
+    return to_arrow_schema(schema)
 
 
 def top_k(

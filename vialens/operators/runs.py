@@ -155,6 +155,22 @@ def step_events(
     )
 
 
+def step_state(
+    spark, run_id: str, step: str, status: str, error: str | None = None, at: Column | None = None
+) -> DataFrame:
+    """An event that changes a step's state and counts nothing."""
+    when = F.current_timestamp() if at is None else at
+    return spark.range(1).select(
+        F.xxhash64(F.lit(run_id), F.lit(step), F.lit(status), when).alias("event_id"),
+        F.lit(run_id).alias("run_id"),
+        F.lit(step).alias("step"),
+        F.lit(status).alias("status"),
+        *[F.lit(None).cast("bigint").alias(c) for c in ("total", "processed", "failed")],
+        F.lit(error).cast("string").alias("error"),
+        when.alias("at"),
+    )
+
+
 def initial_events(spark, run_id: str, wanted: Sequence[str], at: Column | None = None) -> DataFrame:
     """The opening events of a run: every step, pending or skipped."""
     rows = [

@@ -65,7 +65,9 @@ def visualize_step(
     boxes = evaluation.overlay_rows(
         matching.explode_boxes(shown_truth), matching.explode_boxes(found)
     )
-    _append(boxes, lake.path("overlay_boxes"))
+    # a run that stopped before its lines left boxes behind: they are not written again
+    written = lake.read_or_empty(spark, "overlay_boxes", "image_id string")
+    _append(not_done(boxes, written, "image_id"), lake.path("overlay_boxes"))
     # last: a line marks its image as drawn
     _append(evaluation.overlay_attributes(truth, found), lake.path("overlay_lines"))
     return work.select(F.col("name").alias("filename"), "ok")
@@ -89,18 +91,31 @@ def evaluate_step(
     )
     rows.write.mode("overwrite").parquet(lake.path("outcomes"))
     rows = lake.read(spark, "outcomes")
+    images = both.select(F.col("name").alias("image_id"))
     writers.write_table(
-        evaluation.image_metrics(rows), lake.path("image_metrics"), partition_by=None
+        evaluation.image_metrics(rows, images), lake.path("image_metrics"), partition_by=None
     )
     compared = evaluation.attribute_comparison(truth, generated)
-    writers.write_report(
-        evaluation.report_rows(rows, compared, threshold, mapping), lake.path("report")
-    )
+    report = evaluation.report_rows(rows, compared, threshold, mapping, images)
+    writers.write_report(report, lake.path("report"))
     return status.select(F.col("name").alias("filename"), (F.col("status") == "evaluated").alias("ok"))
 
 
 def open_run(spark: SparkSession, lake: Lake, run_id: str, wanted: Sequence[str]) -> None:
-    _append(runs.initial_events(spark, run_id, wanted), lake.path("run_events"))
+    """Opens a new run. A run that exists keeps its steps: only those it had skipped open."""
+    log = lake.read_or_empty(spark, "run_events", runs.EVENT_SCHEMA)
+    known = runs.step_progress(log).where(F.col("run_id") == run_id).select("step", "status")
+    known = {r.step: r.status for r in known.collect()}  # a row a step
+    events = runs.initial_events(spark, run_id, wanted)
+    if known:
+        again = [s for s in wanted if known.get(s, "skipped") == "skipped"]
+        events = events.where(F.col("step").isin(again))
+    _append(events, lake.path("run_events"))
+
+
+def start_step(spark: SparkSession, lake: Lake, run_id: str, step: str) -> None:
+    """Records that a step runs, so a driver that dies leaves it running, not pending."""
+    _append(runs.step_state(spark, run_id, step, "running"), lake.path("run_events"))
 
 
 def close_step(lake: Lake, run_id: str, step: str, result: DataFrame) -> None:
@@ -117,17 +132,7 @@ def close_step(lake: Lake, run_id: str, step: str, result: DataFrame) -> None:
 
 
 def fail_step(spark: SparkSession, lake: Lake, run_id: str, step: str, error: str) -> None:
-    now = F.current_timestamp()
-    event = spark.range(1).select(
-        F.xxhash64(F.lit(run_id), F.lit(step), now).alias("event_id"),
-        F.lit(run_id).alias("run_id"),
-        F.lit(step).alias("step"),
-        F.lit("failed").alias("status"),
-        *[F.lit(None).cast("bigint").alias(c) for c in ("total", "processed", "failed")],
-        F.lit(error).alias("error"),
-        now.alias("at"),
-    )
-    _append(event, lake.path("run_events"))
+    _append(runs.step_state(spark, run_id, step, "failed", error), lake.path("run_events"))
 
 
 def run(spark: SparkSession, lake: Lake, run_id: str, steps: dict) -> bool:
@@ -138,6 +143,7 @@ def run(spark: SparkSession, lake: Lake, run_id: str, steps: dict) -> bool:
     open_run(spark, lake, run_id, list(steps))
     for step in runs.STEPS:
         if step in steps:
+            start_step(spark, lake, run_id, step)
             try:
                 close_step(lake, run_id, step, steps[step]())
             except Exception as e:

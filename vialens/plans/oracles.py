@@ -511,9 +511,11 @@ scored AS (
 
 ORACLES["image_metrics"] = f"""WITH RECURSIVE {_scored('''
     SELECT image_id, count(*) FILTER (gc = pc) AS tp,
-        count(*) FILTER (gc IS NULL OR gc <> pc) AS fp, count(*) FILTER (pc IS NULL) AS fn,
-        count(gc) AS total_gt, count(pc) AS total_pred
-    FROM outcomes GROUP BY image_id''', "image_id, total_gt, total_pred")}
+        count(*) FILTER (box AND (gc IS NULL OR gc <> pc)) AS fp,
+        count(*) FILTER (box AND pc IS NULL) AS fn, count(gc) AS total_gt, count(pc) AS total_pred
+    FROM (SELECT image_id, gc, pc, true AS box FROM outcomes
+        UNION ALL SELECT c_custkey, NULL, NULL, false FROM customer)
+    GROUP BY image_id''', "image_id, total_gt, total_pred")}
 SELECT * EXCLUDE (pr) FROM scored"""
 
 _SWEEP = _scored(
@@ -528,7 +530,8 @@ _SWEEP = _scored(
 ORACLES["threshold_sweep"] = f"WITH RECURSIVE {_SWEEP} SELECT * EXCLUDE (pr) FROM scored"
 
 ORACLES["evaluation_summary"] = f"""WITH RECURSIVE {_SWEEP}
-SELECT (SELECT count(gc) FROM outcomes) AS total_gt_objects,
+SELECT (SELECT count(*) FROM customer) AS total_images,
+    (SELECT count(gc) FROM outcomes) AS total_gt_objects,
     (SELECT count(pc) FROM outcomes) AS total_pred_objects,
     (SELECT count(*) FROM outcomes WHERE gc = pc) AS true_positives,
     (SELECT count(*) FROM outcomes WHERE gc IS NULL OR gc <> pc) AS false_positives,

@@ -359,13 +359,18 @@ def _outcomes(spark, d):
     return settle(evaluation.outcomes(gt, pred, settle(matching.greedy_match(gt, pred))))
 
 
+def _evaluated(spark, d):
+    """An image per customer, also those without a box."""
+    return adapt.table(spark, d, "customer").select(F.col("c_custkey").alias("image_id"))
+
+
 def _scores(df):
     return _rounded(df, "precision", "recall", "f1")
 
 
 @query
 def image_metrics(spark, d):
-    return _scores(evaluation.image_metrics(_outcomes(spark, d)))
+    return _scores(evaluation.image_metrics(_outcomes(spark, d), _evaluated(spark, d)))
 
 
 @query
@@ -375,7 +380,7 @@ def threshold_sweep(spark, d):
 
 @query
 def evaluation_summary(spark, d):
-    out = evaluation.evaluation_summary(_outcomes(spark, d))
+    out = evaluation.evaluation_summary(_outcomes(spark, d), _evaluated(spark, d))
     return _rounded(out, "precision_at_50", "recall_at_50", "f1_at_50", "mean_precision_50_95")
 
 
