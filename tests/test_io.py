@@ -126,7 +126,19 @@ def test_listing_and_landing(spark, tmp_path):
     report = medallion.land(spark, lake, str(source), F.lit(date(2025, 1, 2))).head()
     assert (report.total_files, report.completed, report.success_rate) == (2, 2, 100.0)
     assert (tmp_path / "lake" / "landing" / "ingestion_date=2025-01-02").is_dir()
-    timed = writers.landing_report(lake.read(spark, "landing"), seconds=4.0).head()
+    (source / "b.gone").write_bytes(b"1")
+    listing = readers.file_listing(spark, str(source)).collect()
+    (source / "b.gone").unlink()
+    gone = readers.readable_contents(spark.createDataFrame(listing)).collect()
+    assert {r.filename: (r.content, r.error is None) for r in gone} == {
+        "a.jpg": (b"12345", True), "b.json": (b"{}", True), "b.gone": (None, False),
+    }
+    (source / "c.jpg").write_bytes(b"1")
+    report = medallion.land(spark, lake, str(source), F.lit(date(2025, 1, 3))).head()
+    assert (report.total_files, report.failed) == (3, 0)  # of this day, not of all
+    assert report.files_per_second > 0
+    landed = lake.read(spark, "landing").where("ingestion_date = '2025-01-02'")
+    timed = writers.landing_report(landed, seconds=4.0).head()
     assert timed.files_per_second == 0.5
     later = readers.file_contents(spark, str(source), since="2100-01-01 00:00:00")
     assert later.count() == 0

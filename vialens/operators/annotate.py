@@ -1,14 +1,13 @@
 """Incremental annotation: pick what is left to do, score it, keep what worked."""
 
 from collections.abc import Callable, Iterator
-from urllib.parse import quote
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vialens.operators.transform import image_files, not_done
+from vialens.sources.readers import read_bytes
 from vialens.schemas import GENERATED_ANNOTATION, SCENE_ATTRIBUTES
 
 ClassifyScene = Callable[[str, bytes], dict]
@@ -23,14 +22,6 @@ def worklist(
     return todo if limit is None else todo.orderBy("filename").limit(limit)
 
 
-def read_bytes(path: str) -> bytes:
-    """A whole file, from any store pyarrow can name by URI. ``path`` as Spark lists it."""
-    uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
-    store, inner = fs.FileSystem.from_uri(uri)
-    with store.open_input_stream(inner) as stream:
-        return stream.read()
-
-
 def _one(
     name: str, load: Callable[[], bytes], classify: ClassifyScene, detect: DetectObjects
 ) -> dict:

@@ -27,14 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame) -> str:
     """Writes ``df`` as a table of its own in the shared folder; returns the path.
 
-    The tables of an application share a folder, which can go when it has ended.
+    The tables of an application share a folder.
     """
-    app = df.sparkSession.sparkContext.applicationId
-    path = f"{shared_folder(df.sparkSession)}/settled/{app}/{uuid.uuid4().hex}"
+    path = f"{application_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return path
 
 
+def application_folder(spark: SparkSession) -> str:
+    """The application's own folder in the shared one; it goes when the application ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark)}/settled/{context.applicationId}"
+    path = context._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(context._jsc.hadoopConfiguration())
+    if not store.exists(path):
+        store.mkdirs(path)
+        store.deleteOnExit(path)
+    return folder
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 

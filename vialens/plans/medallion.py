@@ -4,6 +4,7 @@ Every step reads the table the step before it wrote. A run that breaks off
 repeats only the step it was in, and each table's size is known to the next.
 """
 
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -42,9 +43,14 @@ class Lake:
 def land(
     spark: SparkSession, lake: Lake, source: str, on_date: Column | None = None
 ) -> DataFrame:
-    """Raw files into the landing table; returns the report."""
-    writers.land_files(readers.file_contents(spark, source), lake.path("landing"), on_date)
-    return writers.landing_report(lake.read(spark, "landing"))
+    """Raw files into the landing table of a day; returns the report of this day's files."""
+    day = spark.range(1).select(F.current_date() if on_date is None else on_date).first()[0]
+    began = time.monotonic()
+    files = readers.readable_contents(readers.file_listing(spark, source))
+    writers.land_files(files, lake.path("landing"), F.lit(day))
+    seconds = time.monotonic() - began
+    landed = lake.read(spark, "landing").where(F.col("ingestion_date") == F.lit(day))
+    return writers.landing_report(landed, seconds)
 
 
 def cleanse(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
@@ -103,6 +109,7 @@ def score(spark: SparkSession, lake: Lake, mapping: DataFrame | None = None) ->
 def run(spark: SparkSession, source: str, root: str) -> Lake:
     """All steps over the JSON files of ``source``."""
     lake = Lake(root)
+    land(spark, lake, source)
     cleanse(spark, lake, source)
     refine(spark, lake)
     aggregate(spark, lake)

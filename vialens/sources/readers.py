@@ -1,5 +1,10 @@
 """Reads. Every schema is declared; file names come from the file metadata."""
 
+from collections.abc import Iterator
+from urllib.parse import quote
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +75,40 @@ def file_listing(
     )
 
 
+def readable_contents(files: DataFrame) -> DataFrame:
+    """``files`` (from file_listing) with ``content``, or NULL and the ``error`` met.
+
+    Every task opens its own files, so one that cannot be read costs only itself.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, path in enumerate(batch.column(0).to_pylist()):
+                content = error = None
+                try:
+                    content = read_bytes(path)
+                except Exception as e:
+                    error = f"{type(e).__name__}: {e}"
+                row = batch.slice(i, 1)
+                added = [pa.array([content], pa.binary()), pa.array([error], pa.string())]
+                yield pa.RecordBatch.from_arrays(
+                    [*row.columns, *added], [*row.schema.names, "content", "error"]
+                )
+
+    fields = "path string, filename string, length long, modificationTime timestamp"
+    return files.select("path", "filename", "length", "modificationTime").mapInArrow(
+        read, f"{fields}, content binary, error string"
+    )
+
+
+def read_bytes(path: str) -> bytes:
+    """A whole file, from any store pyarrow can name by URI. ``path`` as Spark lists it."""
+    uri = quote(path.replace("s3a://", "s3://", 1), safe="/:@")
+    store, inner = fs.FileSystem.from_uri(uri)
+    with store.open_input_stream(inner) as stream:
+        return stream.read()
+
+
 def file_contents(
     spark: SparkSession, path: str, pattern: str | None = None, since: str | None = None
 ) -> DataFrame:

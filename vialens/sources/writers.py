@@ -27,7 +27,10 @@ def write_table(
 
 
 def land_files(files: DataFrame, path: str, on_date: Column | None = None) -> None:
-    """Raw files as rows of a landing table, by ingest date."""
+    """Raw files as rows of a landing table, by ingest date.
+
+    A file whose content is missing or cut has failed; ``error`` tells why it was not read.
+    """
     landed = files.select(
         "path",
         "filename",
@@ -37,6 +40,7 @@ def land_files(files: DataFrame, path: str, on_date: Column | None = None) -> No
         F.when(F.length("content") == F.col("length"), "completed")
         .otherwise("failed")
         .alias("status"),
+        *(["error"] if "error" in files.columns else []),
         (F.current_date() if on_date is None else on_date).alias("ingestion_date"),
     )
     write_table(landed, path)
