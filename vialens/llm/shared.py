@@ -4,15 +4,12 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vialens.operators.scale import shared_folder
-
-__all__ = ["new_folder", "partitions", "settle", "shared_folder", "source"]
+from vialens.operators.scale import application_folder
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own below ``spark.checkpoint.dir``; nothing is there yet."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/settled/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, compression: str = "snappy") -> DataFrame:
