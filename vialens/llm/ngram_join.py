@@ -6,12 +6,15 @@ sets form a class, and only classes are compared.
 
 The global order puts common shingles last (those counted in many texts of a
 chunk, summed over all chunks; at most ``COMMON`` of them are known to the
-tasks, which steers the order and never the result). Two sets that link share
-a shingle among the first ``n - ceil(t n) + 1`` of each. That part of the order
-is cut into fragments by hash, one a task: each counts the shared shingles of
-its pairs, the partial overlaps are summed by pair, and a pair goes on only if
-its sum and all that may follow can reach the threshold. A shingle that more
-than ``CROWD`` classes share makes no pairs: its classes hang on one of them.
+tasks, which steers the order and never the result). Two sets that link share at
+least ``s`` of the first ``n - ceil(t n) + s`` shingles of each; ``s`` is one and
+``SPARE`` percent of the smaller set. That part of the order is cut into
+fragments by hash, one a task: each counts the shared shingles of its pairs, the
+partial overlaps are summed by pair, and a pair goes on only if its sum reaches
+``s`` and, with all that may follow, the threshold. A shingle that more than
+``CROWD`` classes share makes no pairs. It counts as shared in those sums where
+both classes have so many; classes with ``s`` of them or more, which alone can
+link through nothing else, hang on one class of each.
 
 Classes that pairs or crowds connect form a group, cut into blocks of about
 ``BLOCK`` classes and ``BLOCK_GRAMS`` shingles. A task takes two blocks, cuts their
@@ -50,6 +53,7 @@ from vialens.llm.shared import partitions, settle
 
 COMMON = 200_000
 CROWD = 32
+SPARE = 15
 BLOCK = 1024
 BLOCK_GRAMS = 4_000_000
 FRAGMENT = 2048
@@ -165,13 +169,18 @@ def _needed(size: np.ndarray, percent: int) -> np.ndarray:
     return -(-size * percent // 100)
 
 
+def _sure(size: np.ndarray) -> np.ndarray:
+    """How many of its first shingles a set shares with any that links and is no smaller."""
+    return 1 + size * SPARE // 100
+
+
 def _prefixes(rows: DataFrame, n: int, percent: int, common, n_buckets: int) -> DataFrame:
     """The first shingles of every class of a chunk, packed by fragment of the order."""
 
     def pack(batches: Iterator[pa.RecordBatch]):
         for _, _, keys, first, found, at in _sets(batches, n, common.value):
             size = np.diff(at)[first]
-            length = size - _needed(size, percent) + 1
+            length = size - _needed(size, percent) + _sure(size)
             hashes = found[ragged(at[first], length)]
             doc = np.repeat(np.arange(len(first)), length)
             bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(int)
@@ -227,7 +236,7 @@ def _partial_overlaps(table: pa.Table, percent: int) -> pa.Table:
     crowd = count > CROWD
     member = doc[ragged(begin[crowd], count[crowd])]
     pivot = np.repeat(doc[begin[crowd]], count[crowd])
-    hang = np.unique((pivot * n + member)[pivot != member])
+    hang, times = np.unique(pivot * n + member, return_counts=True)
     both = np.concatenate([pair, hang])
     a, b = both // max(n, 1), both % max(n, 1)
     of = [k.tobytes() for k in keys]
@@ -237,7 +246,7 @@ def _partial_overlaps(table: pa.Table, percent: int) -> pa.Table:
         pa.array([of[i] for i in b.tolist()], pa.binary()),
         pa.array(size[a]),
         pa.array(size[b]),
-        pa.array(np.concatenate([shared, np.zeros(len(hang), np.int64)])),
+        pa.array(np.concatenate([shared, times])),
     ]
     return pa.Table.from_arrays(columns, schema=_FOUND)
 
@@ -333,16 +342,27 @@ def links(rows: DataFrame, scanned: DataFrame, n: int, percent: int) -> DataFram
     packed = _prefixes(rows, n, percent, common, partitions(spark))
     schema = "crowd boolean, a binary, b binary, n_a long, n_b long, shared long"
     found = settle(packed.groupBy("bucket").applyInArrow(lambda t: _partial_overlaps(t, percent), schema))
+    hung = found.filter("crowd")
+    crowded = hung.groupBy(F.col("b").alias("key"))
+    crowded = settle(crowded.agg(F.sum("shared").alias("k"), F.first("n_b").alias("n")))
     # what both sets can still share beyond the first shingles of either
-    rest = F.ceil(F.greatest("n_a", "n_b") * percent / 100) - 1
+    largest = F.greatest("n_a", "n_b")
+    rest = F.ceil(largest * percent / 100) - 1 - F.floor(F.least("n_a", "n_b") * SPARE / 100)
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent) - 1e-9)
-    pairs = (
-        found.filter("NOT crowd")
-        .groupBy("a", "b", "n_a", "n_b")
-        .agg(F.sum("shared").alias("shared"))
-        .filter(F.col("shared") + rest >= need)
-    )
-    edges = found.filter("crowd").select("a", "b").union(pairs.select("a", "b"))
+    sure = 1 + F.floor(F.least("n_a", "n_b") * SPARE / 100)
+    pairs = found.filter("NOT crowd").groupBy("a", "b", "n_a", "n_b")
+    pairs = pairs.agg(F.sum("shared").alias("shared"))
+    for side in ("a", "b"):
+        k = crowded.select(F.col("key").alias(side), F.col("k").alias(f"k_{side}"))
+        pairs = pairs.join(k, side, "left").fillna(0, [f"k_{side}"])
+    most = F.col("shared") + F.least("k_a", "k_b")
+    pairs = pairs.filter((most >= sure) & (most + rest >= need))
+    # who shares nothing but crowded shingles with a set that links has at least so many of them
+    smallest = F.ceil(F.col("n") * percent / 100)
+    deep = crowded.filter(F.col("k") >= 1 + F.floor(smallest * SPARE / 100))
+    deep = deep.select(F.col("key").alias("b"))
+    edges = hung.filter("a <> b").join(deep, "b", "left_semi").select("a", "b")
+    edges = edges.union(pairs.select("a", "b"))
     groups = components(edges).withColumnsRenamed({"node": "key", "root": "group"})
     sizes = found.select(F.col("a").alias("key"), F.col("n_a").alias("n"))
     sizes = sizes.union(found.select("b", "n_b")).groupBy("key").agg(F.first("n").alias("n"))
