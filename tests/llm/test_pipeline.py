@@ -7,6 +7,7 @@ import zlib
 
 import pytest
 from test_matching_operators import _component_ids, _without_repeats
+from test_text_operators import _labelled
 
 import __spark_entry__ as contract
 import corpus_pipeline
@@ -27,17 +28,11 @@ def corpus(spark, tmp_path_factory):
     draw = random.Random(11)
     passage = _words(draw, 60)
     items = [" ".join(_words(draw, 30)) for _ in range(4)]
-    texts = [" ".join(_words(draw, draw.randint(20, 200))) for _ in range(300)]
-    labels = []
-    for i in range(300):
-        toxic = i % 4 == 0
-        if toxic:
-            w = texts[i].split()
-            for _ in range(len(w) // 10 + 2):
-                w[draw.randrange(len(w))] = "zgrumpf" + draw.choice(["", "s", "ed"])
-            texts[i] = " ".join(w)
-        labels.append((i, 1, int(toxic)))
-    texts += [texts[1], texts[2] + " more", texts[3]]
+    labelled = _labelled(800, 3)
+    texts = [t for _, t, _ in labelled]
+    labels = [(i, 1, y) for i, _, y in labelled]
+    long = next(t for t in texts if len(t.split()) > 50)
+    texts += [texts[1], long + " more", texts[3]]
     texts += [" ".join(_words(draw, 90) + passage + _words(draw, 90)) for _ in range(3)]
     texts += [" ".join(_words(draw, 60) + items[k].upper().split() + _words(draw, 60)) for k in (0, 2)]
     texts += [None, "", "  "]
