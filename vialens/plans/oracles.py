@@ -101,6 +101,13 @@ SELECT DISTINCT
     CAST(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 2 END AS INTEGER) AS total_labels
 FROM d"""
 
+ORACLES["images_lineage"] = """
+SELECT CASE o_orderstatus WHEN 'O' THEN 'n' || o_orderkey WHEN 'F' THEN 'f' || o_orderkey
+        ELSE CASE WHEN o_orderpriority <> '5-LOW' THEN 'v' || o_orderkey END
+            || '-' || o_custkey || '.jpg' END AS filename,
+    '2025-01-02' AS ingestion_date, '2025-01-02 03:04:05' AS processing_date
+FROM orders JOIN customer ON o_custkey = c_custkey"""
+
 ORACLES["labels_geometry"] = """
 SELECT CAST(l_partkey AS VARCHAR) AS label_id, l_orderkey || '-' || l_linenumber AS image_id,
     l_linestatus AS category, CAST(l_linenumber AS DOUBLE) AS bbox_x1, l_quantity AS bbox_y1,

@@ -85,6 +85,16 @@ def images_projection(spark, d):
     return out.drop("ingestion_date", "processing_date")
 
 
+@query
+def images_lineage(spark, d):
+    """The lineage columns of a given day and time."""
+    day, time = F.lit("2025-01-02").cast("date"), F.lit("2025-01-02 03:04:05").cast("timestamp")
+    out = transform.images_table(adapt.label_documents(spark, d), day, time)
+    return out.select(
+        "filename", *[F.col(c).cast("string").alias(c) for c in ("ingestion_date", "processing_date")]
+    )
+
+
 @query
 def labels_geometry(spark, d):
     out = transform.labels_table(adapt.item_documents(spark, d))
