@@ -13,7 +13,7 @@ import pytest
 
 from vialens.llm import language_model, pieces, token_store, toxicity
 from vialens.llm.bytewords import bounds, text_chunks
-from vialens.llm.queries import vocabulary
+from vialens.llm.queries import QUERIES, vocabulary
 
 ODD = [
     None,
@@ -201,6 +201,16 @@ def test_kneser_ney_equals_its_definition(spark, order):
         assert row.score == pytest.approx(score(mine), rel=1e-9)
 
 
+def test_the_query_is_a_trigram_model(spark, tmp_path):
+    texts = ["a b c", "a b c", "x b d", "x b d", "x b d e", "y b c a", "b c", "a b d"] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    tokens = [[*t.split(), "</s>"] for t in texts]
+    score = _brute_force([t for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 10], 3)
+    got = {r.doc_id: r.score for r in QUERIES["op3_language_model"](spark, str(tmp_path)).collect()}
+    assert got == pytest.approx({i: score(t) for i, t in enumerate(tokens)}, rel=1e-9)
+
+
 def test_language_model_of_nothing(spark):
     rows = odd_docs(spark)
     assert language_model.perplexities(rows.limit(0)).count() == 0

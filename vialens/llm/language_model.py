@@ -159,7 +159,7 @@ def _mounted(path: str) -> str:
     return path
 
 
-def fit(docs: DataFrame, order: int = 2, text: str = "text") -> str:
+def fit(docs: DataFrame, order: int = 3, text: str = "text") -> str:
     """Counts all texts of ``docs`` into a model; returns its folder."""
     if order < 2:
         raise ValueError("the order is 2 or more")
@@ -360,7 +360,7 @@ def score_documents(docs: DataFrame, folder: str, id: str = "doc_id", text: str
     return rows.mapInArrow(scored, schema)
 
 
-def perplexities(docs: DataFrame, order: int = 2) -> DataFrame:
+def perplexities(docs: DataFrame, order: int = 3) -> DataFrame:
     """Scores of all texts by a model of those that are not held out."""
     folder = fit(docs.filter(~held_out()), order)
     return score_documents(docs, folder).withColumn("held_out", held_out())

@@ -199,7 +199,7 @@ def _conversations(spark, d):
 
 @query
 def op3_language_model(spark, d):
-    return language_model.perplexities(source(spark, d, "documents"), order=2)
+    return language_model.perplexities(source(spark, d, "documents"), order=3)
 
 
 @query
