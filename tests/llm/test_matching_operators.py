@@ -265,6 +265,20 @@ def test_chat_round_trip(spark):
     assert chat.digests(table.limit(0)).count() == 0
 
 
+def test_chat_digests_rest_on_the_examples(spark, monkeypatch):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn <|{i}") for i in range(6)] + [(2, 0, "user", "x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    digest = lambda: {r.conv_id: r for r in chat.digests(table).collect()}
+    whole, examples = digest(), chat.examples
+    assert (whole[1].loss_chars, whole[2].loss_chars, whole[2].formatted_chars) == (24, 0, 0)
+    monkeypatch.setattr(chat, "examples", lambda rendered: examples(rendered).filter("example > 0"))
+    assert digest()[1].loss_chars == 16 and digest()[2] == whole[2]
+    wrong = {"context_chars": "context_chars + 1", "begin": "begin + 1", "target": "concat('x', target)"}
+    for name, value in wrong.items():
+        monkeypatch.setattr(chat, "examples", lambda r, n=name, v=value: examples(r).withColumn(n, F.expr(v)))
+        assert digest()[1] != whole[1]
+
+
 # neighbours
 
 
