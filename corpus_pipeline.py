@@ -39,8 +39,10 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    held = decontamination.contained_items(docs, source(spark, sf_dir, "benchmark"))
+    """Documents that hold no benchmark item, however short."""
+    held = decontamination.contained_items(
+        docs, source(spark, sf_dir, "benchmark"), short_runs=True
+    )
     held = held.select("doc_id").distinct()
     return docs.join(held, "doc_id", "left_anti").select(*docs.columns)
 

@@ -202,6 +202,18 @@ def test_decontamination_without_broadcast(spark, monkeypatch):
     assert sorted((r.doc_id, r.containment) for r in found) == [(0, 1.0), (2, 1.0)]
 
 
+def test_decontamination_of_items_under_a_shingle(spark):
+    items = ["Alpha, beta gamma", "delta", "eps zeta eta theta", "one two three four five six", "beta beta", "", None]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [
+        "x alpha beta gamma y z u v w", "alpha beta x gamma y", "a b c d e f DELTA", "deltas", "delta", "theta",
+        "q eps zeta eta theta one two three four five six", "alpha beta gamma", "beta", None, "",
+    ]
+    found = decontamination.contained_items(docs_of(spark, texts), bench, short_runs=True)
+    got = sorted((r.doc_id, r.item_id, r.n_shared, r.n_item) for r in found.collect())
+    assert got == [(0, 0, 1, 1), (2, 1, 1, 1), (4, 1, 1, 1), (6, 2, 1, 1), (6, 3, 2, 2), (7, 0, 1, 1)]
+
+
 # licenses
 
 

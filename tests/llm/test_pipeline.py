@@ -96,6 +96,13 @@ def test_contaminated_documents_go(spark, corpus):
     assert len(want) == len(rows) - 2
 
 
+def test_documents_with_a_short_item_go(spark, tmp_path):
+    spark.createDataFrame([(1, "w1 w2 w3")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(["a b c w1 W2 w3 d e f", "a b c w1 w2 d w3 e f"])]
+    kept = STAGES["decontamination"](spark, _docs(spark, rows), str(tmp_path))
+    assert [r.doc_id for r in kept.collect()] == [1]
+
+
 def test_whole_pipeline(spark, corpus):
     folder, rows, *_ = corpus
     docs = _docs(spark, rows)

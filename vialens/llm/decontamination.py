@@ -17,7 +17,9 @@ there are at most ``BROADCAST_GRAMS`` of them, and shuffles otherwise.
 
 Defined cases: words are runs of letters and digits, lower-cased, as in the
 license scan; an item or text under ``n`` words has its whole word sequence as
-its one shingle; items and texts without words meet nothing; repeated rows of a
+its one shingle, so an item of fewer words is found only in a text equal to it,
+unless ``short_runs`` also compares the text's runs of as many words as such
+items have; items and texts without words meet nothing; repeated rows of a
 document are one document under its id, and so are repeated items.
 """
 
@@ -64,15 +66,22 @@ def contained_items(
     threshold: float = 0.75,
     id: str = "doc_id",
     text: str = "text",
+    short_runs: bool = False,
 ) -> DataFrame:
     """(doc_id, item_id, n_shared, n_item, containment) of all pairs at the threshold or above."""
     grams = item_shingles(items, n)
+    sizes = [n]
+    if short_runs:
+        n_words = items.select(F.size(words(F.col("text"))).alias("n")).distinct()
+        short = n_words.filter((F.col("n") > 0) & (F.col("n") < n)).collect()  # under n rows
+        sizes += sorted(r["n"] for r in short)
     universe = grams.select("hash").distinct()
     if universe.count() <= BROADCAST_GRAMS:
         universe, grams = F.broadcast(universe), F.broadcast(grams)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), words(F.col(text)).alias("w"))
+    hashes = F.concat(*[shingles(F.col("w"), size) for size in sizes])
     reduced = (
-        rows.select("doc_id", F.explode(shingles(F.col("w"), n)).alias("hash"))
+        rows.select("doc_id", F.explode(hashes).alias("hash"))
         .join(universe, "hash", "left_semi")
         .distinct()
     )
