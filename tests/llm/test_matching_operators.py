@@ -81,6 +81,15 @@ def test_substring_dedup_across_chunks(spark, monkeypatch):
     assert {r.doc_id: r.text for r in got} == {i: " ".join(w) for i, w in enumerate(want)}
 
 
+def test_substring_dedup_lists_a_place_of_copies_once(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "_CHUNK", 2000)
+    text = " ".join(f"w{i}" for i in range(200))
+    rows = spark.createDataFrame([(bytes(16), text)] * 60, "key binary, text string")
+    lists = [p for r in substring_dedup.repeated_windows(rows.repartition(6), 35).collect() for p in r.places]
+    at = np.concatenate([np.frombuffer(p, "<u4") for p in lists])
+    assert sorted(at.tolist()) == list(range(200 - 34))
+
+
 # n-gram join
 
 

@@ -173,10 +173,18 @@ def _repeated(weight: np.ndarray, *hashes: np.ndarray) -> np.ndarray:
 
 
 def _found(keys, doc, at, keep) -> pa.Table:
-    """(key, places) rows of the entries to keep, one for every text."""
-    doc, at = doc[keep], at[keep]
+    """(key, places) rows of the entries to keep, one for every distinct text.
+
+    Copies of a text come from many chunks; a place of them is listed once. It
+    has one hash and so one bucket: a text's lists hold its own places at most.
+    """
+    keys, same = np.unique(keys, return_inverse=True)
+    doc, at = same[doc[keep]], at[keep]
     order = np.lexsort((at, doc))
     doc, at = doc[order], at[order]
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+    doc, at = doc[new], at[new]
     begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, int)
     end = np.r_[begin[1:], len(doc)].astype(int) if len(doc) else begin
     rows = [
