@@ -223,6 +223,19 @@ def test_decontamination_of_items_under_a_shingle(spark):
     assert got == [(0, 0, 1, 1), (2, 1, 1, 1), (4, 1, 1, 1), (6, 2, 1, 1), (6, 3, 2, 2), (7, 0, 1, 1)]
 
 
+def test_decontamination_broadcasts_counted_tables_only(spark, monkeypatch):
+    bench = spark.createDataFrame([(i, "a b c d e f g h") for i in range(5)], "item_id long, text string")
+    docs = docs_of(spark, ["x a b c d e f g h y", "a b c d"])
+    sent, broadcast = [], F.broadcast
+    monkeypatch.setattr(decontamination.F, "broadcast", lambda df: sent.append(df.count()) or broadcast(df))
+    for most, want in ((20, [4, 20]), (19, [4]), (4, [4]), (3, [])):
+        sent.clear()
+        monkeypatch.setattr(decontamination, "BROADCAST_GRAMS", most)
+        found = decontamination.contained_items(docs, bench).collect()
+        assert sorted((r.doc_id, r.item_id) for r in found) == [(0, i) for i in range(5)]
+        assert sent == want
+
+
 # licenses
 
 

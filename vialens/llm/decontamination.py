@@ -12,8 +12,9 @@ hold a hash of a sketch; the exact share over all distinct shingles of the item
 decides. Shingles are compared by 64-bit hash.
 
 Documents enter the search reduced to the shingles that any item has (that
-leaves containment as it is): a join that broadcasts the items' shingles when
-there are at most ``BROADCAST_GRAMS`` of them, and shuffles otherwise.
+leaves containment as it is): a join that broadcasts the distinct shingles when
+there are at most ``BROADCAST_GRAMS`` of them, and shuffles otherwise. So does
+the join with the items' shingles, which are counted with their items.
 
 Defined cases: words are runs of letters and digits, lower-cased, as in the
 license scan; an item or text under ``n`` words has its whole word sequence as
@@ -76,8 +77,11 @@ def contained_items(
         short = n_words.filter((F.col("n") > 0) & (F.col("n") < n)).collect()  # under n rows
         sizes += sorted(r["n"] for r in short)
     universe = grams.select("hash").distinct()
-    if universe.count() <= BROADCAST_GRAMS:
-        universe, grams = F.broadcast(universe), F.broadcast(grams)
+    n_grams = grams.count()
+    if n_grams <= BROADCAST_GRAMS or universe.count() <= BROADCAST_GRAMS:
+        universe = F.broadcast(universe)
+    if n_grams <= BROADCAST_GRAMS:
+        grams = F.broadcast(grams)
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), words(F.col(text)).alias("w"))
     hashes = F.concat(*[shingles(F.col("w"), size) for size in sizes])
     reduced = (
