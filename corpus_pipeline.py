@@ -48,9 +48,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids) of every document that is left."""
-    ids = pieces.encode_documents(docs, vocabulary("piece_bpe_32k.model"), spans=False)
-    return ids.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """(doc_id, n_tokens, ids, begins, ends, decoded_sha256) of every document that is left.
+
+    ``begins`` and ``ends`` are each piece's span of bytes; the digest is that
+    of the text the ids decode to.
+    """
+    read = pieces.encode_documents(docs, vocabulary("piece_bpe_32k.model"), digest=True)
+    n_tokens = F.size("ids").cast("long").alias("n_tokens")
+    return read.select("doc_id", n_tokens, "ids", "begins", "ends", "decoded_sha256")
 
 
 STAGES = [

@@ -1,5 +1,6 @@
 """Every stage of the corpus pipeline against plain Python, and the whole of it."""
 
+import hashlib
 import os
 import random
 import re
@@ -116,6 +117,17 @@ def test_whole_pipeline(spark, corpus):
     assert all(r.n_tokens == len(r.ids) for r in got.values())
 
 
+def test_encoding_keeps_spans_and_decodes(spark, corpus):
+    folder, rows, *_ = corpus
+    texts = {r[0]: r[1] or "" for r in rows}
+    library = Pieces(vocabulary("piece_bpe_32k.model")).library
+    for r in STAGES["sentencepiece"](spark, _docs(spark, rows), folder).collect():
+        assert len(r.begins) == len(r.ends) == r.n_tokens
+        assert [0, *r.ends] == [*r.begins, len(texts[r.doc_id].encode())]
+        decoded = library.decode(r.ids) if r.ids else ""
+        assert r.decoded_sha256 == hashlib.sha256(decoded.encode()).hexdigest()
+
+
 def test_empty_documents_table(spark, corpus):
     folder, rows, *_ = corpus
     docs = _docs(spark, rows).limit(0)

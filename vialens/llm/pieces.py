@@ -241,15 +241,21 @@ def _loaded(path: str) -> Pieces:
 
 
 def encode_documents(
-    docs: DataFrame, model: str, id: str = "doc_id", text: str = "text", spans: bool = True
+    docs: DataFrame,
+    model: str,
+    id: str = "doc_id",
+    text: str = "text",
+    spans: bool = True,
+    digest: bool = False,
 ) -> DataFrame:
     """(doc_id, ids, begins, ends): the ids of every document and each piece's span of bytes.
 
     Null and empty texts have no ids. A span covers the source bytes of its
     piece in UTF-8; the pieces of a byte-fallback character split its bytes.
-    ``spans=False`` leaves the spans out.
+    ``spans=False`` leaves the spans out. ``digest`` adds decoded_sha256, the
+    digest of what the ids decode to.
     """
-    names = ["doc_id", "ids"] + ["begins", "ends"] * spans
+    names = ["doc_id", "ids"] + ["begins", "ends"] * spans + ["decoded_sha256"] * digest
 
     def encode(batches: Iterator[pa.RecordBatch]):
         pieces = _loaded(model)
@@ -260,11 +266,15 @@ def encode_documents(
                 parts = (ids, begins, ends) if spans else (ids,)
                 lists = [pa.ListArray.from_arrays(at, pa.array(c, pa.int32())) for c in parts]
                 keys = batch.column(0).slice(chunk.first, chunk.n)
+                if digest:
+                    decoded = (ids[a:b].tolist() for a, b in pairwise(bounds(counts).tolist()))
+                    decoded = (pieces.library.decode(x) if x else "" for x in decoded)
+                    lists.append(pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()))
                 yield pa.RecordBatch.from_arrays([keys, *lists], names)
 
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, ids array<int>" + ", begins array<int>, ends array<int>" * spans
-    return rows.mapInArrow(encode, schema)
+    return rows.mapInArrow(encode, schema + ", decoded_sha256 string" * digest)
 
 
 def decode_ids(encoded: DataFrame, model: str, ids: str = "ids") -> DataFrame:
