@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.llm import chat, decontamination, language_model, licenses, nearest, ngram_join, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, language_model, licenses, nearest, ngram_join, periodic, pieces, substring_dedup, token_store, toxicity
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -229,3 +229,8 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(coalesce(sum(prefix) FILTER (role = 'assistant'), 0) AS BIGINT) AS formatted_chars
 FROM placed GROUP BY conv_id
 """
+
+
+@query
+def op13_periodic_runs(spark, d):
+    return periodic.run_report(source(spark, d, "documents"))
