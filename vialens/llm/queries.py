@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.llm import chat, decontamination, language_model, licenses, nearest, ngram_join, periodic, pieces, substring_dedup, token_store, toxicity
+from vialens.llm import chat, decontamination, language_model, licenses, nearest, ngram_join, packing, periodic, pieces, substring_dedup, token_store, toxicity, variants
 from vialens.llm.shared import source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,3 +234,14 @@ FROM placed GROUP BY conv_id
 @query
 def op13_periodic_runs(spark, d):
     return periodic.run_report(source(spark, d, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, d):
+    return variants.spelling_variants(source(spark, d, "documents"), slips=31)
+
+
+@query
+def op11_packing(spark, d):
+    tokenizer = vocabulary("word_bpe_49k.json")
+    return packing.pack(source(spark, d, "documents"), tokenizer, length=4096, end_id=2, ids=False)
