@@ -20,14 +20,18 @@ def con():
     return oracle_check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(QUERIES))
+# An approximate search has no SQL; graph_recall measures it against the exact one.
+APPROXIMATE = {"graph_topk"}
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in APPROXIMATE])
 def test_query_equals_sql(spark, con, name):
     problem, *_ = oracle_check.compare(spark, con, name, QUERIES[name], ORACLES[name], SF_DIR)
     assert problem is None
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) - APPROXIMATE == set(ORACLES)
 
 
 def test_all_are_registered():

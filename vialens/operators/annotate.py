@@ -10,6 +10,8 @@ from vialens.operators.transform import image_files, not_done
 from vialens.sources.readers import read_bytes
 from vialens.schemas import GENERATED_ANNOTATION, SCENE_ATTRIBUTES
 
+COMPONENTS = ("scene_classification", "object_detection")
+
 ClassifyScene = Callable[[str, bytes], dict]
 DetectObjects = Callable[[bytes], list]
 
@@ -26,6 +28,7 @@ def _one(
     name: str, load: Callable[[], bytes], classify: ClassifyScene, detect: DetectObjects
 ) -> dict:
     attributes = dict.fromkeys(SCENE_ATTRIBUTES, "unknown")
+    errors = dict.fromkeys(COMPONENTS)
     content = None
     try:
         content = load()
@@ -34,21 +37,24 @@ def _one(
         if known:
             attributes.update({k: found[k] for k in SCENE_ATTRIBUTES if k in found})
         scene = "success" if known else "failed"
-    except Exception:
+    except Exception as e:
         scene = "error"
+        errors["scene_classification"] = f"{type(e).__name__}: {e}"
     labels = []
     try:
         if content is None:
             raise FileNotFoundError(name)
         labels = detect(content) or []
         objects = "success" if labels else "failed"
-    except Exception:
+    except Exception as e:
         objects = "error"
+        errors["object_detection"] = f"{type(e).__name__}: {e}"
     return {
         "name": name,
         "attributes": attributes,
         "labels": labels,
         "processing_status": {"scene_classification": scene, "object_detection": objects},
+        "processing_errors": errors,
     }
 
 
@@ -61,8 +67,9 @@ def annotate(
     """Runs the caller's two models over (filename, path) or (filename, content) rows.
 
     Given paths, the tasks open the files themselves, so image bytes are never
-    joined or shuffled. A model that raises marks its own component ``error``
-    and the image goes on; a file that cannot be read is an error of both.
+    joined or shuffled. A model that raises marks its own component ``error``,
+    what it raised is in ``processing_errors``, and the image goes on; a file
+    that cannot be read is an error of both.
     """
     source = "content" if "content" in work.columns else "path"
 
@@ -103,12 +110,18 @@ def component_outcomes(annotations: DataFrame) -> DataFrame:
     parts = F.array(
         *[
             F.struct(F.lit(c).alias("component"), _status(c).alias("outcome"))
-            for c in ("scene_classification", "object_detection")
+            for c in COMPONENTS
         ]
     )
     return annotations.select(F.col("name"), F.inline(parts))
 
 
+def error_text() -> Column:
+    """What the components of an annotation that raised have said; NULL if none did."""
+    parts = [F.when(F.col(f"processing_errors.{c}").isNotNull(), F.concat_ws(" ", F.lit(f"{c}:"), F.col(f"processing_errors.{c}"))) for c in COMPONENTS]
+    return F.nullif(F.concat_ws("; ", *parts), F.lit(""))
+
+
 def failure_rate(annotations: DataFrame) -> DataFrame:
     """One row: attempts, failures and their share, for the check before publishing."""
     return annotations.agg(
@@ -122,7 +135,6 @@ def failure_rate(annotations: DataFrame) -> DataFrame:
 def publishable(annotations: DataFrame, ceiling: float = 0.5) -> bool:
     """Whether the batch stays within the failure ceiling.
 
-    Runs of failures in a row mean nothing across partitions, so the ceiling is
-    a rate over the finished batch.
+    A rate over the finished batch; ``attempts`` has the limit of failures in a row.
     """
     return failure_rate(annotations).head()["failure_rate"] <= ceiling

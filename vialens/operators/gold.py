@@ -20,8 +20,10 @@ def object_context(labels: DataFrame, images: DataFrame, mapping: DataFrame) ->
     )
 
 
-def objects_per_image(labels: DataFrame, images: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Mapped objects per scene, category and image.
+def objects_per_image(
+    labels: DataFrame, images: DataFrame, mapping: DataFrame, *by: str
+) -> DataFrame:
+    """Mapped objects per scene, category and image (and ``by``, columns of both tables).
 
     Equal to counting ``object_context`` rows, but each side is counted before
     the join: what is shuffled by image_id is at most one row per image and
@@ -29,14 +31,15 @@ def objects_per_image(labels: DataFrame, images: DataFrame, mapping: DataFrame)
     counts its labels m times, as the row-wise join would.
     """
     n_labels = (
-        labels.select("image_id", F.col("category").alias("original_category"))
+        labels.select(*by, "image_id", F.col("category").alias("original_category"))
         .join(mapping.select("original_category", "mapped_category"), "original_category")
         .where(F.col("mapped_category").isNotNull() & F.col("image_id").isNotNull())
-        .groupBy("image_id", "mapped_category")
+        .groupBy(*by, "image_id", "mapped_category")
         .agg(F.count(F.lit(1)).alias("_labels"))
     )
-    n_images = images.groupBy("image_id", *SCENE).agg(F.count(F.lit(1)).alias("_copies"))
-    return n_labels.join(n_images, "image_id").select(
+    n_images = images.groupBy(*by, "image_id", *SCENE).agg(F.count(F.lit(1)).alias("_copies"))
+    return n_labels.join(n_images, [*by, "image_id"]).select(
+        *by,
         *SCENE,
         "mapped_category",
         "image_id",
@@ -44,31 +47,48 @@ def objects_per_image(labels: DataFrame, images: DataFrame, mapping: DataFrame)
     )
 
 
-def attribute_distribution(
-    labels: DataFrame, images: DataFrame, mapping: DataFrame, digits: int = 2
+KEYS = [*SCENE, "mapped_category"]
+
+
+def count_state(
+    labels: DataFrame, images: DataFrame, mapping: DataFrame, *by: str
 ) -> DataFrame:
-    """Statistics of objects per image for each scene and mapped category.
+    """How often each number of objects per image occurs, by scene and mapped category.
 
-    Images without an object of a category do not enter that category's rows.
-    The statistics come from how often each count occurs: that table is small
-    however many images a scene has, and gives the quartiles exactly.
+    Small however many images a scene has, and enough for every statistic. States
+    of disjoint sets of images add up, see ``merged_states``. Columns named in
+    ``by`` (an ingestion date) are in both tables and kept apart: an image meets
+    the labels of its own date.
     """
-    keys = [*SCENE, "mapped_category"]
-    n, times, total = F.col("objects_per_image"), F.col("_times"), F.col("_images")
-    often = (
-        objects_per_image(labels, images, mapping)
-        .groupBy(*keys, n)
-        .agg(F.count(F.lit(1)).alias("_times"))
-    )
-    group = Window.partitionBy(*keys)
+    counted = objects_per_image(labels, images, mapping, *by)
+    return counted.groupBy(*by, *KEYS, "objects_per_image").agg(F.count(F.lit(1)).alias("times"))
+
+
+def merged_states(states: DataFrame, removed: DataFrame | None = None) -> DataFrame:
+    """The state of all images together, less those of ``removed``.
+
+    Any columns besides the keys (dates) are summed over.
+    """
+    columns = [*KEYS, "objects_per_image", "times"]
+    rows = states.select(columns)
+    if removed is not None:
+        rows = rows.union(removed.select(columns).withColumn("times", -F.col("times")))
+    summed = rows.groupBy(*columns[:-1]).agg(F.sum("times").alias("times"))
+    return summed.where(F.col("times") > 0)
+
+
+def distribution_of(state: DataFrame, digits: int = 2) -> DataFrame:
+    """The statistics of a merged state, exact, for each scene and mapped category."""
+    n, times, total = F.col("objects_per_image"), F.col("times"), F.col("_images")
+    group = Window.partitionBy(*KEYS)
     upto = group.orderBy("objects_per_image").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    placed = often.withColumns(
+    placed = state.withColumns(
         {
-            "_images": F.sum("_times").over(group),
-            "_mean": F.sum(n * times).over(group) / F.sum("_times").over(group),
-            "_upto": F.sum("_times").over(upto),
+            "_images": F.sum("times").over(group),
+            "_mean": F.sum(n * times).over(group) / F.sum("times").over(group),
+            "_upto": F.sum("times").over(upto),
         }
     )
     squares = F.sum(times * F.pow(n - F.col("_mean"), 2))
@@ -77,9 +97,9 @@ def attribute_distribution(
         # the smallest count with at least k quarters of the images at or below it
         return F.min(F.when(4 * F.col("_upto") >= k * total, n))
 
-    images_n = F.sum("_times")
+    images_n = F.sum("times")
     return (
-        placed.groupBy(*keys)
+        placed.groupBy(*KEYS)
         .agg(
             F.sum(n * times).alias("total_count"),
             images_n.alias("total_images"),
@@ -93,10 +113,22 @@ def attribute_distribution(
             F.min(n).alias("min_count"),
             F.max(n).alias("max_count"),
         )
-        .orderBy(*keys)
+        .orderBy(*KEYS)
     )
 
 
+def attribute_distribution(
+    labels: DataFrame, images: DataFrame, mapping: DataFrame, digits: int = 2
+) -> DataFrame:
+    """Statistics of objects per image for each scene and mapped category.
+
+    Images without an object of a category do not enter that category's rows.
+    The statistics come from how often each count occurs: that table is small
+    however many images a scene has, and gives the quartiles exactly.
+    """
+    return distribution_of(count_state(labels, images, mapping), digits)
+
+
 def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 

@@ -1,6 +1,8 @@
 """Counts that describe the silver tables, one job per table."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vialens.schemas import SCENE_ATTRIBUTES
@@ -45,3 +47,17 @@ def transformation_summary(images: DataFrame, labels: DataFrame) -> DataFrame:
         )
 
     return one(images, "images").unionByName(one(labels, "labels"))
+
+
+def sample_rows(tables: dict[str, tuple[DataFrame, list[str]]], n: int = 5) -> DataFrame:
+    """(table_name, row_no, row): the first ``n`` rows of each table in the given order, as JSON.
+
+    Only the ``n`` first rows of every task meet; ``order`` makes them the same on every run.
+    """
+    parts = []
+    for name, (df, order) in tables.items():
+        first = df.orderBy(*order).limit(n)
+        at = Window.orderBy(*order)  # n rows
+        row = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+        parts.append(first.select(F.lit(name).alias("table_name"), F.row_number().over(at).alias("row_no"), row.alias("row")))
+    return reduce(DataFrame.unionByName, parts)

@@ -24,12 +24,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def new_folder(spark: SparkSession) -> str:
+    """A path of its own in the application's folder; nothing is there yet."""
+    return f"{application_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def written(df: DataFrame) -> str:
     """Writes ``df`` as a table of its own in the shared folder; returns the path.
 
     The tables of an application share a folder.
     """
-    path = f"{application_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession)
     df.write.parquet(path)
     return path
 

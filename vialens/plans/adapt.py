@@ -76,6 +76,9 @@ REPLY_TEXT = f"""CASE event_type
     ELSE 'no idea {{' || {REPLY_KEY} END"""
 
 
+ATTEMPT_OK = "event_type NOT IN ('error', 'signup')"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -105,6 +108,22 @@ def scene_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The images, ingested on the first day of their order's year."""
+    orders = table(spark, sf_dir, "orders")
+    dates = orders.select(
+        F.col("o_orderkey").alias("image_id"),
+        F.trunc("o_orderdate", "year").alias("ingestion_date"),
+    )
+    return scene_images(spark, sf_dir).join(dates, "image_id")
+
+
+def dated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labels, with their image's date."""
+    dates = dated_images(spark, sf_dir).select("image_id", "ingestion_date")
+    return scene_labels(spark, sf_dir).join(dates, "image_id")
+
+
 def scene_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat scene table: object counts per order."""
     kind = F.col("category")

@@ -5,10 +5,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vialens.operators import annotate, evaluation, matching, runs
+from vialens.operators import annotate, attempts, evaluation, matching, runs
 from vialens.operators.scale import settle
 from vialens.operators.transform import keys_of, not_done, with_presence
 from vialens.plans.medallion import Lake
+from vialens.schemas import GENERATED_ANNOTATION
 from vialens.sources import readers, writers
 
 
@@ -28,25 +29,43 @@ def annotate_step(
     detect: annotate.DetectObjects,
     limit: int | None = None,
     ceiling: float | None = None,
+    successes: int | None = None,
+    most_failures: int | None = None,
+    continue_on_error: bool = False,
 ) -> DataFrame:
-    """Annotates what has no annotation yet; returns (filename, ok) of this batch.
+    """Annotates what has no annotation yet; returns (filename, ok, error) of this batch.
 
     The work list holds paths only; the files are opened by the tasks that score
     them. The batch is written before it is judged: models are not run twice for
     one image, and only a batch within the ceiling joins the annotations.
+    ``limit`` caps the attempts, ``successes`` the images that succeed;
+    ``most_failures`` in a row, by name, end the batch, or with
+    ``continue_on_error`` only warn. The batch ends where trying one image after
+    the other would.
     """
     done = lake.read_or_empty(spark, "annotations", "name string")
     files = readers.file_listing(spark, images).select("filename", "path")
     work = settle(annotate.worklist(files, done.withColumnRenamed("name", "filename"), limit))
     batch_path = lake.path("annotation_batch")
-    annotate.annotate(annotate.spread(work), classify, detect).write.mode("overwrite").parquet(
-        batch_path
-    )
+
+    def score(part: DataFrame) -> DataFrame:
+        scored = annotate.annotate(annotate.spread(part), classify, detect)
+        return scored.withColumns({"filename": F.col("name"), "ok": annotate.succeeded()})
+
+    if successes is None and most_failures is None:
+        made = score(work)
+    else:
+        made = attempts.in_waves(work, score, successes, most_failures, continue_on_error)
+    made.select(*GENERATED_ANNOTATION.names).write.mode("overwrite").parquet(batch_path)
     batch = spark.read.parquet(batch_path)
     if ceiling is not None and not annotate.publishable(batch, ceiling):
         raise FailureCeiling(f"more than {ceiling:.0%} of the batch failed")
     _append(batch.where(annotate.succeeded()), lake.path("annotations"))
-    return batch.select(F.col("name").alias("filename"), annotate.succeeded().alias("ok"))
+    return batch.select(
+        F.col("name").alias("filename"),
+        annotate.succeeded().alias("ok"),
+        annotate.error_text().alias("error"),
+    )
 
 
 def visualize_step(
@@ -126,6 +145,7 @@ def close_step(lake: Lake, run_id: str, step: str, result: DataFrame) -> None:
         F.lit(step).alias("step"),
         "filename",
         "ok",
+        (F.col("error") if "error" in result.columns else F.lit(None).cast("string")).alias("error"),
         F.current_timestamp().alias("at"),
     )
     _append(tracked, lake.path("run_files"))

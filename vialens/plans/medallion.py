@@ -5,6 +5,7 @@ repeats only the step it was in, and each table's size is known to the next.
 """
 
 import time
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from vialens.operators import documents as documents_ops
 from vialens.operators import gold as gold_ops
 from vialens.operators import scoring, transform, validate
-from vialens.sources import readers, writers
+from vialens.operators.scale import settle
+from vialens.sources import ledger, readers, writers
 
 
 @dataclass(frozen=True)
@@ -53,6 +55,27 @@ def land(
     return writers.landing_report(landed, seconds)
 
 
+def land_changed(
+    spark: SparkSession, lake: Lake, source: str, on_date: Column | None = None, at: Column | None = None
+) -> DataFrame:
+    """Lands the new and changed files of ``source``; returns this run's ledger entries.
+
+    Unchanged, touched and renamed files are not written again, and unchanged
+    ones not even opened. The landing comes first: a run that breaks off before
+    its ledger lands those files once more, with the same path and digest. A file
+    that cannot be read is in no ledger, so every run tries it again.
+    """
+    known = lake.read_or_empty(spark, "ledger", ledger.LEDGER)
+    files = readers.file_listing(spark, source)
+    entries = settle(ledger.changes(files, known, F.current_timestamp() if at is None else at))
+    fresh = entries.where(F.col("change").isin("new", "changed"))
+    landed = writers.landing_rows(readers.readable_contents(fresh), on_date)
+    landed = landed.join(fresh.select("path", "digest"), "path")
+    landed.write.mode("append").partitionBy("ingestion_date").parquet(lake.path("landed_changes"))
+    entries.where(F.col("digest").isNotNull()).write.mode("append").parquet(lake.path("ledger"))
+    return entries
+
+
 def cleanse(spark: SparkSession, lake: Lake, source: str) -> DataFrame:
     """Validates documents and routes them; returns the counts of both sides."""
     checked = validate.validated(readers.raw_documents(spark, source))
@@ -106,6 +129,79 @@ def score(spark: SparkSession, lake: Lake, mapping: DataFrame | None = None) ->
     writers.write_table(reminders, lake.path("scene_reminders"), partition_by=None)
 
 
+# day by day
+
+
+def cleanse_day(spark: SparkSession, lake: Lake, day: str) -> None:
+    """Validates the files that landed on ``day``; their verdicts replace those of that day."""
+    landed = lake.read(spark, "landing").where(
+        (F.col("ingestion_date") == F.lit(day).cast("date")) & (F.col("status") == "completed")
+    )
+    texts = landed.select(F.col("filename").alias("file_name"), F.col("content").cast("string").alias("value"))
+    checked = validate.validated(texts)
+    verdict = F.when(F.col("is_valid"), "qualified").otherwise("unqualified")
+    writers.replace_partition(
+        checked.withColumn("verdict", verdict), lake.path("validated_by_day"), "ingestion_date", day
+    )
+
+
+def refine_day(spark: SparkSession, lake: Lake, day: str, at_time: Column | None = None) -> None:
+    """The images and labels of one day; the partitions of other days stay as they are."""
+    on_day = F.col("ingestion_date") == F.lit(day).cast("date")
+    validated = lake.read(spark, "validated_by_day").where(on_day & (F.col("verdict") == "qualified"))
+    found = documents_ops.items(validated.select("file_name", "value"))
+    writers.replace_partition(
+        documents_ops.rejects(found), lake.path("rejects_by_day"), "ingestion_date", day
+    )
+    whole = documents_ops.label_documents(found).where(
+        F.col("video_name").isNotNull() & F.col("frame_index").isNotNull()
+    )
+    writers.replace_partition(whole, lake.path("documents_by_day"), "ingestion_date", day)
+    documents = lake.read(spark, "documents_by_day").where(on_day).drop("ingestion_date")
+    date = F.lit(day).cast("date")
+    for table, rows in (
+        ("images_by_day", transform.images_table(documents, date, at_time)),
+        ("labels_by_day", transform.labels_table(documents, date, at_time)),
+    ):
+        writers.replace_partition(rows, lake.path(table), "ingestion_date", day)
+
+
+def aggregate_days(
+    spark: SparkSession, lake: Lake, days: Sequence[str], mapping: DataFrame | None = None
+) -> None:
+    """Brings the statistics table up to date after ``days`` changed: came, were replaced or went.
+
+    Images and labels of these days are read, and of the others only their
+    counts of counts. An image's labels carry its own date.
+    """
+    mapping = transform.category_mapping(spark) if mapping is None else mapping
+    update_states(
+        lake.read(spark, "labels_by_day"), lake.read(spark, "images_by_day"), mapping, lake.path("count_state"), days
+    )
+    statistics = gold_ops.distribution_of(gold_ops.merged_states(lake.read(spark, "count_state")))
+    writers.write_table(statistics, lake.path("srv_attribute_analysis"), partition_by=None)
+
+
+def update_states(
+    labels: DataFrame, images: DataFrame, mapping: DataFrame, path: str, days: Sequence[str]
+) -> None:
+    """Counts the given days anew; the filter reaches the scan, so other days are not read."""
+    for day in days:
+        on_day = F.col("ingestion_date") == F.lit(day).cast("date")
+        state = gold_ops.count_state(labels.where(on_day), images.where(on_day), mapping)
+        writers.replace_partition(state, path, "ingestion_date", day)
+
+
+def run_day(spark: SparkSession, source: str, root: str, day: str) -> Lake:
+    """Lands, validates, refines and counts one day; a repeated day replaces itself everywhere."""
+    lake = Lake(root)
+    land(spark, lake, source, F.lit(day).cast("date"))
+    cleanse_day(spark, lake, day)
+    refine_day(spark, lake, day)
+    aggregate_days(spark, lake, [day])
+    return lake
+
+
 def run(spark: SparkSession, source: str, root: str) -> Lake:
     """All steps over the JSON files of ``source``."""
     lake = Lake(root)

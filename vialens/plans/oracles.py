@@ -44,6 +44,8 @@ gold AS (
 
 ORACLES["category_distribution"] = f"WITH {_GOLD} SELECT * FROM gold"
 
+ORACLES["gold_incremental"] = ORACLES["category_distribution"]
+
 ORACLES["object_context"] = f"""WITH {_GOLD}
 SELECT original_category, mapped_category, weather, timeofday, scene, image_id, label_id
 FROM context"""
@@ -219,6 +221,22 @@ ORACLES["transformation_summary"] = f"""WITH {_SCENES}
 SELECT 'images' AS table_name, count(*) AS n_rows, CAST(4 AS BIGINT) AS n_columns FROM images
 UNION ALL SELECT 'labels', count(*), 3 FROM objects"""
 
+_ROW_OF = {
+    "images": ("image_id", "weather", "timeofday", "scene"),
+    "objects": ("label_id", "image_id", "category"),
+}
+
+
+def _sampled(table: str, name: str) -> str:
+    columns = _ROW_OF[table]
+    parts = " || ',' || ".join(f"'\"{c}\":' || coalesce(CAST(to_json({c}) AS VARCHAR), 'null')" for c in columns)
+    return f"""SELECT '{name}' AS table_name, CAST(row_number() OVER (ORDER BY {columns[0]}) AS INTEGER) AS row_no,
+    '{{' || {parts} || '}}' AS row FROM (SELECT * FROM {table} ORDER BY {columns[0]} LIMIT 5)"""
+
+
+ORACLES["summary_sample"] = f"""WITH {_SCENES}
+{_sampled("images", "images")} UNION ALL {_sampled("objects", "labels")}"""
+
 # membership
 
 
@@ -664,6 +682,50 @@ ORACLES["filtered_topk"] = f"""WITH corpus AS (
 {_HITS}
 SELECT * FROM ranked WHERE rank <= 3"""
 
+ORACLES["graph_recall"] = """SELECT CAST(least(10, count(*)) * count(*) FILTER (vec_id % 20 = 0) AS BIGINT)
+    AS n_hits, TRUE AS reached FROM embeddings"""
+
+# What BM25 needs, from the texts; the query's hits are ranked in ``by_word``.
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+_BY_WORD = f"""tf AS (
+    SELECT id, term, count(*) AS tf
+    FROM (SELECT doc_id AS id, unnest({_WORDS}) AS term FROM documents) GROUP BY id, term),
+lengths AS (SELECT id, sum(tf) AS len FROM tf GROUP BY id),
+whole AS (SELECT count(*) AS n, avg(len) AS mean FROM lengths),
+rarity AS (
+    SELECT term, ln(1 + (n - count(*) + 0.5) / (count(*) + 0.5)) AS idf
+    FROM tf CROSS JOIN whole GROUP BY term, n),
+asked AS (
+    SELECT query_id, term, count(*) AS times
+    FROM (SELECT item_id AS query_id, unnest({_WORDS}) AS term FROM benchmark) GROUP BY query_id, term),
+scores AS (
+    SELECT query_id, id, round(sum(times * idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 9) AS s
+    FROM asked JOIN rarity USING (term) JOIN tf USING (term) JOIN lengths USING (id) CROSS JOIN whole
+    GROUP BY query_id, id),
+by_word AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS INTEGER)
+        AS rank, id, s FROM scores)"""
+
+ORACLES["keyword_topk"] = f"""WITH {_BY_WORD}
+SELECT query_id, rank, id, round(s, 6) AS score FROM by_word WHERE rank <= 10"""
+
+ORACLES["hybrid_topk"] = f"""WITH {_BY_WORD},
+cosines AS (
+    SELECT q.vec_id AS query_id, e.vec_id AS id,
+        round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS s
+    FROM embeddings q JOIN benchmark ON q.vec_id = item_id CROSS JOIN embeddings e),
+by_vector AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank, id FROM cosines),
+lists AS (
+    SELECT query_id, id, rank FROM by_word WHERE rank <= 20
+    UNION ALL SELECT query_id, id, rank FROM by_vector WHERE rank <= 20),
+both_lists AS (SELECT query_id, id, round(sum(1 / (60 + rank)), 9) AS s FROM lists GROUP BY query_id, id),
+placed AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS INTEGER)
+        AS rank, id, round(s, 6) AS score FROM both_lists)
+SELECT * FROM placed WHERE rank <= 10"""
+
 ORACLES["context"] = f"""WITH corpus AS (SELECT * FROM embeddings), {_HITS}
 SELECT query_id, {_text(CONTEXT_HEAD)}
     || string_agg('Source: ' || source || ' => ' || text, chr(10) ORDER BY rank)
@@ -771,3 +833,26 @@ ranked AS (
     SELECT *, row_number() OVER (PARTITION BY id ORDER BY version DESC, n DESC) AS r
     FROM both_sides)
 SELECT id, lang, source, CAST(version AS BIGINT) AS version FROM ranked WHERE r = 1"""
+
+_ATTEMPTS = f"""tries AS (SELECT event_id, {adapt.ATTEMPT_OK} AS ok FROM events),
+counted AS (SELECT *, sum(CAST(ok AS INTEGER)) OVER (ORDER BY event_id) AS done FROM tries),
+numbered AS (
+    SELECT event_id, ok, CASE WHEN ok THEN 0 ELSE CAST(sum(1 - CAST(ok AS INTEGER)) OVER (
+            PARTITION BY done ORDER BY event_id) AS BIGINT) END AS consecutive,
+        CAST(done - CAST(ok AS INTEGER) AS BIGINT) AS succeeded_before
+    FROM counted)"""
+
+ORACLES["consecutive_failures"] = f"WITH {_ATTEMPTS} SELECT * FROM numbered"
+
+ORACLES["limited_successes"] = f"""WITH {_ATTEMPTS}
+SELECT *, FALSE AS warns FROM numbered WHERE succeeded_before < 500"""
+
+ORACLES["failure_stop"] = f"""WITH {_ATTEMPTS},
+stop AS (SELECT min(event_id) AS last FROM numbered WHERE consecutive = 6)
+SELECT n.*, consecutive = 6 AS warns FROM numbered n CROSS JOIN stop
+WHERE last IS NULL OR event_id <= last"""
+
+ORACLES["sketch_profile"] = """SELECT since, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_customers,
+    TRUE AS near, TRUE AS ranked
+FROM orders JOIN (VALUES (CAST(1995 AS BIGINT)), (1998), (2000)) y(since) ON year(o_orderdate) >= since
+GROUP BY since"""

@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vialens.functions.text import file_stem, frame_of, is_image_name, reply_attributes, video_of
-from vialens.operators import annotate, documents, evaluation, gold, matching, quality
-from vialens.operators import retrieval, runs, scoring, transform, validate
-from vialens.operators.scale import settle
-from vialens.plans import adapt
-from vialens.sources.writers import upserted
+from vialens.operators import annotate, attempts, documents, evaluation, gold, graph, keyword, matching
+from vialens.operators import quality, retrieval, runs, scoring, sketches, transform, validate
+from vialens.operators.scale import new_folder, settle
+from vialens.plans import adapt, medallion
+from vialens.sources.writers import upserted, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -41,6 +41,28 @@ def category_distribution(spark, d):
     return _gold(spark, d)
 
 
+@query
+def gold_incremental(spark, d):
+    """The statistics after a late, a replaced and a removed date, from counts by date.
+
+    An image's date is its order's year. The first state lacks one year, has
+    half of another's labels, and holds a year that is gone since.
+    """
+    images, labels = adapt.dated_images(spark, d), adapt.dated_labels(spark, d)
+    late, replaced, gone = "1996-01-01", "1998-01-01", "1990-01-01"
+    day = F.col("ingestion_date")
+    first_images, first_labels = images.where(day != F.lit(late)), labels.where(day != F.lit(late))
+    first_labels = first_labels.where((day != F.lit(replaced)) | (F.crc32("label_id") % 2 == 0))
+    of_gone = F.lit(gone).cast("date").alias("ingestion_date")
+    first_images = first_images.unionByName(images.where(day == F.lit(replaced)).withColumn("ingestion_date", of_gone))
+    first_labels = first_labels.unionByName(labels.where(day == F.lit(replaced)).withColumn("ingestion_date", of_gone))
+    mapping, path = adapt.mapping(spark), new_folder(spark)
+    state = gold.count_state(first_labels, first_images, mapping, "ingestion_date")
+    write_table(state, path)
+    medallion.update_states(labels, images, mapping, path, [late, replaced, gone])
+    return gold.distribution_of(gold.merged_states(spark.read.parquet(path)), DIGITS)
+
+
 @query
 def object_context(spark, d):
     return gold.object_context(
@@ -144,6 +166,12 @@ def transformation_summary(spark, d):
     )
 
 
+@query
+def summary_sample(spark, d):
+    images, labels = adapt.scene_images(spark, d), adapt.scene_labels(spark, d)
+    return quality.sample_rows({"images": (images, ["image_id"]), "labels": (labels, ["label_id"])})
+
+
 # membership
 
 
@@ -495,6 +523,55 @@ def filtered_topk(spark, d):
     return _rounded(retrieval.top_k(adapt.label_centroids(spark, d), wanted, k=3), "score")
 
 
+def _graph_hits(spark, d):
+    vectors = adapt.vectors(spark, d)
+    queries = vectors.where(F.col("id") % 20 == 0).withColumnRenamed("id", "query_id")
+    return vectors, queries, graph.graph_top_k(graph.build_graph(vectors, new_folder(spark)), queries, k=10)
+
+
+@query
+def graph_topk(spark, d):
+    """Every twentieth vector against all, by the graph; approximate, so there is no SQL."""
+    return _rounded(_graph_hits(spark, d)[-1], "score")
+
+
+@query
+def graph_recall(spark, d):
+    """Whether the graph finds 95 of 100 exact hits."""
+    vectors, queries, hits = _graph_hits(spark, d)
+    measured = graph.recall(hits, retrieval.top_k(queries, vectors, k=10))
+    return measured.select("n_hits", (F.col("recall") >= 0.95).alias("reached"))
+
+
+def _keyword_index(spark, d):
+    documents = adapt.table(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.col("text").alias("content")
+    )
+    return keyword.build_index(documents, new_folder(spark))
+
+
+def _asked(spark, d):
+    """A text query for every benchmark item."""
+    return adapt.table(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+
+
+@query
+def keyword_topk(spark, d):
+    hits = keyword.keyword_top_k(_keyword_index(spark, d), _asked(spark, d), k=10)
+    return _rounded(hits, "score")
+
+
+@query
+def hybrid_topk(spark, d):
+    """Keyword and vector hits of one query as one list; an item's vector has its number."""
+    asked = _asked(spark, d)
+    vectors = adapt.vectors(spark, d)
+    queries = vectors.withColumnRenamed("id", "query_id").join(asked, "query_id", "left_semi")
+    by_vector = retrieval.top_k(queries, vectors, k=20)
+    by_word = keyword.keyword_top_k(_keyword_index(spark, d), asked, k=20)
+    return _rounded(keyword.fused([by_word, by_vector], k=10), "score")
+
+
 @query
 def context(spark, d):
     documents = adapt.table(spark, d, "documents").select(
@@ -522,6 +599,57 @@ def last_assistant(spark, d):
     return retrieval.last_assistant(adapt.table(spark, d, "conversations"))
 
 
+# attempts
+
+
+def _attempts(spark, d):
+    """An attempt per event; two kinds of five have failed."""
+    return adapt.table(spark, d, "events").select("event_id", F.expr(adapt.ATTEMPT_OK).alias("ok"))
+
+
+@query
+def consecutive_failures(spark, d):
+    return attempts.numbered_attempts(_attempts(spark, d), ["event_id"])
+
+
+@query
+def limited_successes(spark, d):
+    """The attempts up to the 500th success."""
+    return attempts.attempted(_attempts(spark, d), limit=500, order=["event_id"])
+
+
+@query
+def failure_stop(spark, d):
+    """The attempts up to the sixth failure in a row."""
+    return attempts.attempted(_attempts(spark, d), most_failures=6, order=["event_id"])
+
+
+@query
+def sketch_profile(spark, d):
+    """Distinct customers since a year from sketches by year, and whether they are near the exact number."""
+    orders = adapt.table(spark, d, "orders").select(
+        F.year("o_orderdate").cast("bigint").alias("since"), "o_custkey", "o_totalprice"
+    )
+    kept = settle(sketches.date_sketches(orders, ["o_custkey"], ["o_totalprice"], by="since"))
+    parts = []
+    for year in (1995, 1998, 2000):
+        got = sketches.range_profile(kept, F.col("since") >= year).first()  # one row
+        price = F.col("o_totalprice")
+        ranks = [F.avg((price <= q).cast("int")) for q in got.quartiles_o_totalprice]
+        near = [F.abs(r - q) <= 0.02 for r, q in zip(ranks, sketches.QUARTILES, strict=True)]
+        n = F.countDistinct("o_custkey")
+        parts.append(
+            orders.where(F.col("since") >= year).agg(
+                F.lit(year).cast("bigint").alias("since"),
+                F.lit(got.n_rows).alias("n_rows"),
+                n.alias("n_customers"),
+                (F.abs(got.n_o_custkey - n) <= 0.03 * n).alias("near"),
+                (near[0] & near[1] & near[2]).alias("ranked"),
+            )
+        )
+    return parts[0].union(parts[1]).union(parts[2])
+
+
 # work lists
 
 

@@ -70,6 +70,15 @@ GENERATED_ANNOTATION = T.StructType(
                 ]
             ),
         ),
+        T.StructField(
+            "processing_errors",
+            T.StructType(
+                [
+                    T.StructField("scene_classification", T.StringType()),
+                    T.StructField("object_detection", T.StringType()),
+                ]
+            ),
+        ),
     ]
 )
 

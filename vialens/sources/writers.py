@@ -26,12 +26,21 @@ def write_table(
         writer.save(path)
 
 
-def land_files(files: DataFrame, path: str, on_date: Column | None = None) -> None:
-    """Raw files as rows of a landing table, by ingest date.
+def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
+    """Puts ``df`` in the place of one partition of a table, and touches no other.
+
+    A partition that has no rows any more is left empty, where a dynamic
+    overwrite would keep the old ones.
+    """
+    df.drop(column).write.mode("overwrite").parquet(f"{path}/{column}={value}")
+
+
+def landing_rows(files: DataFrame, on_date: Column | None = None) -> DataFrame:
+    """Raw files as rows of a landing table.
 
     A file whose content is missing or cut has failed; ``error`` tells why it was not read.
     """
-    landed = files.select(
+    return files.select(
         "path",
         "filename",
         "length",
@@ -43,7 +52,11 @@ def land_files(files: DataFrame, path: str, on_date: Column | None = None) -> No
         *(["error"] if "error" in files.columns else []),
         (F.current_date() if on_date is None else on_date).alias("ingestion_date"),
     )
-    write_table(landed, path)
+
+
+def land_files(files: DataFrame, path: str, on_date: Column | None = None) -> None:
+    """Raw files into a landing table, by ingest date."""
+    write_table(landing_rows(files, on_date), path)
 
 
 def landing_report(landed: DataFrame, seconds: float | None = None) -> DataFrame:
