@@ -38,11 +38,12 @@ def test_recall_and_share_visited(built):
     assert index.n_vectors == same.n_vectors == 4041
     assert index.shards.count() == 2
     queries = queries_of(vectors)
-    hits = graph.graph_top_k(index, queries, k=10).cache()
+    hits = graph.graph_top_k(index, queries, k=10, effort=30).cache()
     exact = retrieval.top_k(queries, vectors, k=10)
     measured = graph.recall(hits, exact).first()
-    assert measured["recall"] >= 0.95
     visited = hits.groupBy("query_id").agg(F.max("n_scored").alias("n")).agg(F.avg("n")).first()[0]
+    print("recall", measured["recall"], "share visited", visited / index.n_vectors)
+    assert measured["recall"] >= 0.95
     assert visited <= 0.35 * index.n_vectors
     # found hits have the exact search's scores
     both = hits.join(exact.withColumnRenamed("score", "s"), ["query_id", "id"])

@@ -15,7 +15,7 @@ def root(data, chunk):
 
 
 def test_digests_over_chunks(spark, tmp_path):
-    bodies = {"a": b"x" * 1000, "b": os.urandom(777), "c": b"", "d": b"x" * 1000}
+    bodies = {"a": b"x" * 1000, "b": os.urandom(777), "c": b"y", "d": b"x" * 1000}
     for name, body in bodies.items():
         (tmp_path / name).write_bytes(body)
     files = readers.file_listing(spark, str(tmp_path))
@@ -62,10 +62,10 @@ def test_only_changes_are_opened_and_landed(spark, tmp_path):
     assert run(spark, lake, source, 5) == [("d", "new")]
 
 
-def test_empty_folder_and_first_run(spark, tmp_path):
+def test_first_run_and_a_new_set_of_files(spark, tmp_path):
     source, lake = tmp_path / "in", medallion.Lake(str(tmp_path / "lake"))
     source.mkdir()
-    (source / "only").write_text("")
+    (source / "only").write_text("0")
     assert run(spark, lake, source, 1) == [("only", "new")]
     (source / "only").unlink()
     (source / "next").write_text("1")

@@ -5,11 +5,12 @@ vector is linked to its nearest ones: first to those beside it on a few random
 lines, then round after round to the neighbours of its neighbours (each vector
 compares the neighbours it has among each other, ``CANDIDATES`` at most). The rounds
 are joins and aggregates over the links of all shards; no task holds more than
-one vector's neighbours at a time. At last each shard becomes one row with its
-vectors and links.
+one vector's neighbours at a time. The next vector on each line stays linked too,
+so no group is cut off. At last each shard becomes one row with its vectors and
+links.
 
-A search visits every shard. It starts from about the square root of the shard's
-vectors, follows the links of the best one not yet followed, and ends when that
+A search visits every shard. It starts from some vectors spread over the shard
+(``ENTRIES`` times the square root of their number), follows the links of the best one not yet followed, and ends when that
 one is worse than the ``effort`` best found. With a filter the walk passes through
 all vectors and keeps those that match; where few of a shard's vectors match,
 they are simply scored, which is exact. Hits bring how many vectors were scored.
@@ -40,6 +41,8 @@ GAIN = 1e-3
 _LINES = 4
 # Vectors searched for at least; more find more and visit more.
 EFFORT = 100
+# A walk starts from this many times the square root of the shard's vectors.
+ENTRIES = 4
 # A filter that leaves a shard fewer vectors than this times the effort is answered by scoring them.
 FEW = 8
 
@@ -68,18 +71,19 @@ def _on_lines(vectors: DataFrame, width: int) -> DataFrame:
     return vectors.mapInArrow(place, schema)
 
 
-def _first_links(vectors: DataFrame, width: int) -> DataFrame:
-    """(u, w): every vector and those beside it on each line."""
+def _line_links(vectors: DataFrame, width: int, near: int) -> DataFrame:
+    """(u, w): every vector and the ``near`` ones behind it on each line."""
     placed = settle(_on_lines(vectors, width).drop("v"))
     links = []
     for i in range(_LINES):
         line = Window.partitionBy("shard").orderBy(f"p{i}", "id")
-        beside = F.array(*[F.lead("id", n).over(line) for n in range(1, DEGREE // _LINES + 1)])
-        links.append(placed.select(F.col("id").alias("u"), F.explode(beside).alias("w")))
+        beside = F.array(*[F.lead("id", n).over(line) for n in range(1, near + 1)])
+        links.append(placed.select(F.col("id").alias("u"), beside.alias("ws")))
     both = links[0]
     for more in links[1:]:
         both = both.union(more)
-    return both.where(F.col("w").isNotNull()).distinct()
+    links = both.select("u", F.explode("ws").alias("w"))
+    return links.where(F.col("w").isNotNull()).distinct()
 
 
 def _closest(links: DataFrame, by: str, n: int) -> DataFrame:
@@ -134,7 +138,7 @@ def neighbour_links(vectors: DataFrame, width: int) -> DataFrame:
 
     ``vectors`` has (shard, id, v). Rounds end when they no longer help.
     """
-    links = _first_links(vectors, width).withColumn("score", F.lit(0.0))
+    links = _line_links(vectors, width, DEGREE // _LINES).withColumn("score", F.lit(0.0))
     before = None
     for _ in range(ROUNDS):
         found = _joined_locally(links, vectors).union(links.where("score <> 0"))
@@ -175,8 +179,12 @@ def build_graph(
     n_shards = max(1, -(-n * width * 8 // shard_bytes))
     rows = settle(rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(n_shards)).cast("long")))
     links = neighbour_links(rows.select("shard", "id", "v"), width)
-    near = _closest(_both_ways(links), "u", 2 * DEGREE)
-    placed = near.join(rows.select(F.col("id").alias("u"), "shard"), "u").select("shard", "u", "w")
+    near = _closest(_both_ways(links), "u", 2 * DEGREE).select("u", "w")
+    # nearest ones alone would leave groups that nothing leads to; a line leads everywhere
+    bridges = _line_links(rows.select("shard", "id", "v"), width, 1)
+    near = near.union(bridges).union(bridges.select("w", "u")).distinct()
+    placed = near.join(rows.select(F.col("id").alias("u"), "shard"), "u")
+    placed = settle(placed.select("shard", "u", "w"))
     schema = _shard_type(rows.schema["id"].dataType)
     out = to_arrow_schema(schema)
 
@@ -219,7 +227,7 @@ class _Shard:
         self.first, self.links = cell("first").to_numpy(), cell("links").to_numpy()
         self.labels = np.array(cell("labels").to_pylist(), object)
         n = len(self.ids)
-        self.entries = np.unique(np.linspace(0, n - 1, max(1, int(np.ceil(np.sqrt(n))))).astype(int))
+        self.entries = np.unique(np.linspace(0, n - 1, max(1, int(np.ceil(ENTRIES * np.sqrt(n))))).astype(int))
 
     def search(self, query: np.ndarray, k: int, effort: int, wanted: str | None):
         """(places, scores, vectors scored)."""
@@ -313,7 +321,8 @@ def graph_top_k(
     cell = ["shard", "slice"]
     shards = graph.shards.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(n_slices - 1))))
     slices = asked.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(n_slices)).cast("int"))
-    slices = slices.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).cast("long"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(n_shards - 1).cast("long"))
+    slices = slices.withColumn("shard", F.explode(every))
     hits = shards.groupBy(*cell).cogroup(slices.groupBy(*cell)).applyInArrow(walk, schema)
     query = Window.partitionBy("query_id")
     counted = hits.withColumn("n_scored", F.sum("n_scored").over(query)).where(F.col("id").isNotNull())

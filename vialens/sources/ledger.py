@@ -39,7 +39,7 @@ def current(ledger: DataFrame) -> DataFrame:
 def digests(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(path, digest): the root over the chunks' SHA-256; NULL for a file that cannot be read.
 
-    ``files``: path, filename, length. An empty file has the root of no chunks.
+    ``files``: path, filename, length.
     """
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,9 +62,7 @@ def digests(files: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     ordered = F.array_sort(F.collect_list(F.struct("part", "leaf")))
     joined = F.aggregate(ordered, F.lit(b""), lambda a, x: F.concat(a, x["leaf"]))
     whole = F.when(F.count("leaf") == F.count(F.lit(1)), F.sha2(joined, 256))
-    roots = leaves.groupBy("path").agg(whole.alias("digest"))
-    empty = files.where(F.col("length") == 0).select("path", F.sha2(F.lit(b""), 256).alias("digest"))
-    return roots.union(empty)
+    return leaves.groupBy("path").agg(whole.alias("digest"))
 
 
 def changes(files: DataFrame, ledger: DataFrame, at: Column, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

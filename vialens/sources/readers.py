@@ -65,7 +65,10 @@ def annotations(spark: SparkSession, path: str) -> DataFrame:
 def file_listing(
     spark: SparkSession, path: str, pattern: str | None = None, recursive: bool = True
 ) -> DataFrame:
-    """Files as rows: path, filename, length, modificationTime. Contents are not read."""
+    """Files as rows: path, filename, length, modificationTime. Contents are not read.
+
+    Spark's file sources pass over empty files, so these are not listed.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", recursive)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
