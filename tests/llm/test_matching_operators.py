@@ -266,6 +266,69 @@ def test_license_report(spark):
     assert licenses.license_report(docs.limit(0)).count() == 0
 
 
+def test_license_spans_are_verified_in_order(spark):
+    gpl = "this work is licensed under the gnu general public license version 3".split()
+    pairs = [gpl[i : i + 2] for i in range(len(gpl) - 1)]
+    bsd = "redistribution and use in source and binary forms with or without modification are permitted".split()
+    cases = {
+        " ".join(w for p in reversed(pairs) for w in p): "",
+        "licensed under cc 4 0": "cc-by-4.0",
+        "licensed under the great mit license": "mit",
+        "licensed under the xx by 4 0": "cc-by-4.0",
+        "released under the apache license": "",
+        "licensed under the mit licence, and more": "mit",
+        "licensed cc by under 4 0 the": "cc-by",
+        "under the " * 200 + "licensed": "",
+        " ".join(bsd[:5] + ["xx"] + bsd[5:9] + bsd[10:]): "bsd",
+        " ".join(bsd[:3] + bsd[8:]): "",
+        "licensed under cc by sa 4 0 licensed under cc by nc 4 0": "cc-by,cc-by-nc,cc-by-sa",
+    }
+    docs = docs_of(spark, list(cases))
+    got = {r.doc_id: r.labels for r in licenses.license_report(docs).collect()}
+    assert [got[i] for i in range(len(cases))] == list(cases.values())
+
+
+def _chain(votes, weight):
+    """The most that a chain of (at, pos) covers, by trying every vote as the last."""
+    best = {}
+    for at, pos in sorted(votes):
+        own = sum(weight[at : at + licenses.GRAM])
+        for (a, p), w in list(best.items()):
+            if a < at and p < pos:
+                own = max(own, w + sum(weight[max(a + licenses.GRAM, at) : at + licenses.GRAM]))
+        best[at, pos] = own
+    return max(best.values(), default=0)
+
+
+def test_license_shares_equal_brute_force(spark):
+    draw = random.Random(8)
+    notices = list(licenses.NOTICES)
+    texts = []
+    for _ in range(60):
+        w = draw.choice(notices).split()
+        for _ in range(draw.randint(0, 4)):
+            at = draw.randrange(len(w) + 1)
+            kind = draw.randrange(3)
+            if kind == 0:
+                w[at:at] = [draw.choice(draw.choice(notices).split())]
+            elif w:
+                w[at : at + 1] = [] if kind == 1 else ["xx"]
+        texts.append(" ".join(w + draw.choice(notices).split()[: draw.randint(0, 9)]))
+    best = {}
+    for i, text in enumerate(texts):
+        words = text.split()
+        for t in notices:
+            tw, weight = t.split(), licenses.weights(t)
+            votes = [(a, p) for a in range(len(tw) - 1) for p in range(len(words) - 1) if tw[a : a + 2] == words[p : p + 2]]
+            for base in {p - a for a, p in votes}:
+                worth = _chain([(a, p) for a, p in votes if abs(p - a - base) <= licenses.DRIFT], weight)
+                if worth >= licenses.needed(t):
+                    best[i] = max(best.get(i, 0), (worth % 100 + worth // 100) / len(tw))
+    got = licenses.spans(docs_of(spark, texts)).filter("NOT is_phrase").groupBy("doc_id").agg(F.max("share").alias("s"))
+    assert {r.doc_id: round(r.s, 9) for r in got.collect()} == {i: round(s, 9) for i, s in best.items()}
+    assert 20 < len(best) < 60
+
+
 # chat
 
 

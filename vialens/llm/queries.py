@@ -67,6 +67,25 @@ _TEMPLATES = ", ".join(
     for table, phrase in ((licenses.PHRASES, True), (licenses.NOTICES, False))
     for t, label in table.items()
 )
+_LONGEST = max(len(t.split()) for t in licenses.NOTICES)
+
+
+def _chains() -> str:
+    """The best chain that ends in a vote, one template place after the other."""
+    out = """level0 AS (SELECT b.*, after - before AS worth FROM band b JOIN pairs USING (t, tp) WHERE tp = 0),
+upto0 AS (SELECT * FROM level0)"""
+    for i in range(1, _LONGEST - 1):
+        out += f""",
+level{i} AS (
+  SELECT b.doc_id, b.t, b.d0, b.tp, b.pos, greatest(any_value(after - before),
+    coalesce(max(u.worth + after - CASE WHEN u.tp + 1 = b.tp THEN middle ELSE before END), 0)) AS worth
+  FROM band b JOIN pairs USING (t, tp)
+  LEFT JOIN upto{i - 1} u ON u.doc_id IS NOT DISTINCT FROM b.doc_id AND u.t = b.t AND u.d0 = b.d0 AND u.pos < b.pos
+  WHERE b.tp = {i} GROUP BY ALL
+), upto{i} AS (SELECT * FROM upto{i - 1} UNION ALL SELECT * FROM level{i})"""
+    return out
+
+
 ORACLES["op5_licenses"] = rf"""
 WITH words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -76,32 +95,41 @@ WITH words AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w))) AS p FROM words)
 ), templates AS (
   SELECT t, label, phrase, string_split(t, ' ') AS tw FROM (VALUES {_TEMPLATES}) x(t, label, phrase)
-), parts AS (
-  SELECT t, label, phrase, len(tw) - 1 AS n, p - 1 AS tp, tw[p] || ' ' || tw[p + 1] AS gram
-  FROM (SELECT *, unnest(range(1, len(tw))) AS p FROM templates)
+), placed AS (
+  SELECT t, label, phrase, len(tw) AS n, p - 1 AS tp, tw[p] AS word FROM (SELECT *, unnest(range(1, len(tw) + 1)) AS p FROM templates)
+), weighed AS (
+  SELECT *, CASE WHEN phrase OR n > 10 OR EXISTS (
+    SELECT 1 FROM placed o WHERE NOT o.phrase AND o.word = p.word AND o.label <> p.label) THEN 1 ELSE 100 END AS weight
+  FROM placed p
+), summed AS (
+  SELECT *, sum(weight) OVER (PARTITION BY t ORDER BY tp) - weight AS before FROM weighed
+), pairs AS (
+  SELECT a.t, a.tp, a.word || ' ' || b.word AS gram, a.before, b.before AS middle, b.before + b.weight AS after
+  FROM summed a JOIN summed b ON b.t = a.t AND b.tp = a.tp + 1
+), needs AS (
+  SELECT t, label, phrase, n, sum(weight) - CASE WHEN phrase THEN 0 ELSE
+    least(greatest(1, floor(0.2 * n)), count(*) FILTER (weight = 1)) END AS needed
+  FROM weighed GROUP BY t, label, phrase, n
 ), votes AS (
-  SELECT doc_id, t, label, phrase, n, pos - tp AS d, list(tp) AS tps
-  FROM grams JOIN parts USING (gram) GROUP BY ALL
-), opened AS (
-  SELECT *, CASE WHEN phrase OR coalesce(d - lag(d) OVER (PARTITION BY doc_id, t ORDER BY d), 4) > 3
-    THEN 1 ELSE 0 END AS o FROM votes
-), chained AS (
-  SELECT *, sum(o) OVER (PARTITION BY doc_id, t ORDER BY d ROWS UNBOUNDED PRECEDING) AS s FROM opened
-), spans AS (
-  SELECT doc_id, t, label, phrase, s, min(d) AS start, min(d) + n AS stop,
-    len(list_distinct(flatten(list(tps)))) / n AS share
-  FROM chained GROUP BY doc_id, t, label, phrase, n, s
-), whole AS (
-  SELECT * FROM spans WHERE share >= CASE WHEN phrase THEN 1 ELSE 0.8 END
+  SELECT doc_id, t, tp, pos, pos - tp AS d, phrase FROM grams JOIN pairs USING (gram) JOIN needs USING (t)
+), band AS (
+  SELECT b.doc_id, b.t, b.d AS d0, v.tp, v.pos FROM (SELECT DISTINCT doc_id, t, d, phrase FROM votes) b
+  JOIN votes v ON v.doc_id IS NOT DISTINCT FROM b.doc_id AND v.t = b.t
+    AND abs(v.d - b.d) <= CASE WHEN b.phrase THEN 0 ELSE 3 END
+), {_chains()}, whole AS (
+  SELECT doc_id, t, label, phrase, d0 AS start, d0 + n - 1 AS stop,
+    CAST(max(worth) % 100 + floor(max(worth) / 100) AS DOUBLE) AS covered, n
+  FROM upto{_LONGEST - 2} JOIN needs USING (t) GROUP BY doc_id, t, label, phrase, d0, n, needed
+  HAVING max(worth) >= needed
 ), apart AS (
-  SELECT *, CASE WHEN start <= max(stop) OVER (PARTITION BY doc_id, phrase ORDER BY start, stop, t
-    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS o FROM whole
-), placed AS (
+  SELECT *, covered / n AS share, CASE WHEN start <= max(stop) OVER (PARTITION BY doc_id, phrase
+    ORDER BY start, stop, t ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS o FROM whole
+), opened AS (
   SELECT *, sum(o) OVER (PARTITION BY doc_id, phrase ORDER BY start, stop, t
     ROWS UNBOUNDED PRECEDING) AS place FROM apart
 ), verified AS (
-  SELECT * FROM (SELECT *, max(share) OVER (PARTITION BY doc_id, phrase, place) AS best FROM placed)
-  WHERE phrase OR share = best
+  SELECT * FROM (SELECT *, rank() OVER (PARTITION BY doc_id, phrase, place ORDER BY share DESC, covered DESC) AS r FROM opened)
+  WHERE phrase OR r = 1
 ), report AS (
   SELECT doc_id, count(*) FILTER (phrase) AS n_base,
     min(start) FILTER (phrase) AS first_word, max(start) FILTER (phrase) AS last_word,
