@@ -298,3 +298,25 @@ def test_text_to_silver_loses_nothing(spark, tmp_path):
     medallion.cleanse(spark, lake, f"{source}/*.json")
     medallion.refine(spark, lake)
     assert lake.read(spark, "silver_rejects").count() >= 1
+
+
+def test_upsert_touches_only_its_buckets(spark, tmp_path):
+    path = str(tmp_path / "table")
+    old = spark.range(400).select("id", F.lit(1).alias("at"), F.concat(F.lit("old"), "id").alias("v"))
+    writers.write_buckets(old, path, "id", 16)
+    files = lambda: {str(f.relative_to(path)): f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    before = files()
+    new = spark.createDataFrame([(5, 2, "new5"), (7, 0, "older"), (5000, 1, "added"), (5, 1, "lost")], old.schema)
+    writers.upsert_buckets(spark, path, new, "id", "at", 16)
+    got = {r.id: r.v for r in spark.read.parquet(path).collect()}
+    want = {i: f"old{i}" for i in range(400)} | {5: "new5", 5000: "added"}
+    assert got == want
+    plain = writers.upserted(old, new, "id", "at")
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, spark.read.parquet(path).select("id", "at", "v").collect()))
+    touched = {r.b for r in new.select(writers.bucket_of("id", 16).alias("b")).collect()}
+    kept = {f for f in before if int(f.split("bucket=")[1].split("/")[0]) not in touched}
+    after = files()
+    assert kept and all(after.get(f) == before[f] for f in kept)
+    assert all(f not in after for f in set(before) - kept)
+    writers.upsert_buckets(spark, path, new.limit(0), "id", "at", 16)
+    assert files() == after

@@ -207,6 +207,46 @@ def test_tracked_run(spark, tmp_path):
     assert runs.recent_errors(log).head().error == "ValueError: no truth"
 
 
+def test_errors_keep_their_text(spark):
+    work = spark.createDataFrame([("a.jpg", b"city"), ("boom.jpg", None)], "filename string, content binary")
+    out = annotate.annotate(work, classify, detect).withColumn("error", annotate.error_text())
+    got = {r.name: r.error for r in out.collect()}
+    assert got["a.jpg"] is None
+    assert got["boom.jpg"].startswith("scene_classification: RuntimeError: model down; object_detection: FileNotFoundError")
+
+
+def _folder(tmp_path, outcomes):
+    """Images by name; those that fail hold nothing to find."""
+    images = tmp_path / "images"
+    images.mkdir()
+    for i, ok in enumerate(outcomes):
+        (images / f"i{i:02d}.jpg").write_text("city" if ok else "none")
+    return str(images)
+
+
+def only_found(name, content):
+    return {} if content == b"none" else classify(name, content)
+
+
+def test_annotates_until_enough_succeed(spark, tmp_path):
+    images = _folder(tmp_path, [1, 0, 0, 1, 1, 0, 1, 1])
+    lake = Lake(str(tmp_path / "lake"))
+    step = lambda: sorted(map(tuple, annotation.annotate_step(spark, lake, images, only_found, detect, successes=3).select("filename", "ok").collect()))
+    assert step() == [(f"i{i:02d}.jpg", ok) for i, ok in enumerate([True, False, False, True, True])]
+    assert lake.read(spark, "annotations").count() == 3
+    # the next run takes what is left, failures included, until three more succeed or none is left
+    assert step() == [("i01.jpg", False), ("i02.jpg", False), ("i05.jpg", False), ("i06.jpg", True), ("i07.jpg", True)]
+    assert lake.read(spark, "annotations").count() == 5
+
+
+def test_failures_in_a_row_end_the_batch(spark, tmp_path):
+    images = _folder(tmp_path, [1, 0, 1, 0, 0, 1, 1])
+    for go_on, n in ((False, 5), (True, 7)):
+        lake = Lake(str(tmp_path / f"lake{n}"))
+        batch = annotation.annotate_step(spark, lake, images, only_found, detect, most_failures=2, continue_on_error=go_on)
+        assert batch.count() == n
+
+
 def test_nothing_is_published_above_the_ceiling(spark, tmp_path):
     images = tmp_path / "images"
     images.mkdir()

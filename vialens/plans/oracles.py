@@ -834,6 +834,8 @@ ranked AS (
     FROM both_sides)
 SELECT id, lang, source, CAST(version AS BIGINT) AS version FROM ranked WHERE r = 1"""
 
+ORACLES["upsert_in_buckets"] = ORACLES["upsert"]
+
 _ATTEMPTS = f"""tries AS (SELECT event_id, {adapt.ATTEMPT_OK} AS ok FROM events),
 counted AS (SELECT *, sum(CAST(ok AS INTEGER)) OVER (ORDER BY event_id) AS done FROM tries),
 numbered AS (

@@ -10,7 +10,7 @@ from vialens.operators import annotate, attempts, documents, evaluation, gold, g
 from vialens.operators import quality, retrieval, runs, scoring, sketches, transform, validate
 from vialens.operators.scale import new_folder, settle
 from vialens.plans import adapt, medallion
-from vialens.sources.writers import upserted, write_table
+from vialens.sources.writers import upsert_buckets, upserted, write_buckets, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -724,8 +724,7 @@ def job_outcomes(spark, d):
     return _rounded(out, "seconds", "success_rate", "per_second")
 
 
-@query
-def upsert(spark, d):
+def _upsert_sides(spark, d):
     old = adapt.table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), "lang", "source", F.col("n_chars").alias("version")
     )
@@ -735,6 +734,20 @@ def upsert(spark, d):
         F.concat(F.lit("q"), F.col("quality").cast("string")).alias("source"),
         (F.col("toxic") * 100000 + 1000).cast("bigint").alias("version"),
     )
-    return upserted(old, new, "id", "version")
+    return old, new
+
+
+@query
+def upsert(spark, d):
+    return upserted(*_upsert_sides(spark, d), "id", "version")
+
+
+@query
+def upsert_in_buckets(spark, d):
+    """The same through a table in buckets, of which only those with new keys are rewritten."""
+    (old, new), path = _upsert_sides(spark, d), new_folder(spark)
+    write_buckets(old, path, "id", 16)
+    upsert_buckets(spark, path, new, "id", "version", 16)
+    return spark.read.parquet(path).drop("bucket")
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vialens.operators.scale import settle
+
 
 def write_table(
     df: DataFrame,
@@ -114,6 +116,31 @@ def upserted(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFram
     )
 
 
+def bucket_of(key: str, n_buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(n_buckets)).cast("int")
+
+
+def write_buckets(df: DataFrame, path: str, key: str, n_buckets: int) -> None:
+    """Writes ``df`` as a table in ``n_buckets`` folders by hash of the key."""
+    rows = df.withColumn("bucket", bucket_of(key, n_buckets)).repartition("bucket")
+    write_table(rows, path, partition_by="bucket", replace=True)
+
+
+def upsert_buckets(
+    spark: SparkSession, path: str, new: DataFrame, key: str, version: str, n_buckets: int
+) -> None:
+    """Puts the rows of ``new`` into a table of ``write_buckets``, see ``upserted``.
+
+    Only the buckets that ``new`` has keys of are read and rewritten; the files of
+    the others stay. ``n_buckets`` is that of the table.
+    """
+    rows = settle(new.withColumn("bucket", bucket_of(key, n_buckets)))
+    touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # n_buckets at most
+    old = spark.read.parquet(path).where(F.col("bucket").isin(touched))
+    merged = settle(upserted(old, rows, key, version))
+    write_table(merged.repartition("bucket"), path, partition_by="bucket")
+
+
 def register_view(df: DataFrame, name: str) -> None:
     df.createOrReplaceTempView(name)
 
