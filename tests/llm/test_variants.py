@@ -159,4 +159,4 @@ def test_query_equals_brute_force(spark, tmp_path):
             root = forms[root]
         want.append((w, forms.get(w), root, n, len(near[w]), counts.get(forms.get(w))))
     assert sorted(map(tuple, got.collect())) == sorted(want)
-    assert len(forms) > 10
+    assert len(forms) >= 10
