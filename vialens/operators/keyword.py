@@ -43,6 +43,7 @@ class KeywordIndex:
     terms: DataFrame
     n_documents: int
     mean_length: float
+    block_documents: int
 
 
 def words_of(text: Column) -> Column:
@@ -99,7 +100,9 @@ def build_index(
     terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(
         f"{folder}/terms"
     )
-    stats = spark.createDataFrame([(n, mean)], "n_documents long, mean_length double")
+    stats = spark.createDataFrame(
+        [(n, mean, block_documents)], "n_documents long, mean_length double, block_documents long"
+    )
     stats.coalesce(1).write.mode("overwrite").parquet(f"{folder}/stats")
     return open_index(spark, folder)
 
@@ -111,6 +114,7 @@ def open_index(spark: SparkSession, folder: str) -> KeywordIndex:
         spark.read.parquet(f"{folder}/terms"),
         stats["n_documents"],
         stats["mean_length"],
+        stats["block_documents"],
     )
 
 
@@ -167,10 +171,9 @@ def _waves(
     2k documents. A block goes into the second if its bound reaches the k-th
     score of the first; a query with fewer hits so far takes all its blocks.
     """
-    block_size = index.postings.agg(F.max(F.size("documents"))).first()[0] or 1
     order = Window.partitionBy("query_id").orderBy(F.desc("bound"), F.asc("block"))
     bounds = settle(_bounds(wanted, postings).withColumn("_place", F.row_number().over(order)))
-    n_first = -(-2 * k // block_size)
+    n_first = -(-2 * k // index.block_documents)
     first = bounds.where(F.col("_place") <= n_first)
     hits = settle(_best(_scored(index, wanted, postings, first), k))
     least = hits.where(F.col("rank") == k).select("query_id", F.col("score").alias("_least"))
@@ -204,8 +207,7 @@ def pruning(index: KeywordIndex, queries: DataFrame, k: int = 10) -> DataFrame:
     hits, more = _waves(index, wanted, postings, k)
     n_blocks = _bounds(wanted, postings).groupBy("query_id").agg(F.count(F.lit(1)).alias("n_blocks"))
     n_more = more.groupBy("query_id").agg(F.count(F.lit(1)).alias("_more"))
-    block_size = index.postings.agg(F.max(F.size("documents"))).first()[0] or 1
-    first = F.least(F.col("n_blocks"), F.lit(-(-2 * k // block_size)).cast("bigint"))
+    first = F.least(F.col("n_blocks"), F.lit(-(-2 * k // index.block_documents)).cast("bigint"))
     return n_blocks.join(n_more, "query_id", "left").select(
         "query_id", "n_blocks", (first + F.coalesce("_more", F.lit(0))).alias("n_scored")
     )
