@@ -52,7 +52,7 @@ from vialens.llm.components import components
 from vialens.llm.shared import partitions, settle
 
 COMMON = 200_000
-CROWD = 32
+CROWD = 16
 SPARE = 15
 BLOCK = 1024
 BLOCK_GRAMS = 4_000_000
