@@ -376,6 +376,31 @@ def test_chat_digests_rest_on_the_examples(spark, monkeypatch):
         assert digest()[1] != whole[1]
 
 
+def test_chat_examples_are_written_with_their_contexts(spark, monkeypatch):
+    rows = [(c, i, "assistant" if i % 2 else "user", f"tu\u00e9rn <|{i} & {c}" * (i + 1)) for c in (1, 2) for i in range(7)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    texts = {r.conv_id: r.text for r in chat.formatted(table).collect()}
+    written, settle = [], chat.settle
+
+    def kept(df, *args):
+        written.append(settle(df, *args))
+        return written[-1]
+
+    monkeypatch.setattr(chat, "settle", kept)
+    whole = {r.conv_id: r for r in chat.digests(table).collect()}
+    (examples,) = written
+    found = examples.orderBy("conv_id", "example").collect()
+    assert [(r.conv_id, r.example) for r in found] == [(c, i) for c in (1, 2) for i in range(3)]
+    for r in found:
+        assert r.context + r.target == texts[r.conv_id][: r.end + len(chat.END)]
+        assert len(r.context) == r.context_chars and r.context.count(chat.START) == 2 * r.example + 1
+    assert whole[1].formatted_chars == sum(len(r.context + r.target) + 1 for r in found if r.conv_id == 1)
+    # a context that lacks its first turn shows
+    cut, examples = F.expr("substr(context, 13)"), chat.examples
+    monkeypatch.setattr(chat, "examples", lambda rendered: examples(rendered).withColumn("context", cut))
+    assert {r.conv_id: r for r in chat.digests(table).collect()}[1].formatted_chars == whole[1].formatted_chars - 36
+
+
 # neighbours
 
 
