@@ -139,3 +139,27 @@ def test_fused_ranks(spark):
         (1, 3, 12, round(1 / 61, 9)),
         (2, 1, 5, round(1 / 61, 9)),
     ]
+
+
+def test_a_block_is_written_and_scored_in_one_task(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(keyword, "TASK_WORDS", 2000, raising=False)
+    monkeypatch.setattr(keyword, "TASK_SCORES", 500, raising=False)
+    documents, queries = corpus(8)
+    rows, asked = tables(spark, documents, queries)
+    index = keyword.build_index(rows, str(tmp_path / "index"), block_documents=16)
+    files = index.postings.select("block", F.input_file_name().alias("file")).distinct()
+    assert files.select("file").distinct().count() > 3
+    assert files.groupBy("block").count().where("count > 1").count() == 0
+    # neither postings by term nor scores by query and document are sent anywhere
+    scores = keyword.all_scores(index, asked)
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^,)]*)", plan)
+    assert any(d.startswith("block") for d in dealt)
+    assert not any(d.startswith(("query_id", "id")) for d in dealt)
+    want = plain_scores(documents, queries)
+    assert {(r.query_id, r.id): r.score for r in scores.collect()} == pytest.approx(want, abs=2e-9)
+    hits = keyword.keyword_top_k(index, asked, 5).collect()
+    assert sorted((r.query_id, r["rank"], r.id) for r in hits) == plain_top_k(documents, queries, 5)
+    # pairs of query and block that are too many for every task
+    monkeypatch.setattr(keyword, "BROADCAST_PAIRS", 0)
+    assert sorted(hits) == sorted(keyword.keyword_top_k(index, asked, 5).collect())

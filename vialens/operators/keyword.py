@@ -9,8 +9,12 @@ blocks of each query, and then only those whose bound reaches the k-th best scor
 found. Nothing else can hold a hit, so the result is that of scoring everything.
 
 A term in a third of all documents is many rows, one a block; no row holds more
-than a block. Rows lie in order of term and block, so a search for few terms
-reads few row groups.
+than a block. A file holds all terms of some blocks, in order of term and block, so
+a search for few terms reads few pages of each.
+
+What moves between tasks is the text, twice, when an index is built, and the rows
+of the asked terms, by block, in a search: a block's terms meet in one task, which
+scores all queries there and passes on each one's best.
 """
 
 from dataclasses import dataclass
@@ -28,6 +32,11 @@ BLOCK_DOCUMENTS = 128
 FILTER_TERMS = 1000
 # Scores closer than this count as equal and are ordered by id.
 SCORE_DIGITS = 9
+# Words of a task that writes the index, and scores (of a query and document) of one that searches.
+TASK_WORDS = 2_000_000
+TASK_SCORES = 1_000_000
+# Pairs of query and block that every task is sent at once; more are shuffled.
+BROADCAST_PAIRS = 4_000_000
 # Ranks are damped by this when two result lists are fused.
 FUSION = 60
 
@@ -61,6 +70,10 @@ def _rarity(df: Column, n_documents: int) -> Column:
     return F.log1p((n_documents - df + 0.5) / (df + 0.5))
 
 
+def _tasks(n: int, each: int) -> int:
+    return max(1, -(-n // each))
+
+
 def build_index(
     documents: DataFrame,
     folder: str,
@@ -74,27 +87,27 @@ def build_index(
     the index; neither are rows without an id.
     """
     spark = documents.sparkSession
-    words = documents.select(F.col(id).alias("id"), F.explode(words_of(F.col(text))).alias("term"))
-    counts = words.where(F.col("id").isNotNull()).groupBy("id", "term")
-    counts = settle(counts.agg(F.count(F.lit(1)).alias("tf")))
-    lengths = settle(counts.groupBy("id").agg(F.sum("tf").alias("length")))
-    whole = lengths.agg(F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean")).first()
+    texts = documents.select(F.col(id).alias("id"), F.col(text).alias("text")).where(F.col("id").isNotNull())
+    n_words = F.sum(F.size(words_of(F.col("text"))))
+    lengths = settle(texts.groupBy("id").agg(n_words.alias("length")).where(F.col("length") > 0))
+    whole = lengths.agg(
+        F.count(F.lit(1)).alias("n"), F.avg("length").alias("mean"), F.sum("length").alias("words")
+    ).first()
     n, mean = whole["n"], whole["mean"] or 1.0
     numbered = number_rows(lengths, ["id"], name="_no")
     block = F.floor(F.col("_no") / block_documents).cast("bigint")
-    placed = counts.join(numbered.select("id", "length", block.alias("block")), "id")
+    placed = texts.join(numbered.select("id", "length", block.alias("block")), "id")
+    # all that is counted and collected below stays in a block
+    placed = placed.repartition(_tasks(whole["words"] or 0, TASK_WORDS), "block")
+    said = placed.select("block", "id", "length", F.explode(words_of(F.col("text"))).alias("term"))
+    counts = said.groupBy("term", "block", "id", "length").agg(F.count(F.lit(1)).alias("tf"))
     tf, length = F.col("tf"), F.col("length")
     posting = F.struct("id", "tf", "length")
-    postings = placed.groupBy("term", "block").agg(
+    postings = counts.groupBy("term", "block").agg(
         F.max(_weight(tf, length, mean)).alias("bound"),
         F.array_sort(F.collect_list(posting)).alias("documents"),
     )
-    (
-        postings.repartitionByRange("term", "block")
-        .sortWithinPartitions("term", "block")
-        .write.mode("overwrite")
-        .parquet(f"{folder}/postings")
-    )
+    postings.sortWithinPartitions("term", "block").write.mode("overwrite").parquet(f"{folder}/postings")
     written = spark.read.parquet(f"{folder}/postings")
     terms = written.groupBy("term").agg(F.sum(F.size("documents").cast("bigint")).alias("df"))
     terms.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(
@@ -148,12 +161,28 @@ def _bounds(wanted: DataFrame, postings: DataFrame) -> DataFrame:
 def _scored(
     index: KeywordIndex, wanted: DataFrame, postings: DataFrame, chosen: DataFrame
 ) -> DataFrame:
-    """(query_id, id, score) of all documents in the chosen (query_id, block)."""
-    asked = chosen.select("query_id", "block").join(wanted, "query_id")
-    met = asked.join(postings.select("term", "block", "documents"), ["term", "block"])
-    each = met.select("query_id", "weight", F.explode("documents").alias("d"))
+    """(query_id, id, score) of all documents in the chosen (query_id, block).
+
+    A block's rows of the wanted terms meet in one task, so its documents' scores
+    add up there.
+    """
+    sized = chosen.agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_distinct("block").alias("blocks")
+    ).first()
+    by_block = chosen.groupBy("block").agg(F.collect_list("query_id").alias("_asking"))
+    by_block = settle(by_block)
+    terms = wanted.select("term").distinct()
+    documents = [F.col(f"documents.{c}").alias(c) for c in ("id", "tf", "length")]
+    used = postings.join(terms, "term", "left_semi")
+    used = used.join(by_block.select("block"), "block", "left_semi").select("term", "block", *documents)
+    n_tasks = min(_tasks(sized["pairs"] * index.block_documents, TASK_SCORES), max(1, sized["blocks"]))
+    used = used.repartition(n_tasks, "block")
+    small = sized["pairs"] <= BROADCAST_PAIRS
+    asked = used.join(by_block.hint("broadcast" if small else "merge"), "block")
+    met = asked.join(wanted, "term").where(F.array_contains("_asking", F.col("query_id")))
+    each = met.select("block", "query_id", "weight", F.explode(F.arrays_zip("id", "tf", "length")).alias("d"))
     score = F.col("weight") * _weight(F.col("d.tf"), F.col("d.length"), index.mean_length)
-    summed = each.groupBy("query_id", F.col("d.id").alias("id")).agg(F.sum(score).alias("_score"))
+    summed = each.groupBy("block", "query_id", F.col("d.id").alias("id")).agg(F.sum(score).alias("_score"))
     return summed.select("query_id", "id", F.round("_score", SCORE_DIGITS).alias("score"))
 
 
