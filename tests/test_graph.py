@@ -1,6 +1,7 @@
 """Graph search against the exact search."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -101,3 +102,31 @@ def test_text_ids_few_vectors_and_none(spark, tmp_path):
     assert graph.graph_top_k(empty, queries).collect() == []
     one = graph.build_graph(vectors.limit(1), str(tmp_path / "one"))
     assert graph.graph_top_k(one, queries).count() == 1
+
+
+def test_links_leave_in_small_batches():
+    """Links are held for a few rows at a time, however many rows a batch has."""
+    draw = np.random.default_rng(3)
+    rows = [[{"w": 100 * i + j, "v": draw.normal(size=4).tolist()} for j in range(i % 30)] for i in range(1000)]
+    member = pa.struct([("w", pa.int64()), ("v", pa.list_(pa.float64()))])
+    batch = pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(member))], ["m"])
+    out = pa.schema([("u", pa.int64()), ("w", pa.int64()), ("score", pa.float64())])
+    links = list(graph._compared(iter([batch.slice(5)]), out))
+    assert len(links) == 4 and max(b.num_rows for b in links) <= graph.GROUPS * 30 * graph.DEGREE
+    table = pa.Table.from_batches(links)
+    sizes = [len(r) for r in rows[5:]]
+    assert table.num_rows == sum(n * min(graph.DEGREE, n - 1) for n in sizes if n > 1)
+    vectors = {m["w"]: np.array(m["v"]) for r in rows for m in r}
+    for u, w, score in list(zip(*(c.to_pylist() for c in table.columns), strict=True))[::97]:
+        a, b = vectors[u], vectors[w]
+        assert u // 100 == w // 100 and score == pytest.approx(a @ b / np.linalg.norm(a) / np.linalg.norm(b))
+
+
+def test_places_of_linked_ids():
+    ids, links = pa.array([7, 5, 9, 5]), pa.chunked_array([[5, 7], [], [9]], pa.int64())
+    assert graph._places(ids, links).tolist() == [3, 0, 2]
+    assert graph._places(ids, links.slice(0, 0)).dtype == np.int32
+    texts = graph._places(pa.array(["b", "a"]), pa.chunked_array([["a", "b"]]))
+    assert texts.tolist() == [1, 0]
+    with pytest.raises(ValueError):
+        graph._places(ids, pa.chunked_array([[6]]))

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +36,8 @@ SHARD_BYTES = 32 << 20
 DEGREE = 16
 # Neighbours of one vector that are compared among each other in a round.
 CANDIDATES = 32
+# Vectors whose neighbours are compared before their links leave the worker.
+GROUPS = 256
 ROUNDS = 8
 # A round that raises the mean score of the links by less ends the building.
 GAIN = 1e-3
@@ -97,22 +100,14 @@ def _both_ways(links: DataFrame) -> DataFrame:
     return links.union(turned).groupBy("u", "w").agg(F.max("score").alias("score"))
 
 
-def _joined_locally(links: DataFrame, vectors: DataFrame) -> DataFrame:
-    """(u, w, score): for every vector, its best among the vectors that share a neighbour with it."""
-    near = _closest(_both_ways(links), "u", CANDIDATES)
-    held = near.select("u", "w").union(vectors.select(F.col("id").alias("u"), F.col("id").alias("w")))
-    members = held.join(vectors.select(F.col("id").alias("w"), "v"), "w")
-    groups = members.groupBy("u").agg(F.collect_list(F.struct("w", "v")).alias("m")).select("m")
-    id_type = vectors.schema["id"].dataType
-    schema = T.StructType([T.StructField("u", id_type), T.StructField("w", id_type), T.StructField("score", T.DoubleType())])
-    out = to_arrow_schema(schema)
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+def _compared(batches: Iterator[pa.RecordBatch], out: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Links within each row's list of (w, v); those of ``GROUPS`` rows at a time are held."""
+    for batch in batches:
+        members = batch.column(0)
+        all_ids, vs = members.values.field(0), members.values.field(1)
+        for first in range(0, len(members), GROUPS):
             us, ws, scores = [], [], []
-            column = batch.column(0)
-            all_ids, vs = column.values.field(0), column.values.field(1)
-            starts = column.offsets.to_numpy()
+            starts = members.slice(first, GROUPS).offsets.to_numpy()
             for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 n = b - a
                 if n < 2:
@@ -130,7 +125,26 @@ def _joined_locally(links: DataFrame, vectors: DataFrame) -> DataFrame:
                 columns = [all_ids.take(pa.array(np.concatenate(x))) for x in (us, ws)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(np.concatenate(scores))], schema=out)
 
-    return groups.mapInArrow(compare, schema)
+
+def _places(ids: pa.Array, links: pa.ChunkedArray) -> np.ndarray:
+    """Where in ``ids`` each link's id stands (the last place), without a Python object a link."""
+    back = pc.index_in(links, value_set=ids[::-1])
+    if back.null_count:
+        raise ValueError("a link leads out of its shard")
+    return (len(ids) - 1 - back.to_numpy()).astype(np.int32)
+
+
+def _joined_locally(links: DataFrame, vectors: DataFrame) -> DataFrame:
+    """(u, w, score): for every vector, its best among the vectors that share a neighbour with it."""
+    near = _closest(_both_ways(links), "u", CANDIDATES)
+    held = near.select("u", "w").union(vectors.select(F.col("id").alias("u"), F.col("id").alias("w")))
+    members = held.join(vectors.select(F.col("id").alias("w"), "v"), "w")
+    groups = members.groupBy("u").agg(F.collect_list(F.struct("w", "v")).alias("m")).select("m")
+    id_type = vectors.schema["id"].dataType
+    schema = T.StructType([T.StructField("u", id_type), T.StructField("w", id_type), T.StructField("score", T.DoubleType())])
+    out = to_arrow_schema(schema)
+
+    return groups.mapInArrow(lambda batches: _compared(batches, out), schema)
 
 
 def neighbour_links(vectors: DataFrame, width: int) -> DataFrame:
@@ -192,9 +206,7 @@ def build_graph(
         if not own.num_rows:
             return out.empty_table()
         ids = own.column("id").combine_chunks()
-        number = {x: i for i, x in enumerate(ids.to_pylist())}
-        pairs = [[number[x] for x in linked.column(c).to_pylist()] for c in ("u", "w")]
-        u, w = (np.array(p, np.int32) for p in pairs)
+        u, w = (_places(ids, linked.column(c)) for c in ("u", "w"))
         order = np.argsort(u, kind="stable")
         first = np.searchsorted(u[order], np.arange(len(ids) + 1)).astype(np.int32)
         row = [
