@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -14,6 +15,7 @@ import pytest
 from vialens.llm import language_model, pieces, token_store, toxicity
 from vialens.llm.bytewords import bounds, text_chunks
 from vialens.llm.queries import QUERIES, vocabulary
+from vialens.operators.scale import application_folder
 
 ODD = [
     None,
@@ -230,6 +232,54 @@ def test_big_counts_are_kept(spark):
     assert row.base_score == pytest.approx(800 * math.log10(400.1 / 801.4) + math.log10(1.1 / 801.4))
 
 
+def _files(folder):
+    return {os.path.join(at, name) for at, _, names in os.walk(folder) for name in names}
+
+
+def test_the_model_takes_few_bytes(spark):
+    draw = random.Random(8)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.5)) % 9000}" for _ in range(400)) for _ in range(200)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shared = application_folder(spark).removeprefix("file:")
+    before = _files(shared)
+    language_model.fit(rows)
+    new = _files(shared) - before
+    # the n-grams are written once, as the model; no level is written as a table as well
+    assert {os.path.splitext(f)[1] for f in new} == {".arrow"}
+    assert sum(os.path.getsize(f) for f in new) < 16 * 200 * 401
+
+
+def test_long_runs_of_next_words_and_many_contexts(spark):
+    draw = random.Random(5)
+    texts = [" ".join(f"w{int(draw.paretovariate(0.6)) % 700}" for _ in range(40)) for _ in range(150)]
+    texts += [f"w1 w2 n{i}" for i in range(600)] + ["w1 w2 n7"] * 300
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tokens = [[*t.split(), "</s>"] for t in texts]
+    score = _brute_force([t for i, t in enumerate(tokens) if zlib.crc32(str(i).encode()) % 10], 4)
+    got = {r.doc_id: r.score for r in language_model.perplexities(rows, 4).collect()}
+    assert got == pytest.approx({i: score(t) for i, t in enumerate(tokens)}, rel=1e-9)
+
+
+def test_ngrams_are_packed_and_counted():
+    random_ = np.random.default_rng(3)
+    for top in (2, 1000, 2**32 - 2):
+        drawn = [random_.integers(0, top, 5000).astype(np.uint32) // np.uint32(9) for _ in range(3)]
+        columns, counts = language_model._counted(drawn)
+        want = sorted(Counter(zip(*(c.tolist() for c in drawn), strict=True)).items())
+        assert list(zip(*(c.tolist() for c in columns), strict=True)) == [g for g, _ in want]
+        assert counts.tolist() == [n for _, n in want]
+        back, n = language_model._decoded(language_model._encoded(columns, counts), len(counts), 3)
+        assert [c.tolist() for c in back] == [c.tolist() for c in columns]
+        assert n.tolist() == counts.tolist()
+
+
+def test_packed_ngrams_are_small():
+    random_ = np.random.default_rng(4)
+    drawn = [(2 ** (random_.random(50_000) * 20)).astype(np.uint32) for _ in range(3)]
+    rows = language_model._rows(*language_model._counted(drawn), 4)
+    assert sum(len(r["grams"]) for r in rows) < 7 * 50_000
+
+
 def test_model_needs_a_mounted_folder():
     assert language_model._mounted("file:///x/y") == "/x/y"
     with pytest.raises(ValueError):
