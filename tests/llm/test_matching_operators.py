@@ -146,6 +146,37 @@ def test_ngram_join_equals_brute_force(spark, monkeypatch, crowd, block, common,
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == dict(enumerate(want))
 
 
+def test_ngram_join_groups_nothing_by_common_lines(spark, monkeypatch):
+    draw = random.Random(3)
+    line = lambda: " ".join(f"w{draw.randrange(100_000)}" for _ in range(12))
+    lines = [line() for _ in range(30)]
+    texts = []
+    for _ in range(400):
+        own = [*draw.sample(lines, 3), line(), line(), line()]
+        draw.shuffle(own)
+        texts.append(" ".join(own))
+    joined, connect = [], ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda links: joined.append(links.count()) or connect(links))
+    monkeypatch.setattr(ngram_join, "_CHUNK", 20_000)
+    got = ngram_join.near_duplicates(docs_of(spark, texts)).collect()
+    assert all(r.doc_id == r.component_id for r in got)
+    assert joined == [0, 0]
+
+
+@pytest.mark.parametrize("percent", [40, 60, 67, 75, 90, 100])
+def test_ngram_join_at_other_thresholds(spark, monkeypatch, percent):
+    monkeypatch.setattr(ngram_join, "CROWD", 3)
+    texts = _near_copies(percent, 8, 9)
+    got = ngram_join.near_duplicates(docs_of(spark, texts).repartition(3), percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == dict(enumerate(_component_ids(texts, 5, percent)))
+
+
+def test_marks_of_sets_that_link():
+    size = np.arange(2, 20_000)
+    for percent in range(67, 101):
+        assert (ngram_join._needed(size, percent) >= ngram_join._sure(size)).all()
+
+
 def test_ngram_join_of_odd_tables(spark):
     rows = [(5, "a b", 1), (5, "a b", 2), (None, "A b", 3), (7, None, 4), (None, "", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key int")

@@ -4,23 +4,32 @@ A document's set is its distinct ``n``-word shingles, as 64-bit hashes; with
 fewer words, its whole word sequence is its one shingle. Documents with equal
 sets form a class, and only classes are compared.
 
-The global order puts common shingles last (those counted in many texts of a
+Classes are found by marks. From 67 percent on, a set's marks are the pairs of
+shingles next to each other in order of the hash: every shingle that only one of
+two sets has parts at most one pair of their ``i`` shared ones, so sets that link
+share at least ``i - 1`` pairs less one for each such shingle, half of a set at 75
+percent, while texts with some phrases in common share next to none, however
+many there are. Below, where that says nothing, the shingles are the marks.
+
+The global order puts common marks last (those counted in many texts of a
 chunk, summed over all chunks; at most ``COMMON`` of them are known to the
-tasks, which steers the order and never the result). Two sets that link share at
-least ``s`` of the first ``n - ceil(t n) + s`` shingles of each; ``s`` is one and
+tasks, which steers the order and never the result). Two sets that share at least
+``g`` of their marks share ``s`` of the first ``marks - g + s`` of each; ``s`` is one and
 ``SPARE`` percent of the smaller set. That part of the order is cut into
-fragments by hash, one a task: each counts the shared shingles of its pairs, the
+fragments by hash, one a task: each counts the shared marks of its pairs, the
 partial overlaps are summed by pair, and a pair goes on only if its sum reaches
-``s`` and, with all that may follow, the threshold. A shingle that more than
-``CROWD`` classes share makes no pairs. It counts as shared in those sums where
+``s`` and, with all that may follow, what sets of their sizes share. A mark that more
+than ``CROWD`` classes share makes no pairs. It counts as shared in those sums where
 both classes have so many; classes with ``s`` of them or more, which alone can
-link through nothing else, hang on one class of each.
+link through nothing else, hang on one class of each. On its way a class is a
+number of 64 bits and a mark has 40 bits besides its fragment: marks taken for
+one another add a pair to look at, never a link.
 
 Classes that pairs or crowds connect form a group, cut into blocks of about
 ``BLOCK`` classes and ``BLOCK_GRAMS`` shingles. A task takes two blocks, cuts their
 shingles into fragments of the order, counts the overlaps of all their pairs
-fragment by fragment in one matrix, sums them to the exact intersections, and
-returns a spanning forest of the links: no component loses a link it needs,
+fragment by fragment in one matrix (shingles of up to ``RARE`` classes pair by pair),
+sums them to the exact intersections, and returns a spanning forest of the links: no component loses a link it needs,
 every set moves once for each block it meets, and no pair of a group becomes a row.
 
 Defined cases: null and empty texts have no shingle and link with nothing;
@@ -53,21 +62,19 @@ from vialens.llm.shared import partitions, settle
 
 COMMON = 200_000
 CROWD = 16
-SPARE = 15
+SPARE = 20
 BLOCK = 1024
 BLOCK_GRAMS = 4_000_000
 FRAGMENT = 2048
+RARE = 64
+_PAIRS = 4 << 20
 _LOCAL = 8
 _CHUNK = 8 << 20
 
 _PACKED = pa.schema(
-    [("bucket", pa.int32())]
-    + [(f, pa.binary()) for f in ("keys", "sizes", "doc", "hashes")]
-)
-_FOUND = pa.schema(
-    [("crowd", pa.bool_()), ("a", pa.binary()), ("b", pa.binary())]
-    + [(f, pa.int64()) for f in ("n_a", "n_b", "shared")]
+    [("bucket", pa.int32())] + [(f, pa.binary()) for f in ("ids", "counts", "low", "high")]
 )
+_FOUND = pa.schema([("crowd", pa.bool_())] + [(f, pa.int64()) for f in ("a", "b", "shared")])
 
 
 def shingle_sets(chunk: Chunk, n: int):
@@ -94,16 +101,30 @@ def shingle_sets(chunk: Chunk, n: int):
     return found, bounds(np.bincount(owner, minlength=chunk.n))
 
 
+def _width(percent: int) -> int:
+    """Shingles of a mark."""
+    return 2 if percent >= 67 else 1
+
+
+def marks(found: np.ndarray, at: np.ndarray, width: int):
+    """(marks of all documents, their bounds); ``found`` is in order of the hash."""
+    if width == 1:
+        return found, at
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    pairs = mix(found[:-1], found[1:])
+    return pairs[owner[:-1] == owner[1:]], bounds(np.maximum(np.diff(at) - 1, 0))
+
+
 def in_global_order(found: np.ndarray, at: np.ndarray, common) -> np.ndarray:
-    """The shingles of every document with the common ones last, from the rarest of these on."""
+    """The marks of every document with the common ones last, from the rarest of these on."""
     hashes, rank = common
-    if not len(hashes):
-        return found
+    place, late = found, np.zeros(len(found), bool)
+    if len(hashes):
+        at_most = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
+        late = hashes[at_most] == found
+        place = np.where(late, rank[at_most], found)
     owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    place = np.minimum(np.searchsorted(hashes, found), len(hashes) - 1)
-    late = hashes[place] == found
-    order = np.lexsort((np.where(late, rank[place], found), owner * 2 + late))
-    return found[order]
+    return found[np.lexsort((place, owner * 2 + late))]
 
 
 def _set_keys(found: np.ndarray, at: np.ndarray) -> list[bytes]:
@@ -112,21 +133,24 @@ def _set_keys(found: np.ndarray, at: np.ndarray) -> list[bytes]:
     return [xxhash.xxh3_128_digest(raw[a:b]) for a, b in zip(places, places[1:])]
 
 
-def _sets(batches: Iterator[pa.RecordBatch], n: int, common=None):
-    """Chunks as (batch, chunk, keys, distinct documents, shingles in global order, bounds)."""
+def _numbers(keys: np.ndarray) -> np.ndarray:
+    """Half of each key, as what a class is called on its way."""
+    return np.frombuffer(keys.tobytes(), "<i8")[::2]
+
+
+def _sets(batches: Iterator[pa.RecordBatch], n: int):
+    """Chunks as (batch, chunk, keys, distinct documents, shingles in order of the hash, bounds)."""
     for batch in batches:
         for chunk in text_chunks(batch.column(batch.num_columns - 1), LOWER, _CHUNK):
             found, at = shingle_sets(chunk, n)
             keys = np.array(_set_keys(found, at), "V16")
-            if common is not None:
-                found = in_global_order(found, at, common)
             _, first = np.unique(keys, return_index=True)
             first = np.sort(first)
             yield batch, chunk, keys, first[np.diff(at)[first] > 0], found, at
 
 
-def _scan(rows: DataFrame, n: int) -> DataFrame:
-    """Members (doc_id, n_shingles, key) and, with a null key, shingles frequent in a chunk."""
+def _scan(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """Members (doc_id, n_shingles, key, id) and, with a null key, marks frequent in a chunk."""
 
     def scan(batches: Iterator[pa.RecordBatch]):
         for batch, chunk, keys, first, found, at in _sets(batches, n):
@@ -135,26 +159,28 @@ def _scan(rows: DataFrame, n: int) -> DataFrame:
                     batch.column(0).slice(chunk.first, chunk.n),
                     pa.array(np.diff(at), pa.int64()),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
+                    pa.array(_numbers(keys)),
                 ],
-                ["doc_id", "n_shingles", "key"],
+                ["doc_id", "n_shingles", "key", "id"],
             )
-            own = found[ragged(at[first], np.diff(at)[first])]
-            distinct, times = np.unique(own, return_counts=True)
+            own, of = marks(found, at, width)
+            distinct, times = np.unique(own[ragged(of[first], np.diff(of)[first])], return_counts=True)
             often = times >= _LOCAL
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(distinct[often].view(np.int64)),
                     pa.array(times[often], pa.int64()),
                     pa.nulls(int(often.sum()), pa.binary()),
+                    pa.nulls(int(often.sum()), pa.int64()),
                 ],
-                ["doc_id", "n_shingles", "key"],
+                ["doc_id", "n_shingles", "key", "id"],
             )
 
-    return rows.mapInArrow(scan, "doc_id long, n_shingles long, key binary")
+    return rows.mapInArrow(scan, "doc_id long, n_shingles long, key binary, id long")
 
 
 def _common(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted hashes, place of each in the order) of the commonest shingles, ``COMMON`` at most."""
+    """(sorted hashes, place of each in the order) of the commonest marks, ``COMMON`` at most."""
     counted = scanned.filter("key IS NULL").groupBy("doc_id").agg(F.sum("n_shingles").alias("n"))
     top = counted.orderBy(F.desc("n"), "doc_id").limit(COMMON).toPandas()
     hashes = top["doc_id"].to_numpy(np.int64).view(np.uint64)
@@ -165,97 +191,96 @@ def _common(scanned: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _needed(size: np.ndarray, percent: int) -> np.ndarray:
-    """ceil(t n)."""
-    return -(-size * percent // 100)
+    """How many of its marks a set of so many shingles shares with any that links."""
+    shared = -(-size * percent // 100)  # ceil(t n)
+    if _width(percent) == 1:
+        return shared
+    return shared - 1 - shared * (100 - percent) // percent
 
 
 def _sure(size: np.ndarray) -> np.ndarray:
-    """How many of its first shingles a set shares with any that links and is no smaller."""
+    """How many of its first marks a set shares with any that links and is no smaller."""
     return 1 + size * SPARE // 100
 
 
 def _prefixes(rows: DataFrame, n: int, percent: int, common, n_buckets: int) -> DataFrame:
-    """The first shingles of every class of a chunk, packed by fragment of the order."""
+    """The first marks of every class of a chunk, packed by fragment of the order."""
+    width = _width(percent)
 
     def pack(batches: Iterator[pa.RecordBatch]):
-        for _, _, keys, first, found, at in _sets(batches, n, common.value):
+        for _, _, keys, first, found, at in _sets(batches, n):
+            own, of = marks(found, at, width)
+            own, n_marks = in_global_order(own, of, common.value), np.diff(of)[first]
             size = np.diff(at)[first]
-            length = size - _needed(size, percent) + _sure(size)
-            hashes = found[ragged(at[first], length)]
+            length = np.minimum(n_marks, n_marks - _needed(size, percent) + _sure(size))
+            hashes = own[ragged(of[first], length)]
             doc = np.repeat(np.arange(len(first)), length)
             bucket = ((hashes >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(int)
             order = np.argsort(bucket, kind="stable")
             limits = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
-            out = []
+            ids, out = _numbers(keys[first]), []
             for b in np.flatnonzero(np.diff(limits)).tolist():
                 i = order[limits[b] : limits[b + 1]]
-                used, which = np.unique(doc[i], return_inverse=True)
+                used, counts = np.unique(doc[i], return_counts=True)
                 out.append(
                     {
                         "bucket": b,
-                        "keys": keys[first[used]].tobytes(),
-                        "sizes": size[used].astype("<i8").tobytes(),
-                        "doc": which.astype("<u4").tobytes(),
-                        "hashes": hashes[i].tobytes(),
+                        "ids": ids[used].tobytes(),
+                        "counts": counts.astype("<u4").tobytes(),
+                        "low": hashes[i].astype("<u4").tobytes(),
+                        "high": (hashes[i] >> np.uint64(32)).astype("u1").tobytes(),
                     }
                 )
             if out:
                 yield pa.RecordBatch.from_pylist(out, _PACKED)
 
-    schema = "bucket int, keys binary, sizes binary, doc binary, hashes binary"
-    return rows.mapInArrow(pack, schema)
+    return rows.mapInArrow(pack, "bucket int, ids binary, counts binary, low binary, high binary")
 
 
-def _partial_overlaps(table: pa.Table, percent: int) -> pa.Table:
-    """Pairs of a fragment with their shared shingles, and what hangs together in crowds."""
-    blobs = {c: table[c].to_pylist() for c in ("keys", "sizes", "doc", "hashes")}
-    keys = np.frombuffer(b"".join(blobs["keys"]), "V16")
-    size = np.frombuffer(b"".join(blobs["sizes"]), "<i8")
-    shift = bounds(np.array([len(k) // 16 for k in blobs["keys"]], np.int64))
-    doc = [np.frombuffer(d, "<u4") + s for d, s in zip(blobs["doc"], shift[:-1].tolist())]
-    hashes = np.frombuffer(b"".join(blobs["hashes"]), "<u8")
-    keys, first, number = np.unique(keys, return_index=True, return_inverse=True)
-    size, doc = size[first], number[np.concatenate(doc)]
+def _partial_overlaps(table: pa.Table) -> pa.Table:
+    """Pairs of a fragment with their shared marks, and what hangs together in crowds."""
+    ids, counts, low, high = (
+        np.frombuffer(b"".join(table[c].to_pylist()), kind)
+        for c, kind in (("ids", "<i8"), ("counts", "<u4"), ("low", "<u4"), ("high", "u1"))
+    )
+    ids, first, number = np.unique(ids, return_index=True, return_inverse=True)
+    # of a class that several chunks have, one copy's marks
+    one = first[number] == np.arange(len(number))
+    hashes = (high.astype(np.uint64) << np.uint64(32) | low)[np.repeat(one, counts)]
+    doc = np.repeat(number[one], counts[one])
     order = np.lexsort((doc, hashes))
     hashes, doc = hashes[order], doc[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])
-    hashes, doc = hashes[new], doc[new]
     begin = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]])
     count = np.diff(np.r_[begin, len(hashes)])
     pairs = [np.zeros(0, np.int64)]
-    n = len(keys)
+    n = len(ids)
     for m in range(2, CROWD + 1):
         of = begin[count == m]
         members = doc[of[:, None] + np.arange(m)]
         i, j = np.triu_indices(m, 1)
         a, b = members[:, i].reshape(-1), members[:, j].reshape(-1)
-        near = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
-        pairs.append(a[near] * n + b[near])
+        pairs.append((a * n + b)[a != b])
     pair, shared = np.unique(np.concatenate(pairs), return_counts=True)
     crowd = count > CROWD
     member = doc[ragged(begin[crowd], count[crowd])]
     pivot = np.repeat(doc[begin[crowd]], count[crowd])
     hang, times = np.unique(pivot * n + member, return_counts=True)
     both = np.concatenate([pair, hang])
-    a, b = both // max(n, 1), both % max(n, 1)
-    of = [k.tobytes() for k in keys]
     columns = [
         pa.array(np.arange(len(both)) >= len(pair)),
-        pa.array([of[i] for i in a.tolist()], pa.binary()),
-        pa.array([of[i] for i in b.tolist()], pa.binary()),
-        pa.array(size[a]),
-        pa.array(size[b]),
+        pa.array(ids[both // max(n, 1)]),
+        pa.array(ids[both % max(n, 1)]),
         pa.array(np.concatenate([shared, times])),
     ]
     return pa.Table.from_arrays(columns, schema=_FOUND)
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for every key by its first three bytes; other keys may share it."""
-    bit = F.conv(F.hex(F.substring("key", 1, 3)), 16, 10).cast("long")
-    words = keys.select(
-        (bit / 32).cast("int").alias("word"), F.pow(F.lit(2), bit % 32).cast("long").alias("bits")
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """A bit for every id by its highest 24 bits; other ids may share it."""
+    bit = F.shiftrightunsigned("id", 40)
+    words = wanted.select(
+        F.shiftright(bit, 5).cast("int").alias("word"),
+        F.pow(F.lit(2), bit % 32).cast("long").alias("bits"),
     )
     rows = words.groupBy("word").agg(F.bit_or("bits").alias("bits")).toPandas()
     out = np.zeros((1 << 24) // 32, np.uint32)
@@ -264,7 +289,7 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
 
 
 def _chosen_sets(rows: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
-    """(key, grams): the sets of the wanted classes and of a few others, one a chunk.
+    """(id, grams): the sets of the wanted classes and of a few others, one a chunk.
 
     Texts are read again rather than moved: a bitmap of fixed size leaves out
     nearly all that are not wanted.
@@ -273,30 +298,29 @@ def _chosen_sets(rows: DataFrame, n: int, wanted: DataFrame) -> DataFrame:
 
     def pick(batches: Iterator[pa.RecordBatch]):
         for _, _, keys, first, found, at in _sets(batches, n):
-            b = keys[first].view(np.uint8).reshape(-1, 16)[:, :3].astype(np.uint32)
-            bit = b[:, 0] << 16 | b[:, 1] << 8 | b[:, 2]
-            first = first[(bits.value[bit >> 5] >> (bit & 31) & 1).astype(bool)]
+            ids = _numbers(keys[first])
+            bit = (ids.view(np.uint64) >> np.uint64(40)).astype(np.uint32)
+            chosen = (bits.value[bit >> 5] >> (bit & 31) & 1).astype(bool)
+            first = first[chosen]
             raw = memoryview(np.ascontiguousarray(found)).cast("B")
             spans = zip((at[first] * 8).tolist(), (at[first + 1] * 8).tolist(), strict=True)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([k.tobytes() for k in keys[first]], pa.binary()),
-                    pa.array([bytes(raw[x:y]) for x, y in spans], pa.binary()),
-                ],
-                ["key", "grams"],
+                [pa.array(ids[chosen]), pa.array([bytes(raw[x:y]) for x, y in spans], pa.binary())],
+                ["id", "grams"],
             )
 
-    return rows.mapInArrow(pick, "key binary, grams binary")
+    return rows.mapInArrow(pick, "id long, grams binary")
 
 
 def _block_links(table: pa.Table, percent: int) -> pa.Table:
     """A spanning forest of the links among the classes of one or two blocks.
 
-    The columns are the shared shingles in hash order; every ``FRAGMENT`` of them
-    is a fragment whose overlaps are counted for all pairs at once, and the
-    counts add up to the intersections.
+    The columns are the shared shingles in hash order. Those of up to ``RARE``
+    classes count for their own pairs; every ``FRAGMENT`` of the others is a
+    fragment whose overlaps are counted for all pairs at once. The counts add up
+    to the intersections.
     """
-    found = dict(zip(table["key"].to_pylist(), table["grams"].to_pylist(), strict=True))
+    found = dict(zip(table["id"].to_pylist(), table["grams"].to_pylist(), strict=True))
     names = list(found)
     sets = [np.frombuffer(g, "<u8") for g in found.values()]
     m = len(sets)
@@ -305,14 +329,25 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
     _, column, times = np.unique(hashes, return_inverse=True, return_counts=True)
     kept = times[column] > 1
     who, column = who[kept], column[kept]
-    columns, column = np.unique(column, return_inverse=True)
-    overlap = np.zeros((m, m), np.float32)
     order = np.argsort(column, kind="stable")
     who, column = who[order], column[order]
-    for left in range(0, len(columns), FRAGMENT):
-        a, b = np.searchsorted(column, [left, left + FRAGMENT])
-        held = np.zeros((m, min(FRAGMENT, len(columns) - left)), np.float32)
-        held[who[a:b], column[a:b] - left] = 1
+    begin = np.flatnonzero(np.r_[True, column[1:] != column[:-1]][: len(column)])
+    count = np.diff(np.r_[begin, len(column)])
+    overlap = np.zeros((m, m), np.float32)
+    for k in np.unique(count[count <= RARE]).tolist():
+        i, j = np.triu_indices(k, 1)
+        of = begin[count == k]
+        step = max(1, _PAIRS // len(i))
+        for left in range(0, len(of), step):
+            members = who[of[left : left + step, None] + np.arange(k)]
+            pair = members[:, i] * m + members[:, j]
+            overlap += np.bincount(pair.reshape(-1), minlength=m * m).reshape(m, m)
+    overlap += overlap.T
+    begin, count = begin[count > RARE], count[count > RARE]
+    for left in range(0, len(begin), FRAGMENT):
+        each = count[left : left + FRAGMENT]
+        held = np.zeros((m, len(each)), np.float32)
+        held[who[ragged(begin[left : left + FRAGMENT], each)], np.repeat(np.arange(len(each)), each)] = 1
         overlap += held @ held.T
     linked = 100 * overlap >= percent * (size[:, None] + size[None, :] - overlap)
     free, edges = np.ones(m, bool), []
@@ -329,60 +364,63 @@ def _block_links(table: pa.Table, percent: int) -> pa.Table:
             edges += [(i, j) for j in found.tolist()]
     return pa.table(
         {
-            "a": pa.array([names[i] for i, _ in edges], pa.binary()),
-            "b": pa.array([names[j] for _, j in edges], pa.binary()),
+            "a": pa.array([names[i] for i, _ in edges], pa.int64()),
+            "b": pa.array([names[j] for _, j in edges], pa.int64()),
         }
     )
 
 
 def links(rows: DataFrame, scanned: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b): links of classes that connect all that any links connect."""
-    spark = rows.sparkSession
+    """(a, b): links of classes, by id, that connect all that any links connect."""
+    spark, pairwise = rows.sparkSession, _width(percent) == 2
     common = spark.sparkContext.broadcast(_common(scanned))
     packed = _prefixes(rows, n, percent, common, partitions(spark))
-    schema = "crowd boolean, a binary, b binary, n_a long, n_b long, shared long"
-    found = settle(packed.groupBy("bucket").applyInArrow(lambda t: _partial_overlaps(t, percent), schema))
+    schema = "crowd boolean, a long, b long, shared long"
+    found = settle(packed.groupBy("bucket").applyInArrow(_partial_overlaps, schema))
+    sizes = scanned.filter("n_shingles > 0 AND key IS NOT NULL")
+    sizes = sizes.groupBy("id").agg(F.first("n_shingles").alias("n"))
     hung = found.filter("crowd")
-    crowded = hung.groupBy(F.col("b").alias("key"))
-    crowded = settle(crowded.agg(F.sum("shared").alias("k"), F.first("n_b").alias("n")))
-    # what both sets can still share beyond the first shingles of either
-    largest = F.greatest("n_a", "n_b")
-    rest = F.ceil(largest * percent / 100) - 1 - F.floor(F.least("n_a", "n_b") * SPARE / 100)
-    need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent) - 1e-9)
-    sure = 1 + F.floor(F.least("n_a", "n_b") * SPARE / 100)
-    pairs = found.filter("NOT crowd").groupBy("a", "b", "n_a", "n_b")
-    pairs = pairs.agg(F.sum("shared").alias("shared"))
+    crowded = hung.groupBy(F.col("b").alias("id")).agg(F.sum("shared").alias("k"))
+    crowded = settle(crowded.join(sizes, "id"))
+    pairs = found.filter("NOT crowd").groupBy("a", "b").agg(F.sum("shared").alias("shared"))
     for side in ("a", "b"):
-        k = crowded.select(F.col("key").alias(side), F.col("k").alias(f"k_{side}"))
+        k = crowded.select(F.col("id").alias(side), F.col("k").alias(f"k_{side}"))
         pairs = pairs.join(k, side, "left").fillna(0, [f"k_{side}"])
+        pairs = pairs.join(sizes.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}")), side)
+    least, largest, all = F.least("n_a", "n_b"), F.greatest("n_a", "n_b"), F.col("n_a") + F.col("n_b")
+    needed = F.ceil(largest * percent / 100)
+    need = F.ceil(all * percent / (100 + percent) - 1e-9)
+    if pairwise:
+        needed = needed - 1 - F.floor(needed * (100 - percent) / percent)
+        need = 3 * need - 1 - all
+    sure = 1 + F.floor(least * SPARE / 100)
     most = F.col("shared") + F.least("k_a", "k_b")
-    pairs = pairs.filter((most >= sure) & (most + rest >= need))
-    # who shares nothing but crowded shingles with a set that links has at least so many of them
+    # ``needed - sure``: what both sets can still share beyond the first marks of either
+    pairs = pairs.filter((100 * least >= percent * largest) & (most >= sure) & (most + needed - sure >= need))
+    # who shares nothing but crowded marks with a set that links has at least so many of them
     smallest = F.ceil(F.col("n") * percent / 100)
     deep = crowded.filter(F.col("k") >= 1 + F.floor(smallest * SPARE / 100))
-    deep = deep.select(F.col("key").alias("b"))
+    deep = deep.select(F.col("id").alias("b"))
     edges = hung.filter("a <> b").join(deep, "b", "left_semi").select("a", "b")
     edges = edges.union(pairs.select("a", "b"))
-    groups = components(edges).withColumnsRenamed({"node": "key", "root": "group"})
-    sizes = found.select(F.col("a").alias("key"), F.col("n_a").alias("n"))
-    sizes = sizes.union(found.select("b", "n_b")).groupBy("key").agg(F.first("n").alias("n"))
-    groups = settle(groups.join(sizes, "key"))
+    groups = components(edges).withColumnsRenamed({"node": "id", "root": "group"})
+    groups = settle(groups.join(sizes, "id"))
     blocks = groups.groupBy("group").agg(
         F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks")
     )
-    own = F.pmod(F.xxhash64("key"), "blocks").cast("int")
+    own = F.pmod(F.xxhash64("id"), "blocks").cast("int")
     dealt = groups.join(blocks, "group").withColumn("block", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = settle(
         dealt.select(
-            "key", "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
+            "id", "group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi")
         )
     )
-    sets = _chosen_sets(rows, n, groups.select("key"))
+    sets = _chosen_sets(rows, n, groups.select("id"))
     return (
-        sets.join(dealt, "key")
+        sets.join(dealt, "id")
         .groupBy("group", "lo", "hi")
-        .applyInArrow(lambda t: _block_links(t, percent), "a binary, b binary")
+        .applyInArrow(lambda t: _block_links(t, percent), "a long, b long")
     )
 
 
@@ -397,14 +435,14 @@ def near_duplicates(
     if not 0 < percent <= 100:
         raise ValueError("percent lies in 1 to 100")
     rows = docs.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    scanned = settle(_scan(rows, n))
+    scanned = settle(_scan(rows, n, _width(percent)))
     members = scanned.filter("key IS NOT NULL")
     roots = components(links(rows, scanned, n, percent))
-    roots = roots.withColumnRenamed("node", "key")
+    roots = roots.withColumnRenamed("node", "id")
     # sets without shingles are no copies of each other
     filled = members.filter("n_shingles > 0")
-    classes = filled.groupBy("key").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(roots, "key", "left").withColumn("root", F.coalesce("root", "key"))
+    classes = filled.groupBy("key", "id").agg(F.min("doc_id").alias("least"))
+    classes = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     names = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = classes.join(names, "root").select("key", "component_id")
     linked = filled.join(named, "key").select("doc_id", "n_shingles", "component_id")
