@@ -163,3 +163,21 @@ def test_a_block_is_written_and_scored_in_one_task(spark, tmp_path, monkeypatch)
     # pairs of query and block that are too many for every task
     monkeypatch.setattr(keyword, "BROADCAST_PAIRS", 0)
     assert sorted(hits) == sorted(keyword.keyword_top_k(index, asked, 5).collect())
+
+
+def test_neither_words_nor_scores_become_rows(spark, tmp_path, monkeypatch):
+    documents, queries = corpus(9)
+    rows, asked = tables(spark, documents, queries)
+    index = keyword.build_index(rows, str(tmp_path / "index"), block_documents=16)
+    plan = keyword.all_scores(index, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    wanted, postings = keyword._query_terms(index, asked)
+    hits, more = keyword._waves(index, wanted, postings, 3)
+    least = {r.query_id: r.score for r in hits.where("rank = 3").collect()}
+    later = keyword._scored(index, wanted, postings, more).collect()
+    assert all(r.score >= least.get(r.query_id, 0) - 2e-9 for r in later)
+    # queries in slices, and a slice in parts of the matrix
+    want = sorted(keyword.keyword_top_k(index, asked, 5).collect())
+    monkeypatch.setattr(keyword, "SENT_TERMS", 4)
+    monkeypatch.setattr(keyword, "CELLS", 5)
+    assert sorted(keyword.keyword_top_k(index, asked, 5).collect()) == want
