@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +112,27 @@ def test_transcripts_of_a_long_thread(spark):
 def test_qa_pairs(spark):
     df = spark.createDataFrame([("q", None)], "question string, answer string")
     assert tuple(retrieval.qa_pairs(df).head()) == ("q", "")
+
+
+def test_many_queries_meet_many_vectors_in_tiles():
+    draw = np.random.default_rng(5)
+    vectors, queries = draw.normal(size=(20_000, 8)), draw.normal(size=(2_048, 8))
+    tracemalloc.start()
+    running = retrieval._Running(list(range(len(queries))), queries, 3)
+    running.add(np.arange(12_000), vectors[:12_000])
+    running.add(np.arange(12_000, 20_000), vectors[12_000:])
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 64 << 20  # all scores are 312 MB
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    for q in range(0, len(queries), 97):
+        scores = np.round(units @ (queries[q] / np.linalg.norm(queries[q])), 9)
+        assert running.kept[q][1].tolist() == np.lexsort((np.arange(20_000), -scores))[:3].tolist()
+
+
+def test_split_sides_of_many_slices(spark, vectors, monkeypatch):
+    for name, value in (("CELL_ROWS", 150), ("CELL_LIMITS", 1), ("TILE_SCORES", 7)):
+        monkeypatch.setattr(retrieval, name, value)
+    _, _, q, d = vectors
+    want = sorted(map(tuple, retrieval.top_k(q, d, 5).collect()))
+    assert sorted(map(tuple, retrieval.top_k(q, d, 5, query_limit=2).collect())) == want

@@ -15,8 +15,12 @@ from vialens.operators.scale import number_rows, settle
 
 # Query vectors handed to every task at once; larger query sets are split.
 QUERY_LIMIT = 1024
-# Vectors of one task when both sides are split.
+# Vectors of one task when both sides are split, and their bytes; its queries are as many limits.
 CELL_ROWS = 50_000
+CELL_BYTES = 32 << 20
+CELL_LIMITS = 32
+# Scores of a tile, that a task holds at once.
+TILE_SCORES = 1 << 20
 
 # Scores closer than this count as equal and are ordered by id.
 SCORE_DIGITS = 9
@@ -104,25 +108,42 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 class _Running:
-    """The k best documents seen so far, per query."""
+    """The k best documents seen so far, per query; vectors meet the queries in tiles."""
 
     def __init__(self, query_ids, query_matrix: np.ndarray, k: int):
         self.query_ids, self.queries, self.k = query_ids, _unit(query_matrix), k
         self.kept: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(query_ids)
+        # the k-th score of each query; what is below is no hit
+        self.least = np.full(len(query_ids), -np.inf)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
         if not len(ids):
             return
         if vectors.shape[1] != self.queries.shape[1]:
             raise ValueError("query and document vectors differ in length")
-        scores = np.round(_unit(vectors) @ self.queries.T, SCORE_DIGITS)
-        for q in range(len(self.query_ids)):
-            s, i = scores[:, q], ids
-            if self.kept[q] is not None:
-                s = np.concatenate([self.kept[q][0], s])
-                i = np.concatenate([self.kept[q][1], i])
+        units, width = _unit(vectors), max(1, min(len(self.query_ids), QUERY_LIMIT))
+        height = max(1, TILE_SCORES // width)
+        for first in range(0, len(self.query_ids), width):
+            queries = self.queries[first : first + width]
+            for at in range(0, len(ids), height):
+                self._add_tile(first, queries @ units[at : at + height].T, ids[at : at + height])
+
+    def _add_tile(self, first: int, scores: np.ndarray, ids: np.ndarray) -> None:
+        """``scores`` of some queries from ``first`` on with the vectors ``ids``."""
+        scores = np.round(scores, SCORE_DIGITS, out=scores)
+        query, place = np.nonzero(scores >= self.least[first : first + len(scores), None])
+        limits = np.searchsorted(query, np.arange(len(scores) + 1)).tolist()
+        for q, (a, b) in enumerate(zip(limits, limits[1:])):
+            if a == b:
+                continue
+            s, i = scores[q, place[a:b]], ids[place[a:b]]
+            kept = self.kept[first + q]
+            if kept is not None:
+                s, i = np.concatenate([kept[0], s]), np.concatenate([kept[1], i])
             top = _best(s, i, self.k)
-            self.kept[q] = (s[top], i[top])
+            self.kept[first + q] = (s[top], i[top])
+            if len(top) == self.k:
+                self.least[first + q] = s[top[-1]]
 
     def rows(self, schema: pa.Schema) -> pa.RecordBatch:
         q, i, s = [], [], []
@@ -201,11 +222,14 @@ def _split_hits(
 ) -> DataFrame:
     """Both sides cut into slices; a task gets one slice of each.
 
-    Every pair of slices meets once, so the result is exact, and a task holds at
-    most about ``query_limit`` queries and CELL_ROWS documents.
+    Every pair of slices meets once, so the result is exact. A task holds about
+    CELL_ROWS documents of CELL_BYTES and CELL_LIMITS times ``query_limit`` queries
+    at most, and their scores tile by tile; a side moves once for each slice of the other.
     """
-    n_q = -(-queries.count() // query_limit)
-    n_d = max(1, -(-documents.count() // CELL_ROWS))
+    n, width = documents.agg(F.count(F.lit(1)), F.max(F.size("embedding"))).first()
+    room = max(1, CELL_BYTES // (8 * max(1, width or 1)))
+    n_q = -(-queries.count() // min(CELL_LIMITS * query_limit, room))
+    n_d = max(1, -(-n // min(CELL_ROWS, room)))
 
     def slices(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int):
         return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n_own))).withColumn(
