@@ -130,3 +130,46 @@ def test_places_of_linked_ids():
     assert texts.tolist() == [1, 0]
     with pytest.raises(ValueError):
         graph._places(ids, pa.chunked_array([[6]]))
+
+
+def test_links_stay_in_their_shard(spark, tmp_path, monkeypatch):
+    """Vectors move once; no round writes a table, and a search moves no shard."""
+    vectors = spark.createDataFrame(clustered(4, 600, 8, 5), SCHEMA).repartition(3)
+    written, settle = [], graph.settle
+    monkeypatch.setattr(graph, "settle", lambda df: written.append(df.columns) or settle(df))
+    monkeypatch.setattr(graph, "SHARD_ROWS", 200)
+    monkeypatch.setattr(graph, "HELD", 500)
+    monkeypatch.setattr(graph, "GATHERED", 64)
+    index = graph.build_graph(vectors, str(tmp_path / "shards"), label="kind")
+    assert written == []
+    assert index.n_vectors == 600 and index.shards.count() == 3
+    assert index.shards.select(F.input_file_name()).distinct().count() == 3
+    queries = queries_of(vectors)
+    hits = graph.graph_top_k(index, queries, k=10)
+    assert "hashpartitioning(shard" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert graph.recall(hits, retrieval.top_k(queries, vectors, k=10)).first()["recall"] >= 0.95
+    monkeypatch.setattr(graph, "SENT_LIMITS", 2)
+    sliced = graph.graph_top_k(index, queries, k=10, query_limit=3)
+    assert sorted(map(tuple, sliced.collect())) == sorted(map(tuple, hits.collect()))
+
+
+def test_nearest_in_a_shard():
+    draw = np.random.default_rng(2)
+    ids = draw.permutation(500) * 7 - 900
+    vectors = draw.normal(size=(500, 6)).astype("float32")
+    column = pa.array(vectors.tolist(), pa.list_(pa.float32()))
+    u, w, score = graph._Links(pa.array(ids), column).nearest()
+    units = vectors.astype(float) / np.linalg.norm(vectors.astype(float), axis=1, keepdims=True)
+    exact = units @ units.T
+    np.fill_diagonal(exact, -1)
+    assert np.allclose(exact[u, w], score)
+    best = np.argsort(-exact, axis=1)[:, : graph.DEGREE]
+    found = set(zip(u.tolist(), w.tolist()))
+    assert sum((i, j) in found for i in range(500) for j in best[i].tolist()) >= 0.95 * 500 * graph.DEGREE
+
+
+def test_ties_are_ordered_by_sparks_hash(spark):
+    rows = [(0, 1), (-5, 2**62), (7, -(2**63)), (123456789, 3)]
+    want = [r[0] for r in spark.createDataFrame(rows, "u long, w long").select(F.xxhash64("u", "w")).collect()]
+    u, w = (np.array(c, np.int64) for c in zip(*rows))
+    assert graph._xxhash64(w, graph._xxhash64(u, None)).view(np.int64).tolist() == want
