@@ -173,3 +173,13 @@ def test_ties_are_ordered_by_sparks_hash(spark):
     want = [r[0] for r in spark.createDataFrame(rows, "u long, w long").select(F.xxhash64("u", "w")).collect()]
     u, w = (np.array(c, np.int64) for c in zip(*rows))
     assert graph._xxhash64(w, graph._xxhash64(u, None)).view(np.int64).tolist() == want
+
+
+def test_an_id_that_repeats_has_its_links_as_often(spark, tmp_path):
+    rows = clustered(6, 60, 4, 3)
+    vectors = spark.createDataFrame([*rows, rows[7]], SCHEMA).coalesce(1)
+    row = graph.build_graph(vectors, str(tmp_path / "shards")).shards.first()
+    last = max(i for i, x in enumerate(row.ids) if x == 7)
+    linked = row.links[row.first[last] : row.first[last + 1]]
+    assert linked and all(linked.count(x) == 2 for x in linked)
+    assert row.ids.count(7) == 2 and row.ids.index(7) not in row.links

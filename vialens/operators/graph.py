@@ -257,6 +257,9 @@ def build_graph(
         # nearest ones alone would leave groups that nothing leads to; a line leads everywhere
         a, b = shard.on_lines(1)
         u, w = np.divmod(np.unique(np.r_[u * len(ids) + w, a * len(ids) + b, b * len(ids) + a]), len(ids))
+        # an id that repeats has each link as often
+        times = np.diff(shard.first)[u]
+        u, w = np.repeat(u, times), np.repeat(w, times)
         first = np.searchsorted(u, np.arange(len(ids) + 1)).astype(np.int32)
         flat = _matrix(v).reshape(-1).astype(out.field("vectors").type.value_type.to_pandas_dtype())
         row = [
